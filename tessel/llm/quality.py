@@ -82,7 +82,12 @@ def host_verdicts(judged: DataFrame, host: str, limit: float = HOST_LIMIT) -> Da
     The prior's mean is the share of failures over all documents; its strength comes from the variance of the hosts' rates
     (equally weighted), held between 1 and 1000. With fewer than two hosts, or no variance, the strength is 1000.
     """
-    hosts = judged.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
+    return host_verdicts_of_counts(judged.groupBy(host, "base_failed").count(), host, limit)
+
+
+def host_verdicts_of_counts(counts: DataFrame, host: str, limit: float = HOST_LIMIT) -> DataFrame:
+    """The same from rows (host, base_failed, count)."""
+    hosts = counts.groupBy(F.col(host).alias("host")).agg(F.sum("count").alias("n_docs"), F.sum(F.when(F.col("base_failed"), F.col("count")).otherwise(0)).alias("n_failed"))
     prior = hosts.agg(
         (F.sum("n_failed") / F.sum("n_docs")).alias("m"),
         F.coalesce(F.var_samp(F.col("n_failed") / F.col("n_docs")), F.lit(0.0)).alias("v"),

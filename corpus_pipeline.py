@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessel.llm import quality
+from tessel.llm import jaccard_join, packing, quality, suffix_dedup
 from tessel.plans.stages import written
 from tessel.plans.tables import table
 
@@ -16,7 +16,23 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.with_verdicts(quality.base_features(docs, "text"), hosts, "source").filter("kept").select(*docs.columns)
 
 
-STAGES = [("quality", quality_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the least id, of each class of near duplicates."""
+    return jaccard_join.one_of_each(docs, "doc_id", "text")
+
+
+def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the later copies of long passages; n_chars follows the text."""
+    return suffix_dedup.without_repeats(docs, "doc_id", "text", keep="first").withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 1024 tokens."""
+    return packing.packed(docs, "doc_id", "text", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken")
+
+
+STAGES = [("quality", quality_stage), ("near_duplicates", near_duplicate_stage), ("passages", passage_stage), ("packing", packing_stage)]
+#: The stages have no form in SQL (shingle classes, byte ranges, tokens); tests/llm holds them against plain versions.
 ORACLE_SQL = None
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessel.llm import bpe, chat, fingerprints, oracle, packing, quality, sharding, suffix_dedup, token_counts, url_filter
+from tessel.llm import bpe, chat, fingerprints, jaccard_join, oracle, packing, quality, sharding, suffix_dedup, token_counts, url_filter
 from tessel.plans.stages import written
 from tessel.plans.tables import table
 
@@ -56,6 +56,10 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_chat_format": op2_chat_format,
@@ -66,5 +70,6 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_byte_shards": op9_byte_shards,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLE = oracle.SQL

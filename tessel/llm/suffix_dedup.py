@@ -23,12 +23,11 @@ rows with equal ids and different texts are ordered by a hash of the text; very
 ASCII are treated as bytes; an empty table gives no rows; columns other than the two named are not read.
 """
 
-from __future__ import annotations
-
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -198,28 +197,29 @@ def merged(starts: list[int], sizes: list[int], length: int) -> list[tuple[int,
 
 
 def marked(df: DataFrame, key: str, text: str, keep: str = "none", length: int = LENGTH, block: int = BLOCK, group_runs: int = GROUP_RUNS) -> DataFrame:
-    """One row per input row: doc_id, text, ranges (array of removed byte ranges from, to).
+    """``df`` with __spans (window starts to remove, or null) and __whole (all bytes go).
 
     Rows of one text that occurs more than once: with "none" all their bytes go; with "first" those of all rows but one of the
-    least id.
+    least id. Names that begin with two underscores are reserved.
     """
-    docs = keyed(df, key, text)
-    spans, copies = repeated_spans(docs, keep, length, block, group_runs)
-    lists = spans.groupBy("doc_id", "raw").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    spans, copies = repeated_spans(keyed(df, key, text), keep, length, block, group_runs)
+    lists = spans.groupBy(F.col("doc_id").alias("__id"), F.col("raw").alias("__raw")).agg(F.collect_list(F.struct("start", "n")).alias("__spans"))
     near = F.broadcast(lists) if spans.count() * 48 <= BROADCAST_BYTES else lists
-    out = docs.join(near, ["doc_id", "raw"], "left").join(sized(copies.select("raw", "size", "first_id", "copies"), 40), "raw", "left")
-    out = out.withColumn("whole", F.coalesce((F.col("copies") > 1) & (F.octet_length("text") == F.col("size")), F.lit(False)))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    out = df.withColumns({"__id": F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), "__raw": F.xxhash64(whole)}).join(near, ["__id", "__raw"], "left")
+    repeated = copies.select(F.col("raw").alias("__raw"), F.col("size").alias("__size"), F.col("first_id").alias("__first"))
+    out = out.join(sized(repeated, 40), "__raw", "left").withColumn("__whole", F.coalesce(F.octet_length(whole) == F.col("__size"), F.lit(False)))
     if keep == "first":
         out = _but_one(out)
-    return out.select("doc_id", "text", "spans", "whole")
+    return out.drop("__size", "__first", "__nth")
 
 
 def _but_one(out: DataFrame) -> DataFrame:
     """Spare one row of each repeated text: of those with the least id, the one numbered first."""
-    own = F.col("whole") & F.coalesce(F.col("doc_id") == F.col("first_id"), F.lit(False))
-    spare = out.filter(~own).withColumn("nth", F.lit(2))
-    nth = F.row_number().over(W.partitionBy("raw", "doc_id").orderBy("raw"))  # copies with equal ids only
-    return spare.unionByName(out.filter(own).withColumn("nth", nth)).withColumn("whole", F.col("whole") & (F.col("nth") > 1))
+    own = F.col("__whole") & F.coalesce(F.col("__id") == F.col("__first"), F.lit(False))
+    nth = F.row_number().over(W.partitionBy("__raw", "__id").orderBy("__raw"))  # copies with equal ids only
+    both = out.filter(~own).withColumn("__nth", F.lit(2)).unionByName(out.filter(own).withColumn("__nth", nth))
+    return both.withColumn("__whole", F.col("__whole") & (F.col("__nth") > 1))
 
 
 def _cut(length: int):
@@ -241,8 +241,9 @@ def cut_report(df: DataFrame, key: str, text: str, keep: str = "none", length: i
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     ranges, kept = _cut(length)
-    rows = marked(df, key, text, keep, length, **how)
-    plain = rows.filter("spans IS NULL AND NOT whole").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+    rows = marked(df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")), "doc_id", "text", keep, length, **how)
+    none = F.lit(0).cast("long")
+    plain = rows.filter("__spans IS NULL AND NOT __whole").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -255,5 +256,21 @@ def cut_report(df: DataFrame, key: str, text: str, keep: str = "none", length: i
                     out.append((doc_id, len(content), len(content) - len(left), len(gone), hashlib.sha256(left).hexdigest()))
                 yield _arrow(list(zip(*out, strict=True)), schema)
 
-    out = plain.unionByName(rows.filter("spans IS NOT NULL OR whole").mapInArrow(work, schema))
-    return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
+    return plain.unionByName(rows.filter("__spans IS NOT NULL OR __whole").select("doc_id", "text", "__spans", "__whole").mapInArrow(work, schema))
+
+
+def without_repeats(df: DataFrame, key: str, text: str, keep: str = "first", length: int = LENGTH, **how) -> DataFrame:
+    """``df`` with the repeated bytes cut out of ``text``; characters cut in two go whole. Other columns stay."""
+    ranges, kept = _cut(length)
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series, whole: pd.Series) -> pd.Series:
+        left = []
+        for t, s, w in zip(texts, spans, whole, strict=True):
+            content = (t or "").encode()
+            left.append(kept(content, ranges(len(content), None if s is None else list(s), w)).decode(errors="ignore"))
+        return pd.Series(left, dtype=object)
+
+    rows = marked(df, key, text, keep, length, **how)
+    same = rows.filter("__spans IS NULL AND NOT __whole").select(*df.columns)
+    return same.unionByName(rows.filter("__spans IS NOT NULL OR __whole").withColumn(text, cut(text, "__spans", "__whole")).select(*df.columns))

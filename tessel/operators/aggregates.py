@@ -50,6 +50,6 @@ def ordered_digest(df: DataFrame, keys: list[str], order: list[str], text: Colum
 
 def last_minutes(df: DataFrame, keys: list[str], ts: str, seconds: int, **measures: Column) -> DataFrame:
     """Each row with measures over the ``seconds`` before and up to it."""
-    at = F.unix_micros(ts)
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
     w = W.partitionBy(*keys).orderBy(at).rangeBetween(-seconds * 1_000_000, 0)
     return df.withColumns({n: m.over(w) for n, m in measures.items()})

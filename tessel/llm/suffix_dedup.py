@@ -9,8 +9,8 @@ A suffix array of the whole corpus is never built. Its order is needed only insi
    Equal windows have equal anchors. Anchors are counted over all texts; most occur once, and their windows are unique.
 2. If all runs of an anchor cover the same bytes, their windows repeat as they stand.
 3. The other runs are sent out by anchor, window hash by window hash. A task sorts its suffixes by class and position and
-   reads previous and next positions off the order. Runs of a frequent anchor are cut up by window hash first, in proportion
-   to the anchor's count, so that no group grows with the corpus.
+   reads previous and next positions off the order. Runs of a frequent anchor are cut up first, in proportion to the anchor's
+   count: by the window's distance from it, which equal windows share, then by window hash. So no group grows with the corpus.
 
 Texts that occur more than once take part once, with their count. Hashes are of 64 bits each for anchor, run and window, and
 two windows are held equal if anchor and window hash are.
@@ -36,12 +36,12 @@ from tessel.plans.stages import BROADCAST_BYTES, sized, written
 
 LENGTH = 400
 BLOCK = 200
-#: Runs of an anchor that are sorted together; an anchor with more is cut up by window hash.
-GROUP_RUNS = 2048
+#: Runs of an anchor that are sorted together, about; those of an anchor with more are cut up.
+GROUP_RUNS = 8192
 
 NO_ID = -(1 << 63)
 
-RUNS = "doc_id long, raw long, anchor long, content long, start long, n long"
+RUNS = "doc_id long, raw long, anchor long, content long, start long, n long, lead long"
 SPANS = "doc_id long, raw long, start long, n long"
 
 
@@ -62,8 +62,8 @@ def runs(docs: DataFrame, length: int, block: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in _some(whole):
-                text, start, n, anchor, content = window_runs([v.as_py().encode() for v in b.column(2)], length, block)
-                yield _arrow([b.column(0).take(pa.array(text)), b.column(1).take(pa.array(text)), anchor, content, start, n], RUNS)
+                text, start, n, anchor, content, lead = window_runs([v.as_py().encode() for v in b.column(2)], length, block)
+                yield _arrow([b.column(0).take(pa.array(text)), b.column(1).take(pa.array(text)), anchor, content, start, n, lead], RUNS)
 
     return docs.select("doc_id", "raw", "text").mapInArrow(work, RUNS)
 
@@ -75,9 +75,27 @@ def _by_text(spans: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(lists) if rows * 64 <= BROADCAST_BYTES else lists, ["doc_id", "raw"])
 
 
-def _suffixes(mixed: DataFrame, docs: DataFrame, length: int) -> DataFrame:
-    """One row per run and slice: its anchor, and the hashes and starts of its windows."""
-    schema = "anchor long, slice int, doc_id long, raw long, begin long, weight long, starts binary, hashes binary"
+def _suffixes(mixed: DataFrame, docs: DataFrame, length: int, block: int) -> DataFrame:
+    """One row per run, or piece of one: its anchor and slice, and the hashes and starts of its windows."""
+    schema = "anchor long, slice long, doc_id long, raw long, begin long, weight long, starts binary, hashes binary"
+    distances = length - block + 1
+
+    def pieces(s: dict, own: np.ndarray) -> Iterator[tuple[int, int, bytes, bytes]]:
+        """(slice, first start, starts unless they follow one another, hashes) of a run's windows."""
+        if s["slices"] == 1:
+            yield 0, s["start"], b"", own.tobytes()
+            return
+        width, extra = -(-distances // s["slices"]), -(-s["slices"] // distances)
+        far = (s["lead"] - np.arange(len(own))) // width
+        edges = [0, *(np.flatnonzero(far[1:] != far[:-1]) + 1).tolist(), len(own)]
+        for a, z in zip(edges, edges[1:], strict=False):
+            if extra == 1:
+                yield int(far[a]), s["start"] + a, b"", own[a:z].tobytes()
+                continue
+            dealt = own[a:z].view(np.uint64) % np.uint64(extra)
+            for k in np.unique(dealt).tolist():
+                at = np.flatnonzero(dealt == k) + a
+                yield int(far[a]) * extra + k, s["start"] + int(at[0]), (at + s["start"]).tobytes(), own[at].tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -88,12 +106,8 @@ def _suffixes(mixed: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                     hashes = window_hashes(value.as_py().encode(), begin, size, length)
                     at = 0
                     for s in spans:
-                        own, starts = hashes[at : at + s["n"]], np.arange(s["start"], s["start"] + s["n"])
+                        rows += [(s["anchor"], k, doc_id, raw, first, s["weight"], starts, own) for k, first, starts, own in pieces(s, hashes[at : at + s["n"]])]
                         at += s["n"]
-                        dealt = own.view(np.uint64) % np.uint64(s["slices"])
-                        for k in [0] if s["slices"] == 1 else np.unique(dealt).tolist():
-                            part = dealt == k
-                            rows.append((s["anchor"], k, doc_id, raw, s["start"], s["weight"], starts[part].tobytes(), own[part].tobytes()))
                 if rows:
                     yield _arrow(list(zip(*rows, strict=True)), schema)
 
@@ -105,9 +119,13 @@ def _repeated(suffixes: DataFrame, keep: str) -> DataFrame:
 
     def classes(table: pa.Table) -> pa.RecordBatch | None:
         hashes = np.frombuffer(b"".join(table["hashes"].to_pylist()), np.int64)
-        starts = np.frombuffer(b"".join(table["starts"].to_pylist()), np.int64)
         size = np.array([len(x) // 8 for x in table["hashes"].to_pylist()])
         row = np.repeat(np.arange(len(size)), size)
+        starts = table["begin"].to_numpy()[row] + np.arange(len(row)) - (np.cumsum(size) - size)[row]
+        given = table["starts"].to_pylist()
+        if any(given):
+            listed = np.repeat([bool(x) for x in given], size)
+            starts[listed] = np.frombuffer(b"".join(given), np.int64)
         weight = table["weight"].to_numpy()[row]
         order = np.lexsort((np.arange(len(hashes)), hashes))  # suffixes by class, then by position
         same = hashes[order][1:] == hashes[order][:-1]
@@ -171,16 +189,16 @@ def repeated_spans(docs: DataFrame, keep: str = "none", length: int = LENGTH, bl
         runs(docs, length, block).join(sized(shared, 32), "anchor").join(seen, "raw", "left")
         .filter(F.col("copies").isNull() | (F.col("doc_id") == F.col("first_id")))
         .withColumn("weight", F.coalesce("copies", F.lit(1)))
-        .select("doc_id", "raw", "anchor", "start", "n", "weight", "runs", "alike")
+        .select("doc_id", "raw", "anchor", "start", "n", "lead", "weight", "runs", "alike")
     )
     found = written(found, "runs")
     found = found.filter("weight = 1").unionByName(found.filter("weight > 1").dropDuplicates(["doc_id", "raw", "start"]))  # copies with equal ids
-    mixed = written(found.filter("NOT alike").withColumn("slices", F.ceil(F.col("runs") / group_runs).cast("long")).select("doc_id", "raw", "start", "n", "anchor", "weight", "slices"), "mixed")
+    mixed = written(found.filter("NOT alike").withColumn("slices", F.ceil(F.col("runs") / group_runs).cast("long")).select("doc_id", "raw", "start", "n", "lead", "anchor", "weight", "slices"), "mixed")
     same = found.filter("alike")
     if keep == "first":
         first = same.groupBy("anchor").agg(F.min(F.struct("doc_id", "raw", "start")).alias("first"))
         same = same.join(first, "anchor").filter(~F.struct("doc_id", "raw", "start").eqNullSafe(F.col("first")))
-    spans = same.select("doc_id", "raw", "start", "n").unionByName(_repeated(_suffixes(mixed, docs, length), keep))
+    spans = same.select("doc_id", "raw", "start", "n").unionByName(_repeated(_suffixes(mixed, docs, length, block), keep))
     return written(spans, "spans"), copies
 
 

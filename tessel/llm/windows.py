@@ -89,8 +89,8 @@ def window_runs(texts: list[bytes], window: int, block: int) -> tuple[np.ndarray
     """All windows of the texts, in runs that share their anchor.
 
     A window's anchor is the ``block`` bytes inside it whose hash is least (the leftmost of equals), so that equal windows
-    have equal anchors at equal distances. Returns arrays: text, start, length of the run (windows), anchor hash, and the
-    hash of all bytes that the run's windows cover.
+    have equal anchors at equal distances. Returns arrays: text, start, length of the run (windows), anchor hash, the hash of
+    all bytes that the run's windows cover, and the distance from the run's start to its anchor.
     """
     out: list[tuple[np.ndarray, ...]] = []
     width = window - block + 1
@@ -109,9 +109,9 @@ def window_runs(texts: list[bytes], window: int, block: int) -> tuple[np.ndarray
         begin = np.flatnonzero(new)
         item = np.searchsorted(place, begin, side="right") - 1
         stop = np.minimum(np.append(begin[1:], len(anchors)), ends[item])
-        out.append((text[item], begin - place[item] + start[item], stop - begin, blocks[anchors[begin]].view(np.int64), second.of(begin, stop + window - 1).view(np.int64)))
+        out.append((text[item], begin - place[item] + start[item], stop - begin, blocks[anchors[begin]].view(np.int64), second.of(begin, stop + window - 1).view(np.int64), anchors[begin].astype(np.int64) - begin))
     if not out:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 

@@ -20,10 +20,10 @@ from tessel.plans.stages import written
 
 #: (rule, verdict); a rule is a host and the start of a path.
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
-BUCKETS = 4096
+BUCKETS = 8192
 #: The model is fitted to at most so many labelled urls, those with the smallest hashes.
 MAX_LABELLED = 4000
-STEPS = 12
+STEPS = 30
 SCALE = 1 << 32
 
 
@@ -48,11 +48,11 @@ def with_rule(df: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     return df.withColumns({"rule": fits, "rule_verdict": verdict})
 
 
-def grams(part: Column, tag: str, sizes: tuple[int, ...] = (3, 4)) -> Column:
+def grams(part: Column, sizes: tuple[int, ...] = (3, 4, 5, 6)) -> Column:
     """Hash buckets of the character n-grams of ``part``, marked at both ends."""
 
     def of_size(c: Column, n: int) -> Column:
-        runs = F.transform(F.sequence(F.lit(0), F.size(c) - n), lambda i: F.pmod(F.xxhash64(F.lit(tag), *[F.get(c, i + k) for k in range(n)]), F.lit(BUCKETS)).cast("int"))
+        runs = F.transform(F.sequence(F.lit(0), F.size(c) - n), lambda i: F.pmod(F.xxhash64(*[F.get(c, i + k) for k in range(n)]), F.lit(BUCKETS)).cast("int"))
         return F.when(F.size(c) >= n, runs).otherwise(F.array().cast("array<int>"))
 
     def of(c: Column) -> Column:
@@ -62,7 +62,7 @@ def grams(part: Column, tag: str, sizes: tuple[int, ...] = (3, 4)) -> Column:
 
 
 def with_grams(df: DataFrame) -> DataFrame:
-    return df.withColumn("grams", F.array_distinct(F.concat(grams(F.col("host"), "h"), grams(F.col("path"), "p"))))
+    return df.withColumn("grams", F.array_distinct(grams(F.concat("host", "path"))))
 
 
 def score(weights: list[float]) -> Column:
@@ -72,7 +72,7 @@ def score(weights: list[float]) -> Column:
     return F.lit(weights[-1]) + total / F.sqrt(F.greatest(F.size("grams"), F.lit(1)))
 
 
-def fit(labelled: DataFrame, steps: int = STEPS, rate: float = 4.0, decay: float = 1e-4) -> list[float]:
+def fit(labelled: DataFrame, steps: int = STEPS, rate: float = 8.0, decay: float = 1e-4) -> list[float]:
     """Weights from a bounded table (grams, y); BUCKETS + 1 numbers come back at each step."""
     kinds = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
     rows = sum(kinds.values())

@@ -118,6 +118,8 @@ def _repeated(suffixes: DataFrame, keep: str) -> DataFrame:
     """Spans of window starts to remove, from suffixes dealt out by (anchor, slice) and sorted by position in each group."""
 
     def classes(table: pa.Table) -> pa.RecordBatch | None:
+        place = np.stack([table[c].to_numpy() for c in ("anchor", "slice", "doc_id", "raw", "begin")])
+        table = table.filter(pa.array(np.append(True, (place[:, 1:] != place[:, :-1]).any(axis=0))))  # rows with equal ids and texts
         hashes = np.frombuffer(b"".join(table["hashes"].to_pylist()), np.int64)
         size = np.array([len(x) // 8 for x in table["hashes"].to_pylist()])
         row = np.repeat(np.arange(len(size)), size)

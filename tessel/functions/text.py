@@ -86,3 +86,41 @@ def capacity_key(pool: Column, url: Column) -> Column:
 
 def half_even(value: Column, digits: int) -> Column:
     return F.bround(value, digits)
+
+
+#: Execution states.
+STATES = ("not_sent", "execution_unknown", "terminated")
+
+
+def execution_state(given: Column, category: Column, complete: Column) -> Column:
+    """The stated execution state where it is one, else the one that completion and error category imply."""
+    return F.when(given.isin(*STATES), given).when(complete, "terminated").when(category.isin("request", "auth", "rate_limit"), "not_sent").otherwise("execution_unknown")
+
+
+def instruction(parts: list[Column], fallback: Column) -> Column:
+    """The non-empty parts joined by an ideographic full stop, or the fallback."""
+    joined = F.array_join(F.filter(F.array(*parts), lambda p: F.coalesce(F.trim(p), F.lit("")) != ""), "。")
+    return F.when(joined != "", joined).otherwise(fallback)
+
+
+def legal_mode(scene: Column, mode: Column) -> Column:
+    """Whether a composition mode is allowed for the scene: none for natural ones, the last two for hybrid ones."""
+    return mode.isNull() | (mode.isin(*MODES) & (scene != "natural") & ((scene != "hybrid") | mode.isin(*MODES[2:])))
+
+
+def qualified(reviewed: Column, passed: Column, hash_: Column, expected: Column, least: int = 100, share: float = 0.96) -> Column:
+    return F.coalesce((reviewed >= least) & (passed / reviewed >= share) & (hash_ == expected), F.lit(False))
+
+
+def rebased(path: Column, old: str, new: str) -> Column:
+    """The path below the new root, if it lies below the old one."""
+    old, new = old.rstrip("/"), new.rstrip("/")
+    return F.when(path == old, new).when(path.startswith(old + "/"), F.concat(F.lit(new), F.substring(path, F.lit(len(old) + 1), F.char_length(path)))).otherwise(path)
+
+
+def review_verdict(body: Column) -> Column:
+    """verdict, n_issues and fault of a review's JSON; a pass with issues is gray, a malformed review has a fault."""
+    r = F.from_json(body, "verdict string, issues array<string>")
+    n = F.coalesce(F.size(F.filter(r["issues"], lambda i: F.trim(i) != "")), F.lit(0))
+    fault = F.when(r["verdict"].isNull() | ~r["verdict"].isin("pass", "gray", "fail"), "verdict").when((r["verdict"] == "fail") & (n == 0), "fail_without_issue")
+    return F.struct(F.when(fault.isNull(), F.when((r["verdict"] == "pass") & (n > 0), "gray").otherwise(r["verdict"])).alias("verdict"), n.alias("n_issues"), fault.alias("fault"))

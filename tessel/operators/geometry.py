@@ -191,3 +191,79 @@ def room_checks(boxes: DataFrame, voxels: DataFrame, key: str, box_id: str, leas
     out = boxes.join(air, [key, box_id]).join(cover, [key, box_id])
     out = out.withColumns({"air_share": 1 - F.col("n_inside") / (size("x") * size("y") * size("z")), "floor_share": F.col("n_floor") / (size("x") * size("z"))})
     return out.select(key, box_id, "n_inside", "n_floor", (F.col("air_share") >= least_air).alias("air_ok"), (F.col("floor_share") >= least_floor).alias("floor_ok"))
+
+
+def canonical_faults(voxels: DataFrame, key: str, state: Column, most: int = 600_000) -> DataFrame:
+    """Findings (key, rule, n) of samples that cannot be canonicalised: bounds, repeated cells, bad states, too many cells."""
+    outside = F.lit(False)
+    for a in AXES:
+        outside |= (F.col(a) < 0) | (F.col(a) > 255) | F.col(a).isNull()
+    per_cell = voxels.withColumns({"__o": outside, "__s": state.isNull()}).groupBy(key, *AXES).agg(F.count("*").alias("n"), F.count(F.when(F.col("__o"), 1)).alias("o"), F.count(F.when(F.col("__s"), 1)).alias("s"))
+    sums = per_cell.groupBy(key).agg(F.sum("o").alias("out_of_bounds"), F.count(F.when(F.col("n") > 1, 1)).alias("repeated_cell"), F.sum("s").alias("bad_state"), F.greatest(F.lit(0), F.sum("n") - most).alias("too_many_cells"))
+    rules = ["out_of_bounds", "repeated_cell", "bad_state", "too_many_cells"]
+    return sums.unpivot([key], rules, "rule", "n").filter("n > 0")
+
+
+def palette(voxels: DataFrame, key: str, value: str) -> DataFrame:
+    """Distinct values of each sample in order, numbered from 0."""
+    return voxels.select(key, value).distinct().withColumn("index", F.row_number().over(W.partitionBy(key).orderBy(value)) - 1)
+
+
+def near_key(shapes: DataFrame, key: str, coarse: str) -> DataFrame:
+    """Candidate key for comparison: coarse hash, voxels, and the extents in order."""
+    dims = F.array_join(F.array_sort(F.array("dx", "dy", "dz")), ",")
+    return shapes.select(key, F.sha2(F.concat_ws("|", coarse, "n_voxels", dims), 256).alias("near_key"))
+
+
+def duplicate_decision(assets: DataFrame, key: str, order: list[Column], cascade: list[str]) -> DataFrame:
+    """For each asset, the first rule of the cascade by which an earlier asset equals it, and that asset.
+
+    Every rule is a grouped first row: rows of a key are ordered once, and compared with the first only.
+    """
+    found = assets
+    for rule in cascade:
+        w = W.partitionBy(rule).orderBy(*order)
+        first = F.first(key).over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+        found = found.withColumn(f"__{rule}", F.when(F.col(rule).isNotNull() & (first != F.col(key)), first))
+    original = F.coalesce(*[F.col(f"__{r}") for r in cascade])
+    rule = F.coalesce(*[F.when(F.col(f"__{r}").isNotNull(), F.lit(r)) for r in cascade])
+    return found.select(key, rule.alias("rule"), original.alias("original"))
+
+
+def walk_regions(voxels: DataFrame, key: str) -> DataFrame:
+    """Standing cells with their region: steps along x or z, up or down by at most one, given headroom at the lower end."""
+    solid = voxels.select(key, *AXES).distinct()
+    floor = written(walkable(voxels, key).withColumn("code", F.col(key) * (1 << 24) + F.col("x") * (1 << 16) + F.col("y") * 256 + F.col("z")), "floor")
+    high = floor.join(solid.select(key, "x", (F.col("y") - 3).alias("y"), "z"), [key, *AXES], "left_anti").select(F.col("code").alias("__tall"))
+    tall = floor.join(high, floor.code == F.col("__tall"), "left").withColumn("tall", F.col("__tall").isNotNull()).drop("__tall")
+    steps = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz")) for dx, dz in ((1, 0), (0, 1)) for dy in (-1, 0, 1)])).alias("o")
+    moved = tall.select(key, "code", "tall", "x", "y", "z", steps).select(key, F.col("code").alias("a"), F.col("tall").alias("tall_a"), (F.col("x") + F.col("o.dx")).alias("x"), (F.col("y") + F.col("o.dy")).alias("y"), (F.col("z") + F.col("o.dz")).alias("z"), F.col("o.dy").alias("dy"))
+    edges = moved.join(tall.select(key, *AXES, F.col("code").alias("b"), F.col("tall").alias("tall_b")), [key, *AXES])
+    edges = edges.filter((F.col("dy") == 0) | ((F.col("dy") > 0) & F.col("tall_a")) | ((F.col("dy") < 0) & F.col("tall_b"))).select("a", "b")
+    labels = connected_components(edges.union(floor.select(F.col("code").alias("a"), F.col("code").alias("b"))), "a", "b")
+    return floor.join(labels, floor.code == labels.node).select(key, *AXES, F.col("component").alias("region"))
+
+
+def parent_faults(parts: DataFrame, node: str, parent: str, depth: int = 64) -> DataFrame:
+    """Nodes whose parent is missing, or whose chain of parents goes on for more than ``depth`` steps, as in a cycle.
+
+    Chains are followed by doubling: each round's table leads twice as far.
+    """
+    up = written(parts.select(F.col(node).alias("n"), F.col(parent).alias("p")), "parents")
+    known = up.select(F.col("n").alias("__k"))
+    missing = up.filter("p IS NOT NULL").join(known, F.col("p") == F.col("__k"), "left_anti").select(F.col("n").alias(node), F.lit("parent_missing").alias("rule"))
+    far, reach = up, 1
+    while reach <= depth:
+        next_ = far.select(F.col("n").alias("__n"), F.col("p").alias("__p"))
+        far = written(far.join(next_, F.col("p") == F.col("__n"), "left").select("n", F.col("__p").alias("p")), "parents")
+        reach *= 2
+    return missing.unionByName(far.filter("p IS NOT NULL").select(F.col("n").alias(node), F.lit("parent_cycle").alias("rule")))
+
+
+def violations(measured: DataFrame, key: str, minima: dict[str, float]) -> DataFrame:
+    """Findings (key, rule, actual, required) where a measure is below its least value or unknown."""
+    long = measured.select(key, *[F.col(m).cast("double").alias(m) for m in minima]).unpivot([key], list(minima), "rule", "actual")
+    required = F.lit(None).cast("double")
+    for m, least in minima.items():
+        required = F.when(F.col("rule") == m, F.lit(float(least))).otherwise(required)
+    return long.withColumn("required", required).filter("actual IS NULL OR actual < required")

@@ -66,3 +66,39 @@ def newest_snapshots(df: DataFrame, key: str, arrival: list[str], version: str)
     """Snapshots accepted by a reader that takes only strictly newer ones, in order of arrival."""
     w = W.partitionBy(key).orderBy(*arrival).rowsBetween(W.unboundedPreceding, -1)
     return df.withColumn("__m", F.max(version).over(w)).filter(F.col("__m").isNull() | (F.col(version) > F.col("__m"))).drop("__m")
+
+
+def chunk_fold(chunks: DataFrame, key: str, order: str, text: str, usage: str, finish: str) -> DataFrame:
+    """Response of each key from its chunks in order: texts joined, last known usage and finish reason.
+
+    A response is bounded by its source (32 MiB), so that its chunks form one row.
+    """
+    rows = F.sort_array(F.collect_list(F.struct(order, text)))
+    last = lambda c: F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order)))
+    return chunks.groupBy(key).agg(F.array_join(F.transform(rows, lambda r: F.coalesce(r[text], F.lit(""))), "").alias("content"), last(usage).alias("usage"), last(finish).alias("finish"))
+
+
+def receipt_faults(events: DataFrame, receipt: str, kind: str) -> DataFrame:
+    """Receipts dispatched more than once, settled without dispatch, or dispatched without reservation."""
+    n = events.groupBy(receipt).agg(*[count_where(F.col(kind) == k).alias(k) for k in ("reserved", "dispatched", "settled")])
+    fault = F.when(F.col("dispatched") > 1, "dispatched_twice").when((F.col("settled") > 0) & (F.col("dispatched") == 0), "settled_undispatched").when((F.col("dispatched") > 0) & (F.col("reserved") == 0), "unreserved")
+    return n.withColumn("fault", fault).filter("fault IS NOT NULL").select(receipt, "fault")
+
+
+def stop_reason(state: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
+    """Each row with the first stop rule that holds, or null."""
+    reason = F.lit(None).cast("string")
+    for name, holds in reversed(rules):
+        reason = F.when(F.coalesce(holds, F.lit(False)), name).otherwise(reason)
+    return state.withColumn("stop_reason", reason)
+
+
+def expired(attempts: DataFrame, deadline: str, now: Column, occupancy: str) -> DataFrame:
+    """Occupied rows whose deadline has come; a null deadline never comes."""
+    return attempts.filter(F.col(occupancy) & (F.col(deadline) <= now))
+
+
+def budget_left(df: DataFrame, keys: list[str], order: list[str], spent: Column, budget: int) -> DataFrame:
+    """Tries of each key in order while its budget lasts."""
+    w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    return df.withColumn("used", F.coalesce(F.sum(spent.cast("int")).over(w), F.lit(0))).filter(F.col("used") < budget)

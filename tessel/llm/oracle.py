@@ -27,3 +27,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.source IS NOT DISTINCT FROM b.source) AS kept
 FROM b
 """
+
+#: A turn is escaped exactly if its text holds an end marker that the parser would meet first.
+SQL["op2_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (
+  SELECT *, length(regexp_replace(role, '[\\|\n<\[]', 'xxx', 'g')) + length(text) + 11 + CASE WHEN role = 'assistant' THEN 0 ELSE 13 END
+    + CASE WHEN contains(text, '</s>') OR (role <> 'assistant' AND contains(text, '[/INST]')) THEN len(regexp_extract_all(text, '[<\[]\\*/?(?:s>|INST\])')) ELSE 0 END AS size FROM t)
+SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(size)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""

@@ -7,10 +7,12 @@ The order puts shingles that many sets hold last, so that lists stay short. List
 skips the whole block of sets too small for it, by position; pairs whose places in their sets leave no room for the overlap
 go next.
 
-Answers are then derived from answers. First each set is compared with one pivot only, the set with which it shares most
-list entries among those that head its lists; links make classes. What follows looks only at pairs of different classes: the
-other pairs' answers (the same class) follow from those already computed. A pair is compared only if its shared prefix
-shingles leave the overlap possible, and every pair that is left is compared, so that no link between classes is lost.
+Answers are then derived from answers. First each set is compared with one pivot only: among the sets that head its lists,
+the one with which it shares most. A list is headed by its most typical member, whose own prefix is met in most other sets;
+copies of one text thus meet the least edited of them. Links make classes, and what follows looks only at pairs of different
+classes: the other pairs' answers (the same class) follow from those computed. Next each set is compared with the one set of
+another class with which it shares most, and at last all pairs that still lie in different classes are compared, so that no
+link between classes is lost. A pair is compared only if its shared prefix shingles leave the overlap possible.
 
 Defined cases: a null or blank text has no set and is alone in its class; a text shorter than a shingle has its whole word
 sequence as one; very long texts are cut nowhere; repeated rows and equal ids fall into one class if their sets are alike;
@@ -23,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tessel.llm.windows import PLACE_BITS, Hashes, mixed
 from tessel.operators.graph import connected_components
@@ -37,6 +39,8 @@ PERCENT = 80
 COMMON_IN_BATCH, COMMON, MOST_COMMON = 8, 32, 1 << 20
 #: Comparisons with one pivot that go to one task together.
 GROUP_PAIRS = 512
+#: Lists of up to so many members are compared together, longer ones each by itself.
+SHORT_LIST = 12
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -71,23 +75,50 @@ def _parts(text: bytes, size: int) -> Iterator[np.ndarray]:
         at = end
 
 
+def _word_hashes(texts: list[bytes], size: int = 1 << 18) -> Iterator[tuple[np.ndarray, list[int]]]:
+    """(word hashes of some texts in a row, number of words of each); short texts are hashed together."""
+    held: list[bytes] = []
+
+    def together() -> tuple[np.ndarray, list[int]]:
+        data = np.frombuffer(b" ".join(held), np.uint8)
+        begin, stop = _words(data)
+        ends = np.cumsum([len(x) + 1 for x in held])
+        return Hashes(data, 4).of(begin, stop), np.diff(np.searchsorted(begin, ends), prepend=0).tolist()
+
+    for text in texts:
+        if held and sum(map(len, held)) + len(held) + len(text) > size:
+            yield together()
+            held = []
+        if len(text) > size:
+            parts = list(_parts(text, size))
+            w = np.concatenate(parts)
+            yield w, [len(w)]
+        else:
+            held.append(text)
+    if held:
+        yield together()
+
+
 def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     factors = mixed(np.arange(11, 11 + words, dtype=np.uint64)) | np.uint64(1)
     out = []
-    for text in texts:
-        whole = (text or "").encode().lower()  # of bytes: A-Z alone
-        parts = list(_parts(whole, 1 << 18))
-        w = parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        if len(w) >= words:
-            h = w[: len(w) - words + 1] * factors[0]
-            for k in range(1, words):
-                h = h + w[k : len(w) - words + 1 + k] * factors[k]
-            out.append(np.unique(mixed(h)))
-        elif len(w):
-            out.append(mixed(np.array([(w * factors[: len(w)]).sum(dtype=np.uint64) + np.uint64(len(w))], np.uint64)))
-        else:
-            out.append(w)
+    for w, counts in _word_hashes([(t or "").encode().lower() for t in texts]):  # lower of bytes: A-Z alone
+        runs = max(0, len(w) - words + 1)
+        h = w[:runs] * factors[0]
+        for k in range(1, words):
+            h += w[k : runs + k] * factors[k]
+        h = mixed(h)
+        at = 0
+        for n in counts:
+            if n >= words:
+                s = np.sort(h[at : at + n - words + 1])
+                out.append(s[np.append(True, s[1:] != s[:-1])])
+            elif n:
+                out.append(mixed(np.array([(w[at : at + n] * factors[:n]).sum(dtype=np.uint64) + np.uint64(n)], np.uint64)))
+            else:
+                out.append(w[:0])
+            at += n
     return out
 
 
@@ -154,12 +185,12 @@ def prefixes(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], words: int,
     return docs.mapInArrow(work, schema)
 
 
-def live_lists(entries: DataFrame, percent: int) -> DataFrame:
-    """Entries of lists with two sets or more, each with its pivot: the first member large enough to be alike (or itself)."""
-    schema = "token long, size int, key long, pos int, pivot long"
+def live_lists(entries: DataFrame) -> DataFrame:
+    """Entries of lists with two sets or more."""
+    schema = "token long, size int, key long, pos int"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: np.ndarray | None = None  # of the list that may go on: the first member of each size
+        rest: np.ndarray | None = None  # the last member of the list that may go on
         old = np.dtype([("token", "i8"), ("size", "i8"), ("key", "i8"), ("pos", "i8"), ("sent", "i8")])
         for b in batches:
             rows = np.zeros(len(b), old)
@@ -174,15 +205,11 @@ def live_lists(entries: DataFrame, percent: int) -> DataFrame:
             new = np.append(True, rows["token"][1:] != rows["token"][:-1])
             group = np.cumsum(new) - 1
             many = np.bincount(group)[group] > 1
-            place = (group << 32) | rows["size"]
-            pivot = np.searchsorted(place, (group << 32) | needed(rows["size"], percent))
             out = many & (rows["sent"] == 0)
             if out.any():
-                yield _table({"token": (rows["token"][out], L), "size": (rows["size"][out].astype(np.int32), I), "key": (rows["key"][out], L), "pos": (rows["pos"][out].astype(np.int32), I), "pivot": (rows["key"][pivot[out]], L)})
-            tail = rows[group == group[-1]]
-            alone = not many[-1]  # a single member is sent when a second one comes
-            rest = tail[np.append(True, tail["size"][1:] != tail["size"][:-1])].copy()
-            rest["sent"] = 0 if alone else 1
+                yield _table({"token": (rows["token"][out], L), "size": (rows["size"][out].astype(np.int32), I), "key": (rows["key"][out], L), "pos": (rows["pos"][out].astype(np.int32), I)})
+            rest = rows[-1:].copy()  # a single member is sent when a second one comes
+            rest["sent"] = many[-1]
 
     return entries.repartition("token").sortWithinPartitions("token", "size", "key").mapInArrow(work, schema)
 
@@ -194,26 +221,48 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """
     schema = "x long, y long, nx int, ny int, room int"
 
+    def made(rows: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        size, key, pos = rows[:3]
+        room = np.minimum(size[x] - pos[x], size[y] - pos[y])
+        return _table({"x": (key[x], L), "y": (key[y], L), "nx": (size[x].astype(np.int32), I), "ny": (size[y].astype(np.int32), I), "room": (room.astype(np.int32), I)})
+
+    def fit(rows: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return (100 * rows[0, x] >= percent * rows[0, y]) & (rows[3, x] != rows[3, y])
+
+    def long_list(rows: np.ndarray, fresh: int) -> Iterator[pa.RecordBatch]:
+        """Pairs of one list whose later member is at ``fresh`` or behind, in blocks of bounded size."""
+        low = np.searchsorted(rows[0], needed(rows[0], percent))
+        for at in range(fresh, rows.shape[1], 1024):
+            j = np.arange(at, min(at + 1024, rows.shape[1]))
+            i = np.arange(low[j[0]], j[-1])
+            p, q = np.nonzero((i[:, None] < j[None, :]) & fit(rows, i[:, None], j[None, :]))
+            if len(p):
+                yield made(rows, i[p], j[q])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, held = None, None
+        token, held = None, None  # the list that may go on: its members large enough for what may come
         for b in batches:
-            tokens, size, key, pos, label = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5))
-            bounds = np.append(np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])), len(tokens)) if len(tokens) else np.zeros(1, int)
-            for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                own = np.stack([size[a:z], key[a:z], pos[a:z], label[a:z]])
-                both = own if token != tokens[a] else np.concatenate([held, own], axis=1)
-                fresh = both.shape[1] - own.shape[1]
-                token, held = tokens[a], both[:, both[0] >= needed(both[0, -1], percent)]
-                low = np.searchsorted(both[0], needed(both[0], percent))
-                for at in range(fresh, both.shape[1], 1024):  # in blocks of bounded size
-                    j = np.arange(at, min(at + 1024, both.shape[1]))
-                    i = np.arange(low[j].min(), j[-1])
-                    n, m = both[0, i][:, None], both[0, j][None, :]
-                    fits = (i[:, None] < j[None, :]) & (100 * n >= percent * m) & (both[3, i][:, None] != both[3, j][None, :])
-                    p, q = np.nonzero(fits)
-                    if len(p):
-                        x, y = i[p], j[q]
-                        yield _table({"x": (both[1, x], L), "y": (both[1, y], L), "nx": (both[0, x].astype(np.int32), I), "ny": (both[0, y].astype(np.int32), I), "room": (np.minimum(both[0, x] - both[2, x], both[0, y] - both[2, y]).astype(np.int32), I)})
+            if not len(b):
+                continue
+            tokens, *rest = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5))
+            rows = np.stack(rest)
+            begin = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+            size = np.diff(np.append(begin, len(tokens)))
+            short = size <= SHORT_LIST
+            short[[0, -1]] = False
+            # short lists all at once: members k places apart, for each k
+            group = np.repeat(np.where(short, np.arange(len(size)), -1 - np.arange(len(size))), size)
+            for k in range(1, SHORT_LIST):
+                x = np.flatnonzero((group[k:] == group[:-k]) & (group[k:] >= 0))
+                x = x[fit(rows, x, x + k)]
+                if len(x):
+                    yield made(rows, x, x + k)
+            for g in np.flatnonzero(~short).tolist():
+                own = rows[:, begin[g] : begin[g] + size[g]]
+                going_on = token is not None and token == tokens[begin[g]]
+                both = np.concatenate([held, own], axis=1) if going_on else own
+                yield from long_list(both, both.shape[1] - own.shape[1])
+                token, held = tokens[begin[g]], both[:, both[0] >= needed(both[0, -1], percent)]
 
     return lists.repartition("token").sortWithinPartitions("token", "size", "key").select("token", "size", "key", "pos", "label").mapInArrow(work, schema)
 
@@ -243,10 +292,13 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
 def compared(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (x, y) that are alike, by the sets themselves. Pairs of one y are dealt out in groups of bounded size."""
+    pairs = written(pairs, "compare")
     groups = pairs.groupBy("y").agg(F.ceil(F.count("*") / GROUP_PAIRS).cast("int").alias("parts"))
     wanted = pairs.join(groups, "y").select(F.col("x").alias("key"), "y", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"))
     pivots = groups.select(F.col("y").alias("key"), "y", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"))
     wanted = written(wanted.unionByName(pivots), "wanted")
+    if wanted.isEmpty():
+        return docs.sparkSession.createDataFrame([], "x long, y long")
     sent = _sets(docs, wanted, words).join(sized(wanted, 32), "key").select("y", "part", "kind", "key", "content")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,24 +332,64 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     rank = np.empty(len(token), np.uint64)
     rank[np.lexsort((token, n))] = np.arange(len(token), dtype=np.uint64) | np.uint64(1 << 63)
     by_token = np.argsort(token)
-    live = written(live_lists(prefixes(docs, (token[by_token], rank[by_token]), words, percent), percent), "lists")
-
-    votes = live.filter("key != pivot").groupBy("key", "pivot").count()
-    best = votes.groupBy("key").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
-    first = written(compared(written(best.select(F.col("key").alias("x"), F.col("pivot").alias("y")), "votes"), docs, words, percent), "links")
-    labels = written(connected_components(first, "x", "y"), "labels")
+    live = written(live_lists(prefixes(docs, (token[by_token], rank[by_token]), words, percent)), "lists")
+    least = lambda n: F.ceil(F.col(n) * percent / 100)
 
-    known = live.join(labels, live.key == labels.node, "left").select("token", "size", "key", "pos", F.coalesce("component", "key").alias("label"))
-    known = written(known, "labelled")
+    def may_be_alike(a: str, b: str, shared: str) -> Column:
+        """What lies behind the shorter prefix can add ``least - 1`` to the entries shared."""
+        return F.col(shared) + F.greatest(least(a), least(b)) - 1 >= F.ceil((F.col(a) + F.col(b)) * percent / (100 + percent))
+
+    # first round: each set against one pivot
+    typical = live.groupBy("key", "size").agg(F.count("*").alias("n")).select("key", (F.col("n") / (F.col("size") - least("size") + 1)).alias("typical"))
+    typical = sized(written(typical, "typical"), 32)
+    heads = live.join(typical, "key").groupBy("token").agg(F.max(F.struct("typical", "size", "key")).alias("head"))
+    votes = live.join(heads.select("token", F.col("head.key").alias("pivot"), F.col("head.size").alias("pivot_size")), "token").filter("key != pivot")
+    votes = votes.groupBy("key", "size", "pivot", "pivot_size").agg(F.count("*").alias("c")).filter(may_be_alike("size", "pivot_size", "c"))
+    best = votes.groupBy("key").agg(F.max_by("pivot", F.struct("c", "pivot")).alias("pivot"))
+    labels = _roots(written(compared(best.select(F.col("key").alias("x"), F.col("pivot").alias("y")), docs, words, percent), "links"))
+
+    # second round: for each set, the pair of another class with which it shares most
+    known = written(live.join(labels, live.key == labels.x, "left").select("token", "size", "key", "pos", F.coalesce("root", "key").alias("label")), "labelled")
     split = known.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("token")
     pairs = cross_pairs(known.join(split, "token", "left_semi"), percent)
-    least = lambda n: F.ceil(F.col(n) * percent / 100)
     pairs = pairs.groupBy("x", "y", "nx", "ny").agg(F.count("*").alias("c"), F.max("room").alias("room"))
-    overlap = F.ceil((F.col("nx") + F.col("ny")) * percent / (100 + percent))
-    pairs = pairs.filter((F.col("room") >= overlap) & (F.col("c") + F.greatest(least("nx"), least("ny")) - 1 >= overlap))
-    more = written(compared(written(pairs.select("x", "y"), "pairs"), docs, words, percent), "links")
-    links = first.union(more)
-    return rows, connected_components(links, "x", "y").withColumnsRenamed({"node": "key", "component": "class"})
+    fits = (F.col("room") >= F.ceil((F.col("nx") + F.col("ny")) * percent / (100 + percent))) & may_be_alike("nx", "ny", "c")
+    pairs = written(pairs.filter(fits).select("x", "y", "c"), "pairs")
+    of_x = pairs.groupBy("x").agg(F.max_by("y", F.struct("c", "y")).alias("y"))
+    of_y = pairs.groupBy("y").agg(F.max_by("x", F.struct("c", "x")).alias("x")).select("x", "y")
+    near = written(of_x.union(of_y).distinct(), "near")
+    labels = _tied(labels, compared(near, docs, words, percent))
+
+    # third round: all pairs whose sets still lie in different classes
+    rest = _labelled(pairs.join(near, ["x", "y"], "left_anti"), labels).filter("lx != ly").select("x", "y")
+    labels = _tied(labels, compared(rest, docs, words, percent))
+    return rows, labels.select(F.col("x").alias("key"), F.col("root").alias("class"))
+
+
+def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (x, y) with the classes lx, ly of both."""
+    a, b = labels.select(F.col("x").alias("xa"), F.col("root").alias("ra")), labels.select(F.col("x").alias("xb"), F.col("root").alias("rb"))
+    return pairs.join(a, F.col("x") == F.col("xa"), "left").join(b, F.col("y") == F.col("xb"), "left").select("x", "y", F.coalesce("ra", "x").alias("lx"), F.coalesce("rb", "y").alias("ly"))
+
+
+def _tied(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes (x, root) after further links: only the classes are tied, not their members."""
+    links = written(_labelled(links, labels), "links")
+    tied = connected_components(links.filter("lx != ly").select("lx", "ly").distinct(), "lx", "ly")
+    tied = written(tied, "tied")
+    every = labels.unionByName(links.select(F.explode(F.array(F.struct(F.col("x"), F.col("lx").alias("root")), F.struct(F.col("y").alias("x"), F.col("ly").alias("root")))).alias("s")).select("s.*")).distinct()
+    return written(every.join(tied, every.root == tied.node, "left").select("x", F.coalesce("component", "root").alias("root")), "labels")
+
+
+def _roots(links: DataFrame) -> DataFrame:
+    """(x, root) for links that lead each x to one y without going round: parents are doubled until they stay."""
+    now = written(links.select("x", F.col("y").alias("root")), "roots")
+    while True:
+        up = now.select(F.col("x").alias("__x"), F.col("root").alias("__up"))
+        now = written(now.join(up, F.col("root") == F.col("__x"), "left").select("x", F.coalesce("__up", "root").alias("root"), F.col("__up").isNotNull().alias("moved")), "roots")
+        if now.filter("moved").isEmpty():
+            return now.select("x", "root").union(now.select(F.col("root").alias("x"), "root").distinct())
+        now = now.drop("moved")
 
 
 def _named(rows: DataFrame, classes: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ A suffix array of the whole corpus is never built. Its order is needed only insi
 1. Each text's windows of ``length`` bytes are put in runs that share an anchor, the block of least hash inside the window.
    Equal windows have equal anchors. Anchors are counted over all texts; most occur once, and their windows are unique.
 2. If all runs of an anchor cover the same bytes, their windows repeat as they stand.
-3. The other runs are sent out by anchor, window hash by window hash. A task sorts its suffixes by class and position and
-   reads previous and next positions off the order. Runs of a frequent anchor are cut up first, in proportion to the anchor's
+3. The other runs are sent out by anchor, window hash by window hash, after equal windows near each other are combined. A task
+   sorts its suffixes by class and position and reads previous and next positions off the order. Runs of a frequent anchor are cut up first, in proportion to the anchor's
    count: by the window's distance from it, which equal windows share, then by window hash. So no group grows with the corpus.
 
 Texts that occur more than once take part once, with their count. Hashes are of 64 bits each for anchor, run and window, and
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tessel.llm.windows import window_hashes, window_runs
@@ -38,6 +39,9 @@ LENGTH = 400
 BLOCK = 200
 #: Runs of an anchor that are sorted together, about; those of an anchor with more are cut up.
 GROUP_RUNS = 8192
+#: Windows that a task combines at once before it sends them on, about.
+COMBINED = 1 << 19
+SETTLED = -1
 
 NO_ID = -(1 << 63)
 
@@ -75,41 +79,66 @@ def _by_text(spans: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(lists) if rows * 64 <= BROADCAST_BYTES else lists, ["doc_id", "raw"])
 
 
-def _suffixes(mixed: DataFrame, docs: DataFrame, length: int, block: int) -> DataFrame:
-    """One row per run, or piece of one: its anchor and slice, and the hashes and starts of its windows."""
+def _suffixes(mixed: DataFrame, docs: DataFrame, length: int, block: int, keep: str) -> DataFrame:
+    """One row per run, or piece of one: its anchor and slice, and the hashes and starts of its windows.
+
+    A task combines before it sends: of the equal windows of some hundred texts only the first goes on, marked by its weight as
+    repeated; the spans of the others are settled and travel as rows of slice SETTLED, with their length as weight.
+    """
     schema = "anchor long, slice long, doc_id long, raw long, begin long, weight long, starts binary, hashes binary"
     distances = length - block + 1
 
-    def pieces(s: dict, own: np.ndarray) -> Iterator[tuple[int, int, bytes, bytes]]:
-        """(slice, first start, starts unless they follow one another, hashes) of a run's windows."""
-        if s["slices"] == 1:
-            yield 0, s["start"], b"", own.tobytes()
-            return
+    def pieces(s: dict, own: np.ndarray, weight: np.ndarray) -> Iterator[tuple[int, int, int, bytes, bytes]]:
+        """(slice, first start, weight, starts unless they follow one another, hashes) of a run's windows of some weight."""
         width, extra = -(-distances // s["slices"]), -(-s["slices"] // distances)
-        far = (s["lead"] - np.arange(len(own))) // width
-        edges = [0, *(np.flatnonzero(far[1:] != far[:-1]) + 1).tolist(), len(own)]
+        far = (s["lead"] - np.arange(len(own))) // width if s["slices"] > 1 else np.zeros(len(own), np.int64)
+        edges = [0, *(np.flatnonzero((far[1:] != far[:-1]) | (weight[1:] != weight[:-1])) + 1).tolist(), len(own)]
         for a, z in zip(edges, edges[1:], strict=False):
+            if not weight[a]:
+                continue
             if extra == 1:
-                yield int(far[a]), s["start"] + a, b"", own[a:z].tobytes()
+                yield int(far[a]), s["start"] + a, int(weight[a]), b"", own[a:z].tobytes()
                 continue
             dealt = own[a:z].view(np.uint64) % np.uint64(extra)
             for k in np.unique(dealt).tolist():
                 at = np.flatnonzero(dealt == k) + a
-                yield int(far[a]) * extra + k, s["start"] + int(at[0]), (at + s["start"]).tobytes(), own[at].tobytes()
+                yield int(far[a]) * extra + k, s["start"] + int(at[0]), int(weight[a]), (at + s["start"]).tobytes(), own[at].tobytes()
+
+    def combined(texts: list[tuple[int, int, bytes, list[dict]]]) -> list[tuple]:
+        runs = [(d, r, s) for d, r, _, spans in texts for s in sorted(spans, key=lambda s: s["start"])]
+        own = np.concatenate([window_hashes(t, np.array([s["start"] for s in spans]), np.array([s["n"] for s in spans]), length) for _, _, t, spans in ((d, r, t, sorted(x, key=lambda s: s["start"])) for d, r, t, x in texts)])
+        n = np.array([s["n"] for _, _, s in runs])
+        weight = np.repeat([s["weight"] for _, _, s in runs], n)
+        order = np.lexsort((np.arange(len(own)), own))  # suffixes by class, then by position
+        same = own[order][1:] == own[order][:-1]
+        later, first = np.zeros(len(own), bool), np.zeros(len(own), bool)
+        later[order[1:]] = same
+        first[order[:-1]] = same
+        if keep == "none":
+            weight[first & ~later] = 2
+        weight[later] = 0
+        rows = []
+        at = 0
+        for d, r, s in runs:
+            w = weight[at : at + s["n"]]
+            rows += [(s["anchor"], k, d, r, begin, heavy, starts, hashes) for k, begin, heavy, starts, hashes in pieces(s, own[at : at + s["n"]], w)]
+            gone = np.flatnonzero(np.diff(np.concatenate(([False], later[at : at + s["n"]], [False])).astype(np.int8))).tolist()
+            rows += [(r, SETTLED, d, r, s["start"] + a, z - a, b"", b"") for a, z in zip(gone[::2], gone[1::2], strict=True)]
+            at += s["n"]
+        return rows
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in _some(whole, 64):
-                rows = []
+            for b in _some(whole, 256):
+                held, size = {}, 0
                 for doc_id, raw, value, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
-                    begin, size = np.array([s["start"] for s in spans]), np.array([s["n"] for s in spans])
-                    hashes = window_hashes(value.as_py().encode(), begin, size, length)
-                    at = 0
-                    for s in spans:
-                        rows += [(s["anchor"], k, doc_id, raw, first, s["weight"], starts, own) for k, first, starts, own in pieces(s, hashes[at : at + s["n"]])]
-                        at += s["n"]
-                if rows:
-                    yield _arrow(list(zip(*rows, strict=True)), schema)
+                    held[doc_id, raw] = (doc_id, raw, value.as_py().encode(), spans)  # rows with equal ids and texts are one
+                    size += sum(s["n"] for s in spans)
+                    if size > COMBINED:
+                        yield _arrow(list(zip(*combined([held[k] for k in sorted(held)]), strict=True)), schema)
+                        held, size = {}, 0
+                if held:
+                    yield _arrow(list(zip(*combined([held[k] for k in sorted(held)]), strict=True)), schema)
 
     return _by_text(mixed, docs).select("doc_id", "raw", "text", "spans").mapInArrow(work, schema)
 
@@ -117,9 +146,10 @@ def _suffixes(mixed: DataFrame, docs: DataFrame, length: int, block: int) -> Dat
 def _repeated(suffixes: DataFrame, keep: str) -> DataFrame:
     """Spans of window starts to remove, from suffixes dealt out by (anchor, slice) and sorted by position in each group."""
 
-    def classes(table: pa.Table) -> pa.RecordBatch | None:
-        place = np.stack([table[c].to_numpy() for c in ("anchor", "slice", "doc_id", "raw", "begin")])
-        table = table.filter(pa.array(np.append(True, (place[:, 1:] != place[:, :-1]).any(axis=0))))  # rows with equal ids and texts
+    def settled(table: pa.Table) -> pa.RecordBatch:
+        return _arrow([table[c].combine_chunks() for c in ("doc_id", "raw", "begin", "weight")], SPANS)
+
+    def classes(table: pa.Table) -> pa.RecordBatch:
         hashes = np.frombuffer(b"".join(table["hashes"].to_pylist()), np.int64)
         size = np.array([len(x) // 8 for x in table["hashes"].to_pylist()])
         row = np.repeat(np.arange(len(size)), size)
@@ -128,23 +158,33 @@ def _repeated(suffixes: DataFrame, keep: str) -> DataFrame:
         if any(given):
             listed = np.repeat([bool(x) for x in given], size)
             starts[listed] = np.frombuffer(b"".join(given), np.int64)
+        place = np.stack([table["doc_id"].to_numpy()[row], table["raw"].to_numpy()[row], starts])
         weight = table["weight"].to_numpy()[row]
-        order = np.lexsort((np.arange(len(hashes)), hashes))  # suffixes by class, then by position
-        same = hashes[order][1:] == hashes[order][:-1]
-        previous, following = np.append(False, same), np.append(same, False)
-        again = np.zeros(len(hashes), bool)
-        again[order] = previous if keep == "first" else previous | following
+        order = np.lexsort((*place[::-1], hashes))  # suffixes by class, then by position
+        new = np.append(True, hashes[order][1:] != hashes[order][:-1])
+        first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+        later = (place[:, order] != place[:, first]).any(axis=0)  # a row that came twice is no copy of itself
         if keep == "none":
-            again |= weight > 1
+            number = np.cumsum(new) - 1
+            hit = np.bincount(number, later | (weight[order] > 1))[number] > 0
+        else:
+            hit = later
+        again = np.zeros(len(hashes), bool)
+        again[order] = hit
         hit = np.flatnonzero(again)
-        if not len(hit):
-            return None
-        new = np.append(True, (row[hit][1:] != row[hit][:-1]) | (starts[hit][1:] != starts[hit][:-1] + 1))
+        new = np.append(True, (row[hit][1:] != row[hit][:-1]) | (starts[hit][1:] != starts[hit][:-1] + 1))[: len(hit)]
         begin = np.flatnonzero(new)
         n = np.diff(np.append(begin, len(hit)))
         rows = pa.array(row[hit][begin])
         return _arrow([table["doc_id"].combine_chunks().take(rows), table["raw"].combine_chunks().take(rows), starts[hit][begin], n], SPANS)
 
+    def both(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        done = pc.equal(table["slice"], SETTLED)
+        if (own := table.filter(done)).num_rows:
+            yield settled(own)
+        if (rest := table.filter(pc.invert(done))).num_rows:
+            yield classes(rest)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
         for b in batches:
@@ -154,11 +194,10 @@ def _repeated(suffixes: DataFrame, keep: str) -> DataFrame:
                 anchor, piece = table["anchor"].to_numpy(), table["slice"].to_numpy()
                 last = np.flatnonzero((anchor != anchor[-1]) | (piece != piece[-1]))
                 cut = int(last[-1]) + 1 if len(last) else 0  # the last group may go on in the next batch
-                if cut and (made := classes(table.slice(0, cut))) is not None:
-                    yield made
+                yield from both(table.slice(0, cut))
                 rest = table.slice(cut)
-        if rest is not None and len(rest) and (made := classes(rest)) is not None:
-            yield made
+        if rest is not None:
+            yield from both(rest)
 
     return suffixes.repartition("anchor", "slice").sortWithinPartitions("anchor", "slice", "doc_id", "raw", "begin").mapInArrow(work, SPANS)
 
@@ -200,7 +239,7 @@ def repeated_spans(docs: DataFrame, keep: str = "none", length: int = LENGTH, bl
     if keep == "first":
         first = same.groupBy("anchor").agg(F.min(F.struct("doc_id", "raw", "start")).alias("first"))
         same = same.join(first, "anchor").filter(~F.struct("doc_id", "raw", "start").eqNullSafe(F.col("first")))
-    spans = same.select("doc_id", "raw", "start", "n").unionByName(_repeated(_suffixes(mixed, docs, length, block), keep))
+    spans = same.select("doc_id", "raw", "start", "n").unionByName(_repeated(_suffixes(mixed, docs, length, block, keep), keep))
     return written(spans, "spans"), copies
 
 

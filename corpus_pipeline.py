@@ -9,11 +9,16 @@ from tessel.plans.stages import written
 from tessel.plans.tables import table
 
 
+#: Passages of over 50 words, at six bytes a word with its blank.
+PASSAGE_BYTES = 300
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and come from a host that passes."""
     judged = written(quality.base_features(docs.select("source", "text"), "text").groupBy("source", "base_failed").count(), "verdicts")
     hosts = quality.host_verdicts_of_counts(judged, "source")
-    return quality.with_verdicts(quality.base_features(docs, "text"), hosts, "source").filter("kept").select(*docs.columns)
+    rows = docs.select("text", "source", F.struct(*docs.columns).alias("__row"))  # whatever the columns are called
+    return quality.with_verdicts(quality.base_features(rows, "text"), hosts, "source").filter("kept").select("__row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +28,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the later copies of long passages; n_chars follows the text."""
-    return suffix_dedup.without_repeats(docs, "doc_id", "text", keep="first").withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    return suffix_dedup.without_repeats(docs, "doc_id", "text", keep="first", length=PASSAGE_BYTES, block=PASSAGE_BYTES // 2).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

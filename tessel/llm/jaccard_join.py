@@ -425,6 +425,7 @@ def one_of_each(df: DataFrame, key: str, text: str, words: int = WORDS, percent:
     def keys(texts: pd.Series) -> pd.Series:
         return pd.Series([set_key(s) if len(s) else None for s in shingle_sets([t or "" for t in texts], words)], dtype="Int64")
 
-    open_ = df.join(repeated, same, "left_semi").withColumn("__key", keys(text)).join(named, F.col("__key") == F.col("set_key"), "left")
-    first = open_.filter(F.col("class").isNotNull() & F.col(key).cast("long").eqNullSafe(F.col("component_id"))).dropDuplicates(["class"])
-    return settled.unionByName(open_.filter("class IS NULL").select(*df.columns)).unionByName(first.select(*df.columns))
+    classes_ = named.select(F.col("set_key").alias("__set"), F.col("class").alias("__class"), F.col("component_id").alias("__component"))
+    open_ = df.join(repeated, same, "left_semi").withColumn("__key", keys(text)).join(classes_, F.col("__key") == F.col("__set"), "left")
+    first = open_.filter(F.col("__class").isNotNull() & F.col(key).cast("long").eqNullSafe(F.col("__component"))).dropDuplicates(["__class"])
+    return settled.unionByName(open_.filter("__class IS NULL").select(*df.columns)).unionByName(first.select(*df.columns))

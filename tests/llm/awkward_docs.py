@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-SCHEMA = "doc_id long, text string, source string, key string, raw string, size string, label int, token string"
+SCHEMA = "doc_id long, text string, source string, key string, raw string, size string, label int, token string, class string, component_id string, kept string, n_words string"
 
 
 def words(n: int, seed: int, vocabulary: int = 5000) -> str:

@@ -14,14 +14,14 @@ from awkward_docs import SCHEMA, documents  # noqa: E402
 
 @pytest.fixture(scope="session")
 def awkward(spark):
-    rows = [(d, t, None if k % 4 == 0 else f"s{k % 3}", "k", None, "z", k, "t") for k, (d, t) in enumerate(documents())]
+    rows = [(d, t, None if k % 4 == 0 else f"s{k % 3}", "k", None, "z", k, "t", *"abcd") for k, (d, t) in enumerate(documents())]
     return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
 
 
 @pytest.fixture(scope="session")
 def unique(spark):
     """The same with ids that occur once."""
-    rows = [(d, t, f"s{k % 3}", "k", None, "z", k, "t") for k, (d, t) in enumerate(documents()) if k < 19]
+    rows = [(d, t, f"s{k % 3}", "k", None, "z", k, "t", *"abcd") for k, (d, t) in enumerate(documents()) if k < 19]
     return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
 
 

@@ -104,6 +104,19 @@ def test_long_words_hash_alike():
     assert len(np.intersect1d(a, b)) == 2
 
 
+def test_pipeline_stages_on_awkward_rows(spark, awkward, none):
+    for df in (awkward, none):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, df, SMALL)
+            if name != "packing":
+                df = df.withColumn("n_chars", F.lit(0).cast("long")) if "n_chars" not in df.columns else df
+                out = stage(spark, df, SMALL)
+                assert out.dtypes == df.dtypes
+                df = spark.createDataFrame(out.collect(), out.schema)
+            else:
+                assert (out.count() == 0) == (df.count() == 0)
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES:
@@ -117,7 +130,7 @@ def test_pipeline(spark):
             assert {r.doc_id for r in after} == {d for d, (n, c) in classes.items() if c == d or not n}
         if name == "passages":
             texts = {d: (r.text or "").encode() for d, r in before.items()}
-            gone = brute.removed(texts, 400, "first")
+            gone = brute.removed(texts, corpus_pipeline.PASSAGE_BYTES, "first")
             assert {r.doc_id: r.text for r in after} == {d: bytes(c for c, f in zip(t, gone[d], strict=True) if not f).decode(errors="ignore") for d, t in texts.items()}
             assert all(r.n_chars == len(r.text) for r in after)
         docs = spark.createDataFrame(after, out.schema)

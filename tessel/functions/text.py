@@ -124,3 +124,63 @@ def review_verdict(body: Column) -> Column:
     n = F.coalesce(F.size(F.filter(r["issues"], lambda i: F.trim(i) != "")), F.lit(0))
     fault = F.when(r["verdict"].isNull() | ~r["verdict"].isin("pass", "gray", "fail"), "verdict").when((r["verdict"] == "fail") & (n == 0), "fail_without_issue")
     return F.struct(F.when(fault.isNull(), F.when((r["verdict"] == "pass") & (n > 0), "gray").otherwise(r["verdict"])).alias("verdict"), n.alias("n_issues"), fault.alias("fault"))
+
+
+def uuid5(namespace: str, name: Column) -> Column:
+    """Name-based UUID: sha1 of the namespace's bytes and the name, with version and variant set."""
+    h = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), name.cast("binary")))
+    variant = F.element_at(F.array(*[F.lit(c) for c in "89ab"]), (F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4 + 1))
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+
+
+def fenced_source(content: Column) -> Column:
+    """The body of the one complete code fence that starts the text; null if there is none, or more than one."""
+    fence = r"^\s*```[A-Za-z0-9_+-]*\n([\s\S]*?)\n```\s*$"
+    body = F.regexp_extract(content, fence, 1)
+    return F.when(content.rlike(fence) & ~F.contains(body, F.lit("```")), body)
+
+
+def tags_as_pairs(tags: Column) -> Column:
+    """Tags ``key:value`` or ``key`` as structs; a tag without a value has none."""
+    return F.transform(tags, lambda t: F.struct(F.split_part(t, F.lit(":"), F.lit(1)).alias("key"), F.when(F.instr(t, ":") > 0, F.substring(t, F.instr(t, ":") + F.lit(1), F.char_length(t))).alias("value")))
+
+
+def redacted(values: Column, secret: str = "(?i)(key|token|secret|password|credential)") -> Column:
+    """A map with the values under telling keys hidden."""
+    return F.transform_values(values, lambda k, v: F.when(k.rlike(secret) & v.isNotNull(), F.lit("***")).otherwise(v))
+
+
+def limits_text(mode: Column) -> Column:
+    """The measured limits of a mode as a sentence; null for modes without any."""
+    return F.when(mode == LIMITED[0], F.lit("context at most 10%, subject columns at least 80%")).when(mode == LIMITED[1], F.lit("context at most 25%, subject columns at least 60%"))
+
+
+def source_policy(source: Column, banned: tuple[str, ...] = ("eval", "exec", "open", "compile", "__import__", "globals", "getattr")) -> Column:
+    """(ok, reason) of Python source by its syntax tree; it is parsed, never run. A null source is refused."""
+
+    @F.pandas_udf("ok boolean, reason string")
+    def judge(sources):  # noqa: ANN001, ANN202
+        import ast
+
+        import pandas as pd
+
+        def reason(text: str | None) -> str | None:
+            if text is None:
+                return "missing"
+            try:
+                tree = ast.parse(text)
+            except (SyntaxError, ValueError, RecursionError, MemoryError):
+                return "syntax"
+            for node in ast.walk(tree):
+                if isinstance(node, (ast.Import, ast.ImportFrom)):
+                    return "import"
+                if isinstance(node, ast.Attribute) and node.attr.startswith("__"):
+                    return "reflection"
+                if isinstance(node, ast.Name) and node.id in banned:
+                    return f"banned:{node.id}"
+            return None
+
+        why = [reason(s) for s in sources]
+        return pd.DataFrame({"ok": [w is None for w in why], "reason": why})
+
+    return judge(source)

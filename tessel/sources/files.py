@@ -158,3 +158,30 @@ def sse_events(df: DataFrame, key: str, body: str) -> DataFrame:
     data = F.filter(F.transform(blocks, lambda ls: F.array_join(F.transform(ls, lambda x: F.regexp_replace(x, "^data: ?", "")), "\n")), lambda d: d != "")
     whole = F.when(F.array_position(data, "[DONE]") > 0, F.slice(data, 1, F.greatest(F.lit(1), F.array_position(data, "[DONE]").cast("int")))).otherwise(data)
     return df.select(key, F.posexplode(whole).alias("event_no", "data")).filter(F.col("data") != "[DONE]")
+
+
+def publish(parts: dict[str, DataFrame], target: str, options: dict[str, str]) -> bool:
+    """Write the parts as JSON lines and let them appear at once: staging folder first, then a rename.
+
+    Returns whether anything was written. A target published with the same options stays as it is; with others it is refused.
+    """
+    import json
+
+    spark = next(iter(parts.values())).sparkSession
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    wanted = json.dumps(options, sort_keys=True)
+    if fs.exists(path):
+        had = spark.read.text(f"{target}/options").first()
+        if had is None or had[0] != wanted:
+            raise FileExistsError(f"{target} was published with other options")
+        return False
+    staging = jvm.org.apache.hadoop.fs.Path(f"{target}.staging")
+    fs.delete(staging, True)
+    for name, df in parts.items():
+        df.write.json(f"{target}.staging/{name}")
+    spark.createDataFrame([(wanted,)], "value string").coalesce(1).write.text(f"{target}.staging/options")
+    if not fs.rename(staging, path):
+        raise OSError(f"{target} could not be published")
+    return True

@@ -189,3 +189,27 @@ def test_adaptive_cap(spark):
     rows = [(1, i, bad, 40) for i, bad in enumerate([0, 20, 20, 0])] + [(1, 4, 9, 10)]
     got = metrics.adaptive_cap(spark.createDataFrame(rows, "p long, w long, bad long, n long"), "p", "w", "bad", "n").orderBy("window_no").collect()
     assert [r.cap for r in got] == [160, 112, 78, 97, 97]
+
+
+@pytest.mark.parametrize("content, want", [("```python\nx = 1\n```", "x = 1"), ("  ```\na\nb\n```\n", "a\nb"), ("text ```\nx\n```", None), ("```\nx", None), ("```\na\n```\n```\nb\n```", None), (None, None)])
+def test_fenced_source(spark, content, want):
+    assert spark.createDataFrame([(content,)], "s string").select(fn.fenced_source(F.col("s")).alias("b")).first().b == want
+
+
+def test_source_policy(spark):
+    rows = {"x = 1": None, "import os": "import", "eval('1')": "banned:eval", "().__class__": "reflection", "def f(:": "syntax", None: "missing"}
+    got = spark.createDataFrame([(s,) for s in rows], "s string").select("s", fn.source_policy(F.col("s")).alias("p")).select("s", "p.*").collect()
+    assert {r.s: r.reason for r in got} == rows and all(r.ok == (r.reason is None) for r in got)
+
+
+def test_uuid5(spark):
+    import uuid
+
+    space = "6ba7b811-9dad-11d1-80b4-00c04fd430c8"
+    got = spark.createDataFrame([("a/b",), ("é",)], "s string").select("s", fn.uuid5(space, F.col("s")).alias("u")).collect()
+    assert {r.s: r.u for r in got} == {s: str(uuid.uuid5(uuid.UUID(space), s)) for s in ("a/b", "é")}
+
+
+def test_redaction_and_tags(spark):
+    r = spark.sql("SELECT map('url', 'u', 'apiKey', 's', 'TOKEN', null) AS m, array('a:b:c', 'd') AS t").select(fn.redacted(F.col("m")).alias("m"), fn.tags_as_pairs(F.col("t")).alias("t")).first()
+    assert r.m == {"url": "u", "apiKey": "***", "TOKEN": None} and [tuple(x) for x in r.t] == [("a", "b:c"), ("d", None)]

@@ -61,3 +61,14 @@ def test_sse_events(spark):
     body = "data: {\"a\":1}\r\n\r\n: note\n\ndata: two\ndata: lines\n\ndata: [DONE]\n\ndata: late\n\n"
     rows = files.sse_events(spark.createDataFrame([(1, body), (2, None)], "k int, b string"), "k", "b").orderBy("event_no").collect()
     assert [r.data for r in rows] == ['{"a":1}', "two\nlines"]
+
+
+def test_publish_is_idempotent_and_refuses_other_options(spark, tmp_path):
+    import pytest
+
+    df = spark.createDataFrame([(1, "x")], "id int, v string")
+    target = str(tmp_path / "release")
+    assert files.publish({"index": df}, target, {"n": "1"}) and not files.publish({"index": df}, target, {"n": "1"})
+    assert spark.read.json(f"{target}/index").count() == 1
+    with pytest.raises(FileExistsError):
+        files.publish({"index": df}, target, {"n": "2"})

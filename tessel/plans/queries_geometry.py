@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessel.operators import geometry as geo
+from tessel.operators.binary_hashes import binary_hashes
 from tessel.plans.registry import query
 from tessel.plans.views import oracle, view
 
@@ -138,3 +139,8 @@ SELECT r.sample_id, r.room_id, i.n AS n_inside, f.n AS n_floor, 1 - i.n / ((x1 -
 FROM rooms r JOIN i USING (sample_id, room_id) JOIN f USING (sample_id, room_id)""", "rooms", "voxels"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return geo.room_checks(view(spark, sf, "rooms"), view(spark, sf, "voxels"), KEY, "room_id")
+
+
+@query("geo_binary_hashes")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return binary_hashes(view(spark, sf, "voxels"), KEY, "material", "voxels.v1", "occupancy.v1", "occupancy.rotation.v1")

@@ -213,3 +213,24 @@ def test_uuid5(spark):
 def test_redaction_and_tags(spark):
     r = spark.sql("SELECT map('url', 'u', 'apiKey', 's', 'TOKEN', null) AS m, array('a:b:c', 'd') AS t").select(fn.redacted(F.col("m")).alias("m"), fn.tags_as_pairs(F.col("t")).alias("t")).first()
     assert r.m == {"url": "u", "apiKey": "***", "TOKEN": None} and [tuple(x) for x in r.t] == [("a", "b:c"), ("d", None)]
+
+
+def test_binary_hashes(spark):
+    import random as r
+    import struct
+
+    from tessel.operators import binary_hashes as bh
+
+    rows = [("a", x, y, z, "m:stone" if x else "m:log[axis=x]") for x, y, z in L_SHAPE]
+    shuffled = [("b", *row[1:]) for row in r.Random(1).sample(rows, len(rows))]
+    turned = [("c", z + 3, y, -x + 9, s) for _, x, y, z, s in rows]
+    inverted = [("d", x, 9 - y, 9 - z, s) for _, x, y, z, s in rows]
+    df = spark.createDataFrame([*rows, *shuffled, *turned, *inverted], "sample_id string, x int, y int, z int, state string")
+    got = {h.sample_id: h for h in bh.binary_hashes(df, "sample_id", "state", "v", "s", "t").collect()}
+    assert got["a"][1:] == got["b"][1:] and got["a"].shift_hash != got["c"].shift_hash
+    assert got["a"].upright_hash == got["c"].upright_hash != got["d"].upright_hash and got["a"].cube_hash == got["d"].cube_hash
+    cells = sorted(L_SHAPE)
+    names = b'["m:log[axis=x]","m:stone"]'
+    body = b"v\0" + struct.pack("<3H", 256, 256, 256) + struct.pack("<Q", len(names)) + names + struct.pack("<Q", 6) + b"".join(struct.pack("<3H", *c) for c in cells) + b"".join(struct.pack("<I", c[0] > 0) for c in cells)
+    assert got["a"].voxel_hash == hashlib.sha256(body).hexdigest()
+    assert got["a"].shift_hash == hashlib.sha256(b"s\0" + struct.pack("<Q", 6) + b"".join(struct.pack("<3i", *c) for c in cells)).hexdigest()

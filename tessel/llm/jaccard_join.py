@@ -29,14 +29,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tessel.llm.windows import PLACE_BITS, Hashes, mixed
 from tessel.operators.graph import connected_components
-from tessel.plans.stages import BROADCAST_BYTES, sized, written
+from tessel.plans.stages import sized, written
 
 WORDS = 5
 #: Likeness as a percentage of the union.
 PERCENT = 80
-#: A shingle of so many sets within one batch, and of so many over all, is ordered behind those of fewer. This and the bound
+#: A shingle of so many sets among those counted together, and of so many over all, is ordered behind those of fewer. This and the bound
 #: on how many shingles are ordered so change what is compared, never the result.
 COMMON_IN_BATCH, COMMON, MOST_COMMON = 8, 32, 1 << 20
+#: Sets that a task counts together.
+SURVEYED = 4096
 #: Comparisons with one pivot that go to one task together.
 GROUP_PAIRS = 512
 #: Lists of up to so many members are compared together, longer ones each by itself.
@@ -142,16 +144,32 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
     """(kind 0: doc_id, key, size) for each row, and (kind 1: key, size) for shingles with their counts in a batch."""
     schema = "kind int, doc_id long, key long, size long"
 
+    def counted(halves: list[np.ndarray]) -> pa.RecordBatch:
+        shingle = np.concatenate(halves)
+        shingle.sort()
+        begin = np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1]))
+        count = np.diff(np.append(begin, len(shingle)))
+        many = count >= COMMON_IN_BATCH
+        n = int(many.sum())
+        return _table({"kind": (np.ones(n, np.int32), I), "doc_id": (pa.nulls(n, L), L), "key": (shingle[begin[many]].view(np.int64), L), "size": (count[many], L)})
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = shingle_sets(b.column(1).to_pylist(), words)
-            keys = [set_key(s) if len(s) else None for s in sets]
-            yield _table({"kind": ([0] * len(sets), I), "doc_id": (b.column(0), L), "key": (keys, L), "size": ([len(s) for s in sets], L)})
-            distinct = list({k: s for k, s in zip(keys, sets, strict=True) if k is not None}.values())
-            if distinct:
-                shingle, count = np.unique(np.concatenate(distinct), return_counts=True)
-                many = count >= COMMON_IN_BATCH
-                yield _table({"kind": (np.ones(many.sum(), np.int32), I), "doc_id": (pa.nulls(int(many.sum()), L), L), "key": (shingle[many].view(np.int64), L), "size": (count[many], L)})
+        halves: dict[int, np.ndarray] = {}
+        for whole in batches:
+            for i in range(0, len(whole), 256):
+                b = whole.slice(i, 256)
+                sets = shingle_sets(b.column(1).to_pylist(), words)
+                keys = [set_key(s) if len(s) else None for s in sets]
+                yield _table({"kind": ([0] * len(sets), I), "doc_id": (b.column(0), L), "key": (keys, L), "size": ([len(s) for s in sets], L)})
+                for k, s in zip(keys, sets, strict=True):
+                    if k is not None:
+                        halves[k] = s[: len(s) // 2 + 1].copy()  # prefixes seldom reach beyond the lower half of the hashes
+                if len(halves) >= SURVEYED:
+                    yield counted(list(halves.values()))
+                    halves = {}
+        if halves:
+            yield counted(list(halves.values()))
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(work, schema)
 
@@ -165,9 +183,9 @@ def prefixes(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], words: int,
         tokens, ranks = shared.value
         seen: set[int] = set()
         for whole in batches:
-            for i in range(0, len(whole), 512):
+            for i in range(0, len(whole), 256):
                 out: list[tuple[np.ndarray, ...]] = []
-                for s in shingle_sets(whole.slice(i, 512).column(1).to_pylist(), words):
+                for s in shingle_sets(whole.slice(i, 256).column(1).to_pylist(), words):
                     if not len(s) or (key := set_key(s)) in seen:
                         continue
                     seen.add(key)
@@ -267,31 +285,30 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return lists.repartition("token").sortWithinPartitions("token", "size", "key").select("token", "size", "key", "pos", "label").mapInArrow(work, schema)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(key, content) of the wanted keys; each set may come once from each task."""
-    few = wanted.select("key").distinct()
-    keys = np.sort(few.toArrow()["key"].to_numpy()) if few.count() * 8 <= BROADCAST_BYTES else None
-    shared = docs.sparkSession.sparkContext.broadcast(keys)
+def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """(key, content) of the documents' sets; each set may come once from each task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only = shared.value
         seen: set[int] = set()
         for whole in batches:
-            for i in range(0, len(whole), 512):
+            for i in range(0, len(whole), 256):
                 found = {}
-                for s in shingle_sets(whole.slice(i, 512).column(1).to_pylist(), words):
+                for s in shingle_sets(whole.slice(i, 256).column(1).to_pylist(), words):
                     if len(s) and (key := set_key(s)) not in seen:
-                        if only is None or (len(only) and only[min(np.searchsorted(only, key), len(only) - 1)] == key):
-                            seen.add(key)
-                            found[key] = s.tobytes()
+                        seen.add(key)
+                        found[key] = s.tobytes()
                 if found:
                     yield _table({"key": (list(found), L), "content": (list(found.values()), B)})
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(work, "key long, content binary")
 
 
-def compared(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (x, y) that are alike, by the sets themselves. Pairs of one y are dealt out in groups of bounded size."""
+def compared(pairs: DataFrame, docs: DataFrame, holders: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (x, y) that are alike, by the sets themselves. Pairs of one y are dealt out in groups of bounded size.
+
+    ``holders`` names one document for each set (key, holder); only those of the sets in question are read again.
+    """
     pairs = written(pairs, "compare")
     groups = pairs.groupBy("y").agg(F.ceil(F.count("*") / GROUP_PAIRS).cast("int").alias("parts"))
     wanted = pairs.join(groups, "y").select(F.col("x").alias("key"), "y", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"))
@@ -299,7 +316,9 @@ def compared(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     wanted = written(wanted.unionByName(pivots), "wanted")
     if wanted.isEmpty():
         return docs.sparkSession.createDataFrame([], "x long, y long")
-    sent = _sets(docs, wanted, words).join(sized(wanted, 32), "key").select("y", "part", "kind", "key", "content")
+    ids = sized(written(wanted.select("key").distinct().join(holders, "key").select("holder").distinct(), "holders"), 16)
+    some = docs.join(ids, docs.doc_id.eqNullSafe(ids.holder), "left_semi")
+    sent = _sets(some, words).join(sized(wanted, 32), "key").select("y", "part", "kind", "key", "content")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, pivot, last = None, np.zeros(0, np.uint64), None
@@ -327,6 +346,7 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     """(rows (doc_id, key, size), classes (key, class) of the sets that are linked to others)."""
     found = written(survey(docs, words), "survey")
     rows = found.filter("kind = 0").select("doc_id", "key", "size")
+    holders = written(rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("holder")), "holders")
     often = found.filter("kind = 1").groupBy("key").agg(F.sum("size").alias("n")).filter(F.col("n") >= COMMON).orderBy(F.desc("n"), "key").limit(MOST_COMMON).toArrow()
     token, n = often["key"].to_numpy().view(np.uint64), often["n"].to_numpy()
     rank = np.empty(len(token), np.uint64)
@@ -346,7 +366,7 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     votes = live.join(heads.select("token", F.col("head.key").alias("pivot"), F.col("head.size").alias("pivot_size")), "token").filter("key != pivot")
     votes = votes.groupBy("key", "size", "pivot", "pivot_size").agg(F.count("*").alias("c")).filter(may_be_alike("size", "pivot_size", "c"))
     best = votes.groupBy("key").agg(F.max_by("pivot", F.struct("c", "pivot")).alias("pivot"))
-    labels = _roots(written(compared(best.select(F.col("key").alias("x"), F.col("pivot").alias("y")), docs, words, percent), "links"))
+    labels = _roots(written(compared(best.select(F.col("key").alias("x"), F.col("pivot").alias("y")), docs, holders, words, percent), "links"))
 
     # second round: for each set, the pair of another class with which it shares most
     known = written(live.join(labels, live.key == labels.x, "left").select("token", "size", "key", "pos", F.coalesce("root", "key").alias("label")), "labelled")
@@ -358,11 +378,11 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     of_x = pairs.groupBy("x").agg(F.max_by("y", F.struct("c", "y")).alias("y"))
     of_y = pairs.groupBy("y").agg(F.max_by("x", F.struct("c", "x")).alias("x")).select("x", "y")
     near = written(of_x.union(of_y).distinct(), "near")
-    labels = _tied(labels, compared(near, docs, words, percent))
+    labels = _tied(labels, compared(near, docs, holders, words, percent))
 
     # third round: all pairs whose sets still lie in different classes
     rest = _labelled(pairs.join(near, ["x", "y"], "left_anti"), labels).filter("lx != ly").select("x", "y")
-    labels = _tied(labels, compared(rest, docs, words, percent))
+    labels = _tied(labels, compared(rest, docs, holders, words, percent))
     return rows, labels.select(F.col("x").alias("key"), F.col("root").alias("class"))
 
 

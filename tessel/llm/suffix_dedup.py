@@ -55,7 +55,7 @@ def _arrow(columns: list, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
 
-def _some(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+def _some(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
     for i in range(0, len(batch), rows):
         yield batch.slice(i, rows)
 
@@ -129,7 +129,7 @@ def _suffixes(mixed: DataFrame, docs: DataFrame, length: int, block: int, keep:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in _some(whole, 256):
+            for b in _some(whole, 128):
                 held, size = {}, 0
                 for doc_id, raw, value, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
                     held[doc_id, raw] = (doc_id, raw, value.as_py().encode(), spans)  # rows with equal ids and texts are one

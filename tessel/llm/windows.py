@@ -10,9 +10,9 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK = 1 << 18
+CHUNK = 1 << 17
 #: Low bits of a comparison key that hold a position in the chunk.
-PLACE_BITS = 20
+PLACE_BITS = 19
 _SIZE = (1 << PLACE_BITS) + 1
 _tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 

@@ -12,7 +12,8 @@ the one with which it shares most. A list is headed by its most typical member,
 copies of one text thus meet the least edited of them. Links make classes, and what follows looks only at pairs of different
 classes: the other pairs' answers (the same class) follow from those computed. Next each set is compared with the one set of
 another class with which it shares most, and at last all pairs that still lie in different classes are compared, so that no
-link between classes is lost. A pair is compared only if its shared prefix shingles leave the overlap possible.
+link between classes is lost. A pair is compared only if its shared prefix shingles leave the overlap possible, and if its
+distances from a common pivot do: two sets differ in at least as many shingles as those distances differ by.
 
 Defined cases: a null or blank text has no set and is alone in its class; a text shorter than a shingle has its whole word
 sequence as one; very long texts are cut nowhere; repeated rows and equal ids fall into one class if their sets are alike;
@@ -43,6 +44,7 @@ SURVEYED = 4096
 GROUP_PAIRS = 512
 #: Lists of up to so many members are compared together, longer ones each by itself.
 SHORT_LIST = 12
+COMPARED = "x long, y long, distance long, alike boolean"
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -144,8 +146,8 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
     """(kind 0: doc_id, key, size) for each row, and (kind 1: key, size) for shingles with their counts in a batch."""
     schema = "kind int, doc_id long, key long, size long"
 
-    def counted(halves: list[np.ndarray]) -> pa.RecordBatch:
-        shingle = np.concatenate(halves)
+    def counted(sets: list[np.ndarray]) -> pa.RecordBatch:
+        shingle = np.concatenate(sets)
         shingle.sort()
         begin = np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1]))
         count = np.diff(np.append(begin, len(shingle)))
@@ -154,7 +156,7 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
         return _table({"kind": (np.ones(n, np.int32), I), "doc_id": (pa.nulls(n, L), L), "key": (shingle[begin[many]].view(np.int64), L), "size": (count[many], L)})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        halves: dict[int, np.ndarray] = {}
+        held: dict[int, np.ndarray] = {}
         for whole in batches:
             for i in range(0, len(whole), 256):
                 b = whole.slice(i, 256)
@@ -163,12 +165,12 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
                 yield _table({"kind": ([0] * len(sets), I), "doc_id": (b.column(0), L), "key": (keys, L), "size": ([len(s) for s in sets], L)})
                 for k, s in zip(keys, sets, strict=True):
                     if k is not None:
-                        halves[k] = s[: len(s) // 2 + 1].copy()  # prefixes seldom reach beyond the lower half of the hashes
-                if len(halves) >= SURVEYED:
-                    yield counted(list(halves.values()))
-                    halves = {}
-        if halves:
-            yield counted(list(halves.values()))
+                        held[k] = s
+                if len(held) >= SURVEYED:
+                    yield counted(list(held.values()))
+                    held = {}
+        if held:
+            yield counted(list(held.values()))
         pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(work, schema)
@@ -245,7 +247,8 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
         return _table({"x": (key[x], L), "y": (key[y], L), "nx": (size[x].astype(np.int32), I), "ny": (size[y].astype(np.int32), I), "room": (room.astype(np.int32), I)})
 
     def fit(rows: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        return (100 * rows[0, x] >= percent * rows[0, y]) & (rows[3, x] != rows[3, y])
+        far = (rows[4, x] == rows[4, y]) & ((100 + percent) * np.abs(rows[5, x] - rows[5, y]) > (100 - percent) * (rows[0, x] + rows[0, y]))
+        return (100 * rows[0, x] >= percent * rows[0, y]) & (rows[3, x] != rows[3, y]) & ~far
 
     def long_list(rows: np.ndarray, fresh: int) -> Iterator[pa.RecordBatch]:
         """Pairs of one list whose later member is at ``fresh`` or behind, in blocks of bounded size."""
@@ -262,7 +265,7 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
         for b in batches:
             if not len(b):
                 continue
-            tokens, *rest = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5))
+            tokens, *rest = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(7))
             rows = np.stack(rest)
             begin = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
             size = np.diff(np.append(begin, len(tokens)))
@@ -282,7 +285,7 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
                 yield from long_list(both, both.shape[1] - own.shape[1])
                 token, held = tokens[begin[g]], both[:, both[0] >= needed(both[0, -1], percent)]
 
-    return lists.repartition("token").sortWithinPartitions("token", "size", "key").select("token", "size", "key", "pos", "label").mapInArrow(work, schema)
+    return lists.repartition("token").sortWithinPartitions("token", "size", "key").select("token", "size", "key", "pos", "label", "pivot", "distance").mapInArrow(work, schema)
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -305,7 +308,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def compared(pairs: DataFrame, docs: DataFrame, holders: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (x, y) that are alike, by the sets themselves. Pairs of one y are dealt out in groups of bounded size.
+    """(x, y, distance, alike) of the pairs, by the sets themselves; the distance is the size of the symmetric difference. Pairs of one y are dealt out in groups of bounded size.
 
     ``holders`` names one document for each set (key, holder); only those of the sets in question are read again.
     """
@@ -315,7 +318,7 @@ def compared(pairs: DataFrame, docs: DataFrame, holders: DataFrame, words: int,
     pivots = groups.select(F.col("y").alias("key"), "y", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"))
     wanted = written(wanted.unionByName(pivots), "wanted")
     if wanted.isEmpty():
-        return docs.sparkSession.createDataFrame([], "x long, y long")
+        return docs.sparkSession.createDataFrame([], COMPARED)
     ids = sized(written(wanted.select("key").distinct().join(holders, "key").select("holder").distinct(), "holders"), 16)
     some = docs.join(ids, docs.doc_id.eqNullSafe(ids.holder), "left_semi")
     sent = _sets(some, words).join(sized(wanted, 32), "key").select("y", "part", "kind", "key", "content")
@@ -333,13 +336,12 @@ def compared(pairs: DataFrame, docs: DataFrame, holders: DataFrame, words: int,
                     own = np.frombuffer(content.as_py(), np.uint64)
                     at = np.searchsorted(pivot, own)
                     both = int((pivot[np.minimum(at, len(pivot) - 1)] == own).sum())
-                    if 100 * both >= percent * (len(own) + len(pivot) - both):
-                        out.append((key, y))
+                    out.append((key, y, len(own) + len(pivot) - 2 * both, 100 * both >= percent * (len(own) + len(pivot) - both)))
             if out:
-                x, y_ = zip(*out, strict=True)
-                yield _table({"x": (x, L), "y": (y_, L)})
+                x, y_, distance, alike = zip(*out, strict=True)
+                yield _table({"x": (x, L), "y": (y_, L), "distance": (distance, L), "alike": (alike, pa.bool_())})
 
-    return sent.repartition("y", "part").sortWithinPartitions("y", "part", "kind", "key").mapInArrow(work, "x long, y long")
+    return sent.repartition("y", "part").sortWithinPartitions("y", "part", "kind", "key").mapInArrow(work, COMPARED)
 
 
 def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -366,10 +368,13 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     votes = live.join(heads.select("token", F.col("head.key").alias("pivot"), F.col("head.size").alias("pivot_size")), "token").filter("key != pivot")
     votes = votes.groupBy("key", "size", "pivot", "pivot_size").agg(F.count("*").alias("c")).filter(may_be_alike("size", "pivot_size", "c"))
     best = votes.groupBy("key").agg(F.max_by("pivot", F.struct("c", "pivot")).alias("pivot"))
-    labels = _roots(written(compared(best.select(F.col("key").alias("x"), F.col("pivot").alias("y")), docs, holders, words, percent), "links"))
+    first = written(compared(best.select(F.col("key").alias("x"), F.col("pivot").alias("y")), docs, holders, words, percent), "first")
+    labels = _roots(first.filter("alike").select("x", "y"))
 
     # second round: for each set, the pair of another class with which it shares most
-    known = written(live.join(labels, live.key == labels.x, "left").select("token", "size", "key", "pos", F.coalesce("root", "key").alias("label")), "labelled")
+    met = first.select(F.col("x").alias("met"), F.col("y").alias("pivot"), "distance")
+    known = live.join(labels, live.key == labels.x, "left").join(met, F.col("key") == F.col("met"), "left")
+    known = written(known.select("token", "size", "key", "pos", F.coalesce("root", "key").alias("label"), F.coalesce("pivot", "key").alias("pivot"), F.coalesce("distance", F.lit(0)).alias("distance")), "labelled")
     split = known.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("token")
     pairs = cross_pairs(known.join(split, "token", "left_semi"), percent)
     pairs = pairs.groupBy("x", "y", "nx", "ny").agg(F.count("*").alias("c"), F.max("room").alias("room"))
@@ -394,7 +399,7 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _tied(labels: DataFrame, links: DataFrame) -> DataFrame:
     """The classes (x, root) after further links: only the classes are tied, not their members."""
-    links = written(_labelled(links, labels), "links")
+    links = written(_labelled(links.filter("alike").select("x", "y"), labels), "links")
     tied = connected_components(links.filter("lx != ly").select("lx", "ly").distinct(), "lx", "ly")
     tied = written(tied, "tied")
     every = labels.unionByName(links.select(F.explode(F.array(F.struct(F.col("x"), F.col("lx").alias("root")), F.struct(F.col("y").alias("x"), F.col("ly").alias("root")))).alias("s")).select("s.*")).distinct()

@@ -9,8 +9,10 @@ from tessel.plans.stages import written
 from tessel.plans.tables import table
 
 
-#: Passages of over 50 words, at six bytes a word with its blank.
+#: Long passages go by their bytes alone, whatever they hold.
 PASSAGE_BYTES = 300
+#: Passages of over 50 words go too, however short the words are.
+PASSAGE_WORDS = 51
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +33,17 @@ def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return suffix_dedup.without_repeats(docs, "doc_id", "text", keep="first", length=PASSAGE_BYTES, block=PASSAGE_BYTES // 2).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
+def word_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the later copies of passages of over 50 words that are short in bytes; n_chars follows the text."""
+    return suffix_dedup.without_repeats(docs, "doc_id", "text", keep="first", length=PASSAGE_WORDS, block=PASSAGE_WORDS // 2, words=True).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 1024 tokens."""
     return packing.packed(docs, "doc_id", "text", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken")
 
 
-STAGES = [("quality", quality_stage), ("near_duplicates", near_duplicate_stage), ("passages", passage_stage), ("packing", packing_stage)]
+STAGES = [("quality", quality_stage), ("near_duplicates", near_duplicate_stage), ("passages", passage_stage), ("word_passages", word_passage_stage), ("packing", packing_stage)]
 #: The stages have no form in SQL (shingle classes, byte ranges, tokens); tests/llm holds them against plain versions.
 ORACLE_SQL = None
 

@@ -15,6 +15,9 @@ A suffix array of the whole corpus is never built. Its order is needed only insi
 Texts that occur more than once take part once, with their count. Hashes are of 64 bits each for anchor, run and window, and
 two windows are held equal if anchor and window hash are.
 
+With ``words``, ``length`` and ``block`` and all positions count words instead of bytes: what goes are repeats of so many words,
+white space between them included, however long the words are (see ``word_windows``).
+
 ``keep`` says what goes: "none" removes every byte covered by a string that also starts anywhere else; "first" keeps the
 occurrence that comes first by (id, start), a string that overlaps its own copy keeping its first period.
 
@@ -32,7 +35,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tessel.llm.windows import window_hashes, window_runs
+from tessel.llm import windows, word_windows
 from tessel.plans.stages import BROADCAST_BYTES, sized, written
 
 LENGTH = 400
@@ -60,8 +63,9 @@ def _some(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(i, rows)
 
 
-def runs(docs: DataFrame, length: int, block: int) -> DataFrame:
+def runs(docs: DataFrame, length: int, block: int, words: bool = False) -> DataFrame:
     """The runs of all texts, as in ``RUNS``."""
+    window_runs = (word_windows if words else windows).window_runs
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -79,7 +83,7 @@ def _by_text(spans: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(lists) if rows * 64 <= BROADCAST_BYTES else lists, ["doc_id", "raw"])
 
 
-def _suffixes(mixed: DataFrame, docs: DataFrame, length: int, block: int, keep: str) -> DataFrame:
+def _suffixes(mixed: DataFrame, docs: DataFrame, length: int, block: int, keep: str, words: bool = False) -> DataFrame:
     """One row per run, or piece of one: its anchor and slice, and the hashes and starts of its windows.
 
     A task combines before it sends: of the equal windows of some hundred texts only the first goes on, marked by its weight as
@@ -87,6 +91,7 @@ def _suffixes(mixed: DataFrame, docs: DataFrame, length: int, block: int, keep:
     """
     schema = "anchor long, slice long, doc_id long, raw long, begin long, weight long, starts binary, hashes binary"
     distances = length - block + 1
+    window_hashes = (word_windows if words else windows).window_hashes
 
     def pieces(s: dict, own: np.ndarray, weight: np.ndarray) -> Iterator[tuple[int, int, int, bytes, bytes]]:
         """(slice, first start, weight, starts unless they follow one another, hashes) of a run's windows of some weight."""
@@ -214,7 +219,7 @@ def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
     return out.select("doc_id", F.xxhash64("text").alias("raw"), "text")
 
 
-def repeated_spans(docs: DataFrame, keep: str = "none", length: int = LENGTH, block: int = BLOCK, group_runs: int = GROUP_RUNS) -> tuple[DataFrame, DataFrame]:
+def repeated_spans(docs: DataFrame, keep: str = "none", length: int = LENGTH, block: int = BLOCK, group_runs: int = GROUP_RUNS, words: bool = False) -> tuple[DataFrame, DataFrame]:
     """(spans of window starts to remove in ``docs`` (doc_id, raw, text), texts that occur more than once).
 
     Spans leave out those texts' further copies, whose windows all repeat the first copy's.
@@ -222,12 +227,14 @@ def repeated_spans(docs: DataFrame, keep: str = "none", length: int = LENGTH, bl
     if keep not in ("none", "first"):
         raise ValueError(keep)
     docs = docs.filter(F.octet_length("text") >= length)
+    if words:
+        docs = docs.filter(F.regexp_count("text", F.lit(r"[^ \t-\r]+")) >= length)
     copies = _copies(docs)
     seen = sized(copies.select("raw", F.col("first_id"), "copies"), 32)
-    counted = runs(docs, length, block).groupBy("anchor").agg(F.count("*").alias("runs"), F.min("content").alias("a"), F.max("content").alias("b"))
+    counted = runs(docs, length, block, words).groupBy("anchor").agg(F.count("*").alias("runs"), F.min("content").alias("a"), F.max("content").alias("b"))
     shared = written(counted.filter("runs > 1").select("anchor", "runs", (F.col("a") == F.col("b")).alias("alike")), "anchors")
     found = (
-        runs(docs, length, block).join(sized(shared, 32), "anchor").join(seen, "raw", "left")
+        runs(docs, length, block, words).join(sized(shared, 32), "anchor").join(seen, "raw", "left")
         .filter(F.col("copies").isNull() | (F.col("doc_id") == F.col("first_id")))
         .withColumn("weight", F.coalesce("copies", F.lit(1)))
         .select("doc_id", "raw", "anchor", "start", "n", "lead", "weight", "runs", "alike")
@@ -239,12 +246,12 @@ def repeated_spans(docs: DataFrame, keep: str = "none", length: int = LENGTH, bl
     if keep == "first":
         first = same.groupBy("anchor").agg(F.min(F.struct("doc_id", "raw", "start")).alias("first"))
         same = same.join(first, "anchor").filter(~F.struct("doc_id", "raw", "start").eqNullSafe(F.col("first")))
-    spans = same.select("doc_id", "raw", "start", "n").unionByName(_repeated(_suffixes(mixed, docs, length, block, keep), keep))
+    spans = same.select("doc_id", "raw", "start", "n").unionByName(_repeated(_suffixes(mixed, docs, length, block, keep, words), keep))
     return written(spans, "spans"), copies
 
 
 def merged(starts: list[int], sizes: list[int], length: int) -> list[tuple[int, int]]:
-    """Maximal removed byte ranges of the windows at ``starts[i] .. starts[i] + sizes[i] - 1``."""
+    """Maximal removed ranges of the windows at ``starts[i] .. starts[i] + sizes[i] - 1``."""
     out: list[list[int]] = []
     for a, n in sorted(zip(starts, sizes, strict=True)):
         end = a + n - 1 + length
@@ -255,13 +262,13 @@ def merged(starts: list[int], sizes: list[int], length: int) -> list[tuple[int,
     return [(a, b) for a, b in out]
 
 
-def marked(df: DataFrame, key: str, text: str, keep: str = "none", length: int = LENGTH, block: int = BLOCK, group_runs: int = GROUP_RUNS) -> DataFrame:
+def marked(df: DataFrame, key: str, text: str, keep: str = "none", length: int = LENGTH, block: int = BLOCK, group_runs: int = GROUP_RUNS, words: bool = False) -> DataFrame:
     """``df`` with __spans (window starts to remove, or null) and __whole (all bytes go).
 
     Rows of one text that occurs more than once: with "none" all their bytes go; with "first" those of all rows but one of the
     least id. Names that begin with two underscores are reserved.
     """
-    spans, copies = repeated_spans(keyed(df, key, text), keep, length, block, group_runs)
+    spans, copies = repeated_spans(keyed(df, key, text), keep, length, block, group_runs, words)
     lists = spans.groupBy(F.col("doc_id").alias("__id"), F.col("raw").alias("__raw")).agg(F.collect_list(F.struct("start", "n")).alias("__spans"))
     near = F.broadcast(lists) if spans.count() * 48 <= BROADCAST_BYTES else lists
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -281,11 +288,15 @@ def _but_one(out: DataFrame) -> DataFrame:
     return both.withColumn("__whole", F.col("__whole") & (F.col("__nth") > 1))
 
 
-def _cut(length: int):
-    def ranges(size: int, spans: list | None, whole: bool) -> list[tuple[int, int]]:
+def _cut(length: int, words: bool = False):
+    def ranges(content: bytes, spans: list | None, whole: bool) -> list[tuple[int, int]]:
         if whole:
-            return [(0, size)]
-        return merged([s["start"] for s in spans or []], [s["n"] for s in spans or []], length)
+            return [(0, len(content))]
+        gone = merged([s["start"] for s in spans or []], [s["n"] for s in spans or []], length)
+        if words and gone:
+            begin, end = word_windows.word_edges(content)
+            return [(int(begin[a]), int(end[b - 1])) for a, b in gone]
+        return gone
 
     def kept(content: bytes, gone: list[tuple[int, int]]) -> bytes:
         if not gone:
@@ -296,11 +307,11 @@ def _cut(length: int):
     return ranges, kept
 
 
-def cut_report(df: DataFrame, key: str, text: str, keep: str = "none", length: int = LENGTH, **how) -> DataFrame:
+def cut_report(df: DataFrame, key: str, text: str, keep: str = "none", length: int = LENGTH, words: bool = False, **how) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    ranges, kept = _cut(length)
-    rows = marked(df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")), "doc_id", "text", keep, length, **how)
+    ranges, kept = _cut(length, words)
+    rows = marked(df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")), "doc_id", "text", keep, length, words=words, **how)
     none = F.lit(0).cast("long")
     plain = rows.filter("__spans IS NULL AND NOT __whole").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
@@ -310,7 +321,7 @@ def cut_report(df: DataFrame, key: str, text: str, keep: str = "none", length: i
                 out = []
                 for doc_id, value, spans, all_ in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                     content = value.as_py().encode()
-                    gone = ranges(len(content), spans, all_)
+                    gone = ranges(content, spans, all_)
                     left = kept(content, gone)
                     out.append((doc_id, len(content), len(content) - len(left), len(gone), hashlib.sha256(left).hexdigest()))
                 yield _arrow(list(zip(*out, strict=True)), schema)
@@ -318,18 +329,18 @@ def cut_report(df: DataFrame, key: str, text: str, keep: str = "none", length: i
     return plain.unionByName(rows.filter("__spans IS NOT NULL OR __whole").select("doc_id", "text", "__spans", "__whole").mapInArrow(work, schema))
 
 
-def without_repeats(df: DataFrame, key: str, text: str, keep: str = "first", length: int = LENGTH, **how) -> DataFrame:
+def without_repeats(df: DataFrame, key: str, text: str, keep: str = "first", length: int = LENGTH, words: bool = False, **how) -> DataFrame:
     """``df`` with the repeated bytes cut out of ``text``; characters cut in two go whole. Other columns stay."""
-    ranges, kept = _cut(length)
+    ranges, kept = _cut(length, words)
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series, whole: pd.Series) -> pd.Series:
         left = []
         for t, s, w in zip(texts, spans, whole, strict=True):
             content = (t or "").encode()
-            left.append(kept(content, ranges(len(content), None if s is None else list(s), w)).decode(errors="ignore"))
+            left.append(kept(content, ranges(content, None if s is None else list(s), w)).decode(errors="ignore"))
         return pd.Series(left, dtype=object)
 
-    rows = marked(df, key, text, keep, length, **how)
+    rows = marked(df, key, text, keep, length, words=words, **how)
     same = rows.filter("__spans IS NULL AND NOT __whole").select(*df.columns)
     return same.unionByName(rows.filter("__spans IS NOT NULL OR __whole").withColumn(text, cut(text, "__spans", "__whole")).select(*df.columns))

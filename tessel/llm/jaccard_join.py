@@ -41,6 +41,8 @@ COMMON_IN_BATCH, COMMON, MOST_COMMON = 8, 32, 1 << 20
 GROUP_PAIRS = 512
 #: Lists of up to so many members are compared together, longer ones each by itself.
 SHORT_LIST = 12
+#: Members on each side that are compared at once, and of one class in such a block from which the class is compared by itself.
+LIST_BLOCK, OWN_CLASS = 1024, 64
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -214,6 +216,27 @@ def live_lists(entries: DataFrame) -> DataFrame:
     return entries.repartition("token").sortWithinPartitions("token", "size", "key").mapInArrow(work, schema)
 
 
+def differing_pairs(rows: np.ndarray, fresh: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (x, y) of one list's pairs of different classes, sizes permitting, whose later member is at ``fresh`` or behind.
+
+    ``rows`` are size, key, pos and label by size. Both sides go block by block; of a class with many members in a block only
+    the members of other classes are met, so that neither memory nor pairs looked at follow the square of one class.
+    """
+    low = np.searchsorted(rows[0], needed(rows[0], percent))
+    for at in range(fresh, rows.shape[1], LIST_BLOCK):
+        later = np.arange(at, min(at + LIST_BLOCK, rows.shape[1]))
+        _, group, n = np.unique(rows[3, later], return_inverse=True, return_counts=True)
+        large = np.flatnonzero(n >= OWN_CLASS)
+        for g in [*large.tolist(), -1]:
+            y = later[group == g] if g >= 0 else later[n[group] < OWN_CLASS]
+            for first in range(low[y[0]], y[-1], LIST_BLOCK) if len(y) else ():
+                x = np.arange(first, min(first + LIST_BLOCK, y[-1]))
+                x = x[rows[3, x] != rows[3, y[0]]] if g >= 0 else x
+                p, q = np.nonzero((x[:, None] < y) & (100 * rows[0, x][:, None] >= percent * rows[0, y]) & (rows[3, x][:, None] != rows[3, y]))
+                if len(p):
+                    yield x[p], y[q]
+
+
 def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """(x, y, nx, ny, room) once for each list entry that two sets of different classes share, sizes permitting.
 
@@ -229,16 +252,6 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
     def fit(rows: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return (100 * rows[0, x] >= percent * rows[0, y]) & (rows[3, x] != rows[3, y])
 
-    def long_list(rows: np.ndarray, fresh: int) -> Iterator[pa.RecordBatch]:
-        """Pairs of one list whose later member is at ``fresh`` or behind, in blocks of bounded size."""
-        low = np.searchsorted(rows[0], needed(rows[0], percent))
-        for at in range(fresh, rows.shape[1], 1024):
-            j = np.arange(at, min(at + 1024, rows.shape[1]))
-            i = np.arange(low[j[0]], j[-1])
-            p, q = np.nonzero((i[:, None] < j[None, :]) & fit(rows, i[:, None], j[None, :]))
-            if len(p):
-                yield made(rows, i[p], j[q])
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, held = None, None  # the list that may go on: its members large enough for what may come
         for b in batches:
@@ -261,7 +274,8 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
                 own = rows[:, begin[g] : begin[g] + size[g]]
                 going_on = token is not None and token == tokens[begin[g]]
                 both = np.concatenate([held, own], axis=1) if going_on else own
-                yield from long_list(both, both.shape[1] - own.shape[1])
+                for x, y in differing_pairs(both, both.shape[1] - own.shape[1], percent):
+                    yield made(both, x, y)
                 token, held = tokens[begin[g]], both[:, both[0] >= needed(both[0, -1], percent)]
 
     return lists.repartition("token").sortWithinPartitions("token", "size", "key").select("token", "size", "key", "pos", "label").mapInArrow(work, schema)

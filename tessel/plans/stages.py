@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,29 +13,45 @@ BROADCAST_BYTES = 24 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tessel-shared-")
-        spark.sparkContext.setCheckpointDir(folder)
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset, a local session (tests) takes a temporary folder; on a cluster nobody else could read that, so it raises.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessel-shared-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def _remove(spark: SparkSession, where: str, at_exit: bool) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.deleteOnExit(path) if at_exit else files.delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Later stages then start from files that survive the loss of any executor. The files go when the application ends.
+    Later stages then start from files that survive the loss of any executor. The files go when the application ends, or in
+    ``forgotten``.
     """
     spark = df.sparkSession
     where = f"{shared_folder(spark)}/tessel-{label}-{uuid.uuid4().hex}"
     df.write.parquet(where)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(where)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(where)
+    _remove(spark, where, at_exit=True)
+    out = spark.read.schema(df.schema).parquet(where)
+    out._tessel_files = where
+    return out
+
+
+def forgotten(tables: Iterable[DataFrame]) -> None:
+    """Delete the files of tables that ``written`` made, once nothing reads them any more."""
+    for df in tables:
+        if where := getattr(df, "_tessel_files", None):
+            _remove(df.sparkSession, where, at_exit=False)
 
 
 def sized(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -48,7 +48,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.cut_report(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return suffix_dedup.cut_report(table(spark, sf_dir, "documents"), "doc_id", "text", passage_words=suffix_dedup.PASSAGE_WORDS)
 
 
 def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,22 +1,24 @@
-"""Removing repeated byte strings by suffix order, truncated at the length that counts.
+"""Removing repeated byte strings by longest-previous-factor arrays, kept to the suffixes that can repeat.
 
-In the suffix array of all texts, the suffixes that share their first ``length`` bytes are neighbours. Such a suffix has a
-longest previous factor of ``length`` or more exactly if one of its previous or next smaller positions in that order shares
-them, i.e. if it isn't the first of its class by position; it repeats anywhere at all exactly if its class has a second member.
-A suffix array of the whole corpus is never built. Its order is needed only inside the classes, and those are found so:
+In the suffix array of all texts, the suffixes that share their first ``length`` bytes are neighbours, and such a suffix has a
+longest previous factor (LPF) of ``length`` or more exactly if it isn't the first of them by position. A suffix array of the
+whole corpus is never built; the order is needed only among suffixes that may share so many bytes, and those are found so:
 
 1. Each text's windows of ``length`` bytes are put in runs that share an anchor, the block of least hash inside the window.
-   Equal windows have equal anchors. Anchors are counted over all texts; most occur once, and their windows are unique.
-2. If all runs of an anchor cover the same bytes, their windows repeat as they stand.
-3. The other runs are sent out by anchor, window hash by window hash, after equal windows near each other are combined. A task
-   sorts its suffixes by class and position and reads previous and next positions off the order. Runs of a frequent anchor are cut up first, in proportion to the anchor's
-   count: by the window's distance from it, which equal windows share, then by window hash. So no group grows with the corpus.
+   Equal windows have equal anchors at equal distances. Anchors are counted over all texts; most occur once, and their windows
+   are unique.
+2. Runs of one anchor that cover the same bytes are aggregated before anything is sent: all but the first by position repeat
+   whole, and only the first goes on.
+3. What is left of an anchor goes to one group as bytes. There its suffixes are sorted, LCPs taken between neighbours, and the
+   previous and next smaller positions give the LPF array (``suffix_order``).
+4. An anchor with more than ``group_runs`` different covers is cut up first: its windows by their distance from the anchor, and
+   the ranges by the core of bytes that all windows of the range share. Ranges that are still too many are cut again, at last
+   into single windows, whose counts settle them. So no group grows with the corpus, and what repeats is aggregated each time.
 
-Texts that occur more than once take part once, with their count. Hashes are of 64 bits each for anchor, run and window, and
-two windows are held equal if anchor and window hash are.
+Texts that occur more than once take part once, with their count. Hashes have 64 bits each for anchor, core and cover.
 
-With ``words``, ``length`` and ``block`` and all positions count words instead of bytes: what goes are repeats of so many words,
-white space between them included, however long the words are (see ``word_windows``).
+A kind of window counts bytes or words. With words, what goes are repeats of so many words, white space between them included,
+however long the words are (see ``word_windows``).
 
 ``keep`` says what goes: "none" removes every byte covered by a string that also starts anywhere else; "first" keeps the
 occurrence that comes first by (id, start), a string that overlaps its own copy keeping its first period.
@@ -26,185 +28,196 @@ rows with equal ids and different texts are ordered by a hash of the text; very
 ASCII are treated as bytes; an empty table gives no rows; columns other than the two named are not read.
 """
 
+from __future__ import annotations
+
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tessel.llm import windows, word_windows
-from tessel.plans.stages import BROADCAST_BYTES, sized, written
+from tessel.llm import suffix_order, windows, word_windows
+from tessel.llm.arrow import named, slices, table
+from tessel.plans.stages import BROADCAST_BYTES, forgotten, sized, written
 
 LENGTH = 400
 BLOCK = 200
-#: Runs of an anchor that are sorted together, about; those of an anchor with more are cut up.
-GROUP_RUNS = 8192
-#: Windows that a task combines at once before it sends them on, about.
-COMBINED = 1 << 19
-SETTLED = -1
+#: A passage has more than 50 words.
+PASSAGE_WORDS = 51
+#: Different covers of an anchor that are sorted together.
+GROUP_RUNS = 512
+#: Rows that a task holds before it sends them on.
+HELD = 4096
 
 NO_ID = -(1 << 63)
 
-RUNS = "doc_id long, raw long, anchor long, content long, start long, n long, lead long"
+RUNS = "doc_id long, raw long, anchor long, content long, start long, n long, lead long, weight long"
+COVERS = "anchor long, doc_id long, raw long, start long, n long, cover binary"
 SPANS = "doc_id long, raw long, start long, n long"
 
 
-def _arrow(columns: list, schema: str) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "int": pa.int32()}
-    fields = [x.split() for x in schema.split(", ")]
-    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+class Kind(NamedTuple):
+    """Windows of ``length`` positions with anchors of ``block``; positions are bytes or words."""
+
+    length: int = LENGTH
+    block: int = BLOCK
+    words: bool = False
+
+    @property
+    def least_bytes(self) -> int:
+        return 2 * self.length - 1 if self.words else self.length
 
+    def view(self, text: bytes) -> tuple[bytes, tuple[np.ndarray, np.ndarray] | None]:
+        """The text that windows are taken from, and the edges of its positions unless they are bytes."""
+        if not self.words:
+            return text, None
+        seen, begin, end = word_windows.view(text)
+        return seen, (begin, end)
 
-def _some(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    for i in range(0, len(batch), rows):
-        yield batch.slice(i, rows)
+    def widths(self) -> list[int]:
+        """Ranges of distances from the anchor in which a hot anchor's windows are cut, ever narrower."""
+        out = [self.length - self.block + 1]
+        while out[-1] > 1:
+            out.append(-(-out[-1] // 8))
+        return out[1:]
 
 
-def runs(docs: DataFrame, length: int, block: int, words: bool = False) -> DataFrame:
-    """The runs of all texts, as in ``RUNS``."""
-    window_runs = (word_windows if words else windows).window_runs
+def runs(docs: DataFrame, kind: Kind) -> DataFrame:
+    """The runs of all texts (doc_id, raw, text, weight), as in ``RUNS``."""
+    of = (word_windows if kind.words else windows).window_runs
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in _some(whole):
-                text, start, n, anchor, content, lead = window_runs([v.as_py().encode() for v in b.column(2)], length, block)
-                yield _arrow([b.column(0).take(pa.array(text)), b.column(1).take(pa.array(text)), anchor, content, start, n, lead], RUNS)
+            for b in slices(whole, 2):
+                text, start, n, anchor, content, lead = of([v.as_py().encode() for v in b.column(2)], kind.length, kind.block)
+                row = pa.array(text)
+                yield table([b.column(0).take(row), b.column(1).take(row), anchor, content, start, n, lead, b.column(3).take(row)], RUNS)
 
-    return docs.select("doc_id", "raw", "text").mapInArrow(work, RUNS)
+    return docs.select("doc_id", "raw", "text", "weight").mapInArrow(work, RUNS)
 
 
 def _by_text(spans: DataFrame, docs: DataFrame) -> DataFrame:
     """``docs`` with the lists of their spans; the lists are sent whole only if they measure up to the limit."""
     lists = spans.groupBy("doc_id", "raw").agg(F.collect_list(F.struct(*[c for c in spans.columns if c not in ("doc_id", "raw")])).alias("spans"))
     rows = spans.count()
-    return docs.join(F.broadcast(lists) if rows * 64 <= BROADCAST_BYTES else lists, ["doc_id", "raw"])
+    return docs.join(F.broadcast(lists) if rows * 64 <= BROADCAST_BYTES else lists, ["doc_id", "raw"]).select("doc_id", "raw", "text", "spans")
 
 
-def _suffixes(mixed: DataFrame, docs: DataFrame, length: int, block: int, keep: str, words: bool = False) -> DataFrame:
-    """One row per run, or piece of one: its anchor and slice, and the hashes and starts of its windows.
+def _pieces(hot: DataFrame, docs: DataFrame, kind: Kind, width: int) -> DataFrame:
+    """The runs of anchors with too many covers, cut into ranges of ``width`` distances, as in ``RUNS``."""
 
-    A task combines before it sends: of the equal windows of some hundred texts only the first goes on, marked by its weight as
-    repeated; the spans of the others are settled and travel as rows of slice SETTLED, with their length as weight.
-    """
-    schema = "anchor long, slice long, doc_id long, raw long, begin long, weight long, starts binary, hashes binary"
-    distances = length - block + 1
-    window_hashes = (word_windows if words else windows).window_hashes
-
-    def pieces(s: dict, own: np.ndarray, weight: np.ndarray) -> Iterator[tuple[int, int, int, bytes, bytes]]:
-        """(slice, first start, weight, starts unless they follow one another, hashes) of a run's windows of some weight."""
-        width, extra = -(-distances // s["slices"]), -(-s["slices"] // distances)
-        far = (s["lead"] - np.arange(len(own))) // width if s["slices"] > 1 else np.zeros(len(own), np.int64)
-        edges = [0, *(np.flatnonzero((far[1:] != far[:-1]) | (weight[1:] != weight[:-1])) + 1).tolist(), len(own)]
-        for a, z in zip(edges, edges[1:], strict=False):
-            if not weight[a]:
-                continue
-            if extra == 1:
-                yield int(far[a]), s["start"] + a, int(weight[a]), b"", own[a:z].tobytes()
-                continue
-            dealt = own[a:z].view(np.uint64) % np.uint64(extra)
-            for k in np.unique(dealt).tolist():
-                at = np.flatnonzero(dealt == k) + a
-                yield int(far[a]) * extra + k, s["start"] + int(at[0]), int(weight[a]), (at + s["start"]).tobytes(), own[at].tobytes()
-
-    def combined(texts: list[tuple[int, int, bytes, list[dict]]]) -> list[tuple]:
-        runs = [(d, r, s) for d, r, _, spans in texts for s in sorted(spans, key=lambda s: s["start"])]
-        own = np.concatenate([window_hashes(t, np.array([s["start"] for s in spans]), np.array([s["n"] for s in spans]), length) for _, _, t, spans in ((d, r, t, sorted(x, key=lambda s: s["start"])) for d, r, t, x in texts)])
-        n = np.array([s["n"] for _, _, s in runs])
-        weight = np.repeat([s["weight"] for _, _, s in runs], n)
-        order = np.lexsort((np.arange(len(own)), own))  # suffixes by class, then by position
-        same = own[order][1:] == own[order][:-1]
-        later, first = np.zeros(len(own), bool), np.zeros(len(own), bool)
-        later[order[1:]] = same
-        first[order[:-1]] = same
-        if keep == "none":
-            weight[first & ~later] = 2
-        weight[later] = 0
-        rows = []
-        at = 0
-        for d, r, s in runs:
-            w = weight[at : at + s["n"]]
-            rows += [(s["anchor"], k, d, r, begin, heavy, starts, hashes) for k, begin, heavy, starts, hashes in pieces(s, own[at : at + s["n"]], w)]
-            gone = np.flatnonzero(np.diff(np.concatenate(([False], later[at : at + s["n"]], [False])).astype(np.int8))).tolist()
-            rows += [(r, SETTLED, d, r, s["start"] + a, z - a, b"", b"") for a, z in zip(gone[::2], gone[1::2], strict=True)]
-            at += s["n"]
-        return rows
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in slices(whole, 2):
+                out: list[tuple[int, ...]] = []
+                for doc_id, raw, text, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
+                    seen, edges = kind.view(text.as_py().encode())
+                    for run in spans.as_py():
+                        out += [(doc_id, raw, *piece, run["weight"]) for piece in windows.pieces(seen, edges, run, kind.length, width)]
+                        if len(out) >= HELD:
+                            yield table(list(zip(*out, strict=True)), RUNS)
+                            out = []
+                if out:
+                    yield table(list(zip(*out, strict=True)), RUNS)
+
+    return _by_text(hot, docs).mapInArrow(work, RUNS)
+
+
+def _covers(mixed: DataFrame, docs: DataFrame, kind: Kind) -> DataFrame:
+    """One row per run: its anchor, its place and the bytes that its windows cover."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in _some(whole, 128):
-                held, size = {}, 0
-                for doc_id, raw, value, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
-                    held[doc_id, raw] = (doc_id, raw, value.as_py().encode(), spans)  # rows with equal ids and texts are one
-                    size += sum(s["n"] for s in spans)
-                    if size > COMBINED:
-                        yield _arrow(list(zip(*combined([held[k] for k in sorted(held)]), strict=True)), schema)
-                        held, size = {}, 0
-                if held:
-                    yield _arrow(list(zip(*combined([held[k] for k in sorted(held)]), strict=True)), schema)
-
-    return _by_text(mixed, docs).select("doc_id", "raw", "text", "spans").mapInArrow(work, schema)
-
-
-def _repeated(suffixes: DataFrame, keep: str) -> DataFrame:
-    """Spans of window starts to remove, from suffixes dealt out by (anchor, slice) and sorted by position in each group."""
-
-    def settled(table: pa.Table) -> pa.RecordBatch:
-        return _arrow([table[c].combine_chunks() for c in ("doc_id", "raw", "begin", "weight")], SPANS)
-
-    def classes(table: pa.Table) -> pa.RecordBatch:
-        hashes = np.frombuffer(b"".join(table["hashes"].to_pylist()), np.int64)
-        size = np.array([len(x) // 8 for x in table["hashes"].to_pylist()])
-        row = np.repeat(np.arange(len(size)), size)
-        starts = table["begin"].to_numpy()[row] + np.arange(len(row)) - (np.cumsum(size) - size)[row]
-        given = table["starts"].to_pylist()
-        if any(given):
-            listed = np.repeat([bool(x) for x in given], size)
-            starts[listed] = np.frombuffer(b"".join(given), np.int64)
-        place = np.stack([table["doc_id"].to_numpy()[row], table["raw"].to_numpy()[row], starts])
-        weight = table["weight"].to_numpy()[row]
-        order = np.lexsort((*place[::-1], hashes))  # suffixes by class, then by position
-        new = np.append(True, hashes[order][1:] != hashes[order][:-1])
-        first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-        later = (place[:, order] != place[:, first]).any(axis=0)  # a row that came twice is no copy of itself
-        if keep == "none":
-            number = np.cumsum(new) - 1
-            hit = np.bincount(number, later | (weight[order] > 1))[number] > 0
-        else:
-            hit = later
-        again = np.zeros(len(hashes), bool)
-        again[order] = hit
-        hit = np.flatnonzero(again)
-        new = np.append(True, (row[hit][1:] != row[hit][:-1]) | (starts[hit][1:] != starts[hit][:-1] + 1))[: len(hit)]
-        begin = np.flatnonzero(new)
-        n = np.diff(np.append(begin, len(hit)))
-        rows = pa.array(row[hit][begin])
-        return _arrow([table["doc_id"].combine_chunks().take(rows), table["raw"].combine_chunks().take(rows), starts[hit][begin], n], SPANS)
-
-    def both(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        done = pc.equal(table["slice"], SETTLED)
-        if (own := table.filter(done)).num_rows:
-            yield settled(own)
-        if (rest := table.filter(pc.invert(done))).num_rows:
-            yield classes(rest)
+            for b in slices(whole, 2):
+                out: list[tuple] = []
+                for doc_id, raw, text, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
+                    seen, edges = kind.view(text.as_py().encode())
+                    for run in spans.as_py():
+                        first, last = run["start"], run["start"] + run["n"] + kind.length - 2
+                        a, z = (int(edges[0][first]), int(edges[1][last])) if edges else (first, last + 1)
+                        out.append((run["anchor"], doc_id, raw, first, run["n"], seen[a:z]))
+                        if len(out) >= HELD:
+                            yield table(list(zip(*out, strict=True)), COVERS)
+                            out = []
+                if out:
+                    yield table(list(zip(*out, strict=True)), COVERS)
+
+    return _by_text(mixed, docs).mapInArrow(work, COVERS)
+
+
+def _by_suffixes(covers: DataFrame, kind: Kind, keep: str) -> DataFrame:
+    """Spans of window starts to remove, from the LPF array of each anchor's suffixes."""
+
+    def found(rows: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
+        starts, ends = [], []
+        for _, _, _, n, cover in rows:
+            if kind.words:
+                begin, end = word_windows.word_edges(cover)
+                starts.append(begin[:n])
+                ends.append(end[kind.length - 1 : kind.length - 1 + n])
+            else:
+                starts.append(np.arange(n))
+                ends.append(np.arange(n) + kind.length)
+        again = suffix_order.repeated([r[4] for r in rows], starts, ends, keep, kind.words)
+        for (doc_id, raw, start, _, _), hit in zip(rows, again, strict=True):
+            edges = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False])).astype(np.int8))).tolist()
+            yield from ((doc_id, raw, start + a, z - a) for a, z in zip(edges[::2], edges[1::2], strict=True))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for b in batches:
-            for part in _some(b, 4096):
-                table = pa.Table.from_batches([part])
-                table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
-                anchor, piece = table["anchor"].to_numpy(), table["slice"].to_numpy()
-                last = np.flatnonzero((anchor != anchor[-1]) | (piece != piece[-1]))
-                cut = int(last[-1]) + 1 if len(last) else 0  # the last group may go on in the next batch
-                yield from both(table.slice(0, cut))
-                rest = table.slice(cut)
-        if rest is not None:
-            yield from both(rest)
-
-    return suffixes.repartition("anchor", "slice").sortWithinPartitions("anchor", "slice", "doc_id", "raw", "begin").mapInArrow(work, SPANS)
+        now, rows, out = None, [], []
+        for whole in batches:
+            for b in slices(whole, 5):
+                for anchor, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    if anchor != now:
+                        out += found(rows) if len(rows) > 1 else ()
+                        now, rows = anchor, []
+                        if len(out) >= HELD:
+                            yield table(list(zip(*out, strict=True)), SPANS)
+                            out = []
+                    if not rows or rows[-1][:3] != row[:3]:  # a row that came twice is no copy of itself
+                        rows.append(row)
+        out += found(rows) if len(rows) > 1 else ()
+        if out:
+            yield table(list(zip(*out, strict=True)), SPANS)
+
+    return covers.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "raw", "start").mapInArrow(work, SPANS)
+
+
+def _spans_of(docs: DataFrame, kind: Kind, keep: str, group_runs: float) -> DataFrame:
+    """Spans of window starts to remove in ``docs`` (doc_id, raw, text, weight) by one kind of window, written."""
+    made = written(runs(docs, kind), "runs")
+    shared = written(made.groupBy("anchor").count().filter("count > 1").select("anchor"), "anchors")
+    now = written(made.join(sized(shared, 16), "anchor"), "shared")
+    forgotten([made, shared])
+    used = [now]
+    place = F.struct("doc_id", "raw", "start")
+    parts = []
+    for width in [*kind.widths(), None]:
+        contents = written(now.groupBy("anchor", "content").agg(F.min(F.struct("doc_id", "raw", "start", "n", "lead")).alias("first"), F.sum("weight").alias("weight")), "contents")
+        used.append(contents)
+        many = contents.filter("weight > 1").select("anchor", "content", F.struct("first.doc_id", "first.raw", "first.start").alias("first"))
+        whole = now.join(sized(many, 48), ["anchor", "content"])
+        parts.append((whole if keep == "none" else whole.filter(place != F.col("first"))).select("doc_id", "raw", "start", "n"))
+        if width is None:
+            break
+        varied = written(contents.groupBy("anchor").agg(F.count("*").alias("covers")).filter("covers > 1"), "varied")
+        mixed = written(contents.join(sized(varied, 24), "anchor").select("first.*", "anchor", "weight", "covers"), "mixed")
+        used += [varied, mixed]
+        parts.append(_by_suffixes(_covers(mixed.filter(F.col("covers") <= group_runs).select("doc_id", "raw", "start", "n", "anchor"), docs, kind), kind, keep))
+        hot = mixed.filter(F.col("covers") > group_runs).drop("covers")
+        if hot.isEmpty():
+            break
+        now = written(_pieces(hot, docs, kind, width), "pieces")
+        used.append(now)
+    spans = parts[0]
+    for part in parts[1:]:
+        spans = spans.unionByName(part)
+    spans = written(spans, "spans")
+    forgotten(used)
+    return spans
 
 
 def _copies(docs: DataFrame) -> DataFrame:
@@ -219,35 +232,22 @@ def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
     return out.select("doc_id", F.xxhash64("text").alias("raw"), "text")
 
 
-def repeated_spans(docs: DataFrame, keep: str = "none", length: int = LENGTH, block: int = BLOCK, group_runs: int = GROUP_RUNS, words: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(spans of window starts to remove in ``docs`` (doc_id, raw, text), texts that occur more than once).
+def repeated_spans(docs: DataFrame, kinds: list[Kind], keep: str = "none", group_runs: float = GROUP_RUNS) -> tuple[DataFrame, DataFrame]:
+    """(spans of window starts to remove in ``docs`` (doc_id, raw, text) by kind, texts that occur more than once).
 
     Spans leave out those texts' further copies, whose windows all repeat the first copy's.
     """
     if keep not in ("none", "first"):
         raise ValueError(keep)
-    docs = docs.filter(F.octet_length("text") >= length)
-    if words:
-        docs = docs.filter(F.regexp_count("text", F.lit(r"[^ \t-\r]+")) >= length)
+    docs = docs.filter(F.octet_length("text") >= min(k.least_bytes for k in kinds))
     copies = _copies(docs)
-    seen = sized(copies.select("raw", F.col("first_id"), "copies"), 32)
-    counted = runs(docs, length, block, words).groupBy("anchor").agg(F.count("*").alias("runs"), F.min("content").alias("a"), F.max("content").alias("b"))
-    shared = written(counted.filter("runs > 1").select("anchor", "runs", (F.col("a") == F.col("b")).alias("alike")), "anchors")
-    found = (
-        runs(docs, length, block, words).join(sized(shared, 32), "anchor").join(seen, "raw", "left")
-        .filter(F.col("copies").isNull() | (F.col("doc_id") == F.col("first_id")))
-        .withColumn("weight", F.coalesce("copies", F.lit(1)))
-        .select("doc_id", "raw", "anchor", "start", "n", "lead", "weight", "runs", "alike")
-    )
-    found = written(found, "runs")
-    found = found.filter("weight = 1").unionByName(found.filter("weight > 1").dropDuplicates(["doc_id", "raw", "start"]))  # copies with equal ids
-    mixed = written(found.filter("NOT alike").withColumn("slices", F.ceil(F.col("runs") / group_runs).cast("long")).select("doc_id", "raw", "start", "n", "lead", "anchor", "weight", "slices"), "mixed")
-    same = found.filter("alike")
-    if keep == "first":
-        first = same.groupBy("anchor").agg(F.min(F.struct("doc_id", "raw", "start")).alias("first"))
-        same = same.join(first, "anchor").filter(~F.struct("doc_id", "raw", "start").eqNullSafe(F.col("first")))
-    spans = same.select("doc_id", "raw", "start", "n").unionByName(_repeated(_suffixes(mixed, docs, length, block, keep, words), keep))
-    return written(spans, "spans"), copies
+    seen = sized(copies.select("raw", "first_id", "copies"), 32)
+    once = docs.join(seen, "raw", "left").filter("copies IS NULL OR doc_id = first_id").withColumn("weight", F.coalesce("copies", F.lit(1)))
+    spans = None
+    for number, kind in enumerate(kinds):
+        own = _spans_of(once, kind, keep, group_runs).withColumn("kind", F.lit(number))
+        spans = own if spans is None else spans.unionByName(own)
+    return spans, copies
 
 
 def merged(starts: list[int], sizes: list[int], length: int) -> list[tuple[int, int]]:
@@ -262,14 +262,14 @@ def merged(starts: list[int], sizes: list[int], length: int) -> list[tuple[int,
     return [(a, b) for a, b in out]
 
 
-def marked(df: DataFrame, key: str, text: str, keep: str = "none", length: int = LENGTH, block: int = BLOCK, group_runs: int = GROUP_RUNS, words: bool = False) -> DataFrame:
-    """``df`` with __spans (window starts to remove, or null) and __whole (all bytes go).
+def marked(df: DataFrame, key: str, text: str, kinds: list[Kind], keep: str = "none", group_runs: float = GROUP_RUNS) -> DataFrame:
+    """``df`` with __spans (kind and window starts to remove, or null) and __whole (a copy of a text that occurs elsewhere).
 
-    Rows of one text that occurs more than once: with "none" all their bytes go; with "first" those of all rows but one of the
-    least id. Names that begin with two underscores are reserved.
+    With "none" all rows of a text that occurs more than once are such copies, with "first" all but one of the least id. Names
+    that begin with two underscores are reserved.
     """
-    spans, copies = repeated_spans(keyed(df, key, text), keep, length, block, group_runs, words)
-    lists = spans.groupBy(F.col("doc_id").alias("__id"), F.col("raw").alias("__raw")).agg(F.collect_list(F.struct("start", "n")).alias("__spans"))
+    spans, copies = repeated_spans(keyed(df, key, text), kinds, keep, group_runs)
+    lists = spans.groupBy(F.col("doc_id").alias("__id"), F.col("raw").alias("__raw")).agg(F.collect_list(F.struct("kind", "start", "n")).alias("__spans"))
     near = F.broadcast(lists) if spans.count() * 48 <= BROADCAST_BYTES else lists
     whole = F.coalesce(F.col(text), F.lit(""))
     out = df.withColumns({"__id": F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), "__raw": F.xxhash64(whole)}).join(near, ["__id", "__raw"], "left")
@@ -288,59 +288,77 @@ def _but_one(out: DataFrame) -> DataFrame:
     return both.withColumn("__whole", F.col("__whole") & (F.col("__nth") > 1))
 
 
-def _cut(length: int, words: bool = False):
-    def ranges(content: bytes, spans: list | None, whole: bool) -> list[tuple[int, int]]:
-        if whole:
-            return [(0, len(content))]
-        gone = merged([s["start"] for s in spans or []], [s["n"] for s in spans or []], length)
-        if words and gone:
-            begin, end = word_windows.word_edges(content)
-            return [(int(begin[a]), int(end[b - 1])) for a, b in gone]
-        return gone
+def _ranges(content: bytes, spans: list[dict] | None, whole: bool, kind: Kind, number: int) -> list[tuple[int, int]]:
+    """The byte ranges that one kind of window removes."""
+    own = [s for s in spans or [] if s["kind"] == number]
+    if not kind.words:
+        return [(0, len(content))] if whole and len(content) >= kind.length else merged([s["start"] for s in own], [s["n"] for s in own], kind.length)
+    if not own and not whole:
+        return []
+    begin, end = word_windows.word_edges(content)
+    if whole:
+        return [(0, len(content))] if len(begin) >= kind.length else []
+    return [(int(begin[a]), int(end[b - 1])) for a, b in merged([s["start"] for s in own], [s["n"] for s in own], kind.length)]
+
 
-    def kept(content: bytes, gone: list[tuple[int, int]]) -> bytes:
-        if not gone:
-            return content
-        edges = [0, *[x for r in gone for x in r], len(content)]
-        return b"".join(content[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+def _kept(content: bytes, gone: list[tuple[int, int]]) -> bytes:
+    """What is left of ``content`` without the ranges, which may overlap."""
+    left, at = [], 0
+    for a, z in sorted(gone):
+        left.append(content[at : max(at, a)])
+        at = max(at, z)
+    left.append(content[at:])
+    return b"".join(left)
 
-    return ranges, kept
 
+def cut_report(df: DataFrame, key: str, text: str, keep: str = "none", length: int = LENGTH, block: int = BLOCK, words: bool = False, passage_words: int | None = None, group_runs: float = GROUP_RUNS) -> DataFrame:
+    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
-def cut_report(df: DataFrame, key: str, text: str, keep: str = "none", length: int = LENGTH, words: bool = False, **how) -> DataFrame:
-    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    With ``passage_words``, also n_passages and n_passage_bytes: maximal runs of bytes inside repeated passages of so many words.
+    Those are reported beside the removal, which goes by ``length`` alone.
+    """
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    ranges, kept = _cut(length, words)
-    rows = marked(df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")), "doc_id", "text", keep, length, words=words, **how)
+    kinds = [Kind(length, block, words)]
+    if passage_words:
+        kinds.append(Kind(passage_words, passage_words // 2 + 1, True))
+        schema += ", n_passages long, n_passage_bytes long"
+    rows = marked(df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")), "doc_id", "text", kinds, keep, group_runs)
     none = F.lit(0).cast("long")
-    plain = rows.filter("__spans IS NULL AND NOT __whole").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+    passages = [none.alias(c) for c in ("n_passages", "n_passage_bytes") if passage_words]
+    plain = rows.filter("__spans IS NULL AND NOT __whole").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"), *passages)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in _some(whole):
+        for batch in batches:
+            for b in slices(batch, 1):
                 out = []
-                for doc_id, value, spans, all_ in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                for doc_id, value, spans, whole in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                     content = value.as_py().encode()
-                    gone = ranges(content, spans, all_)
-                    left = kept(content, gone)
-                    out.append((doc_id, len(content), len(content) - len(left), len(gone), hashlib.sha256(left).hexdigest()))
-                yield _arrow(list(zip(*out, strict=True)), schema)
+                    gone, *more = (_ranges(content, spans, whole, kind, k) for k, kind in enumerate(kinds))
+                    left = _kept(content, gone)
+                    out.append((doc_id, len(content), len(content) - len(left), len(gone), hashlib.sha256(left).hexdigest(), *(x for p in more for x in (len(p), sum(z - a for a, z in p)))))
+                yield table(list(zip(*out, strict=True)), schema)
 
     return plain.unionByName(rows.filter("__spans IS NOT NULL OR __whole").select("doc_id", "text", "__spans", "__whole").mapInArrow(work, schema))
 
 
-def without_repeats(df: DataFrame, key: str, text: str, keep: str = "first", length: int = LENGTH, words: bool = False, **how) -> DataFrame:
-    """``df`` with the repeated bytes cut out of ``text``; characters cut in two go whole. Other columns stay."""
-    ranges, kept = _cut(length, words)
+def without_repeats(df: DataFrame, key: str, text: str, keep: str = "first", length: int = LENGTH, block: int = BLOCK, words: bool = False, passage_words: int | None = None, group_runs: float = GROUP_RUNS) -> DataFrame:
+    """``df`` with the repeated bytes cut out of ``text``; characters cut in two go whole. Other columns stay.
+
+    With ``passage_words``, repeated passages of so many words go too, whatever their length in bytes.
+    """
+    kinds = [Kind(length, block, words)]
+    if passage_words:
+        kinds.append(Kind(passage_words, passage_words // 2 + 1, True))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series, whole: pd.Series) -> pd.Series:
         left = []
         for t, s, w in zip(texts, spans, whole, strict=True):
             content = (t or "").encode()
-            left.append(kept(content, ranges(content, None if s is None else list(s), w)).decode(errors="ignore"))
+            gone = [r for k, kind in enumerate(kinds) for r in _ranges(content, None if s is None else list(s), w, kind, k)]
+            left.append(_kept(content, gone).decode(errors="ignore"))
         return pd.Series(left, dtype=object)
 
-    rows = marked(df, key, text, keep, length, words=words, **how)
-    same = rows.filter("__spans IS NULL AND NOT __whole").select(*df.columns)
-    return same.unionByName(rows.filter("__spans IS NOT NULL OR __whole").withColumn(text, cut(text, "__spans", "__whole")).select(*df.columns))
+    rows = marked(df, key, text, kinds, keep, group_runs)
+    same = rows.filter("__spans IS NULL AND NOT __whole").select(*named(df))
+    return same.unionByName(rows.filter("__spans IS NOT NULL OR __whole").withColumn(text, cut(text, "__spans", "__whole")).select(*named(df)))

@@ -115,11 +115,24 @@ def window_runs(texts: list[bytes], window: int, block: int) -> tuple[np.ndarray
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def window_hashes(text: bytes, starts: np.ndarray, lengths: np.ndarray, window: int) -> np.ndarray:
-    """Hashes of the windows of one text at the runs ``starts`` .. ``starts + lengths``, one after another."""
+def pieces(text: bytes, edges: tuple[np.ndarray, np.ndarray] | None, run: dict, window: int, width: int) -> list[tuple[int, int, int, int, int]]:
+    """(key, content, start, n, lead) of a run's windows, cut by their distance from the anchor into ranges of ``width``.
+
+    All windows of a range share a core around the anchor, which stands in for it: equal windows have equal cores at equal
+    distances. ``edges`` are the first and last byte of each position where positions are not bytes.
+    """
+    begin = (lambda at: int(edges[0][at])) if edges else int
+    end = (lambda at: int(edges[1][at])) if edges else (lambda at: at + 1)
+    first, n, lead = run["start"], run["n"], run["lead"]
+    base = begin(first)
+    data = np.frombuffer(text, np.uint8, end(first + n + window - 2) - base, base)
+    cores, contents = Hashes(data, 5), Hashes(data, 6)
     out = []
-    for s, n in zip(starts.tolist(), lengths.tolist(), strict=True):
-        for at in range(s, s + n, CHUNK):
-            m = min(CHUNK, s + n - at)
-            out.append(Hashes(np.frombuffer(text, np.uint8, m + window - 1, at), 3).every(window))
-    return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+    for k in range(lead // width, (lead - n + 1) // width - 1, -1):
+        a, z = first + lead - min(lead, k * width + width - 1), first + lead - max(lead - n + 1, k * width)
+        core = first + lead - k * width  # the last window's start; the first window ends width - 1 before its end
+        own = cores.of(np.array([begin(core) - base]), np.array([end(core - width + window) - base]))
+        key = mixed(own ^ mixed(np.array([run["anchor"] + k], np.int64).view(np.uint64)))
+        content = contents.of(np.array([begin(a) - base]), np.array([end(z + window - 1) - base]))
+        out.append((int(key.view(np.int64)[0]), int(content.view(np.int64)[0]), a, z - a + 1, core - a))
+    return out

@@ -30,7 +30,7 @@ def word_edges(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return _words(np.frombuffer(text, np.uint8))
 
 
-def _view(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
+def view(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
     """The text with its long parts replaced, and where its words begin and end; their numbers stay."""
     text = _LONG.sub(_digest, text) if len(text) >= LONG else text
     return text, *word_edges(text)
@@ -43,7 +43,7 @@ def _chunks(texts: list[bytes], window: int, size: int) -> Iterator[tuple[np.nda
     items: list[tuple[int, int, int]] = []
     held = count = 0
     for k, whole in enumerate(texts):
-        text, begin, end = _view(whole)
+        text, begin, end = view(whole)
         at = 0
         while at + window <= len(begin):
             stop = max(at + window, int(np.searchsorted(end, begin[at] + size, side="right")))
@@ -82,17 +82,3 @@ def window_runs(texts: list[bytes], window: int, block: int, size: int = CHUNK)
     if not out:
         return tuple(np.zeros(0, np.int64) for _ in range(6))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
-
-def window_hashes(text: bytes, starts: np.ndarray, lengths: np.ndarray, window: int) -> np.ndarray:
-    """As ``windows.window_hashes``, with positions and ``window`` in words."""
-    text, begin, end = _view(text)
-    out = []
-    for s, n in zip(starts.tolist(), lengths.tolist(), strict=True):
-        at = s
-        while at < s + n:
-            stop = min(s + n, max(at + 1, int(np.searchsorted(end, begin[at] + CHUNK, side="right")) - window + 1))
-            last = int(end[stop + window - 2])
-            out.append(Hashes(np.frombuffer(text, np.uint8, last - int(begin[at]), int(begin[at])), 3).of(begin[at:stop] - begin[at], end[at + window - 1 : stop + window - 1] - begin[at]))
-            at = stop
-    return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)

@@ -54,7 +54,7 @@ def test_word_runs_cover_every_window_once(size):
             assert of.setdefault(texts[t][w[i][0] : w[i + 7][1]], a) == a
 
 
-@pytest.mark.parametrize("group_runs", [8192, 1, 0.01])
+@pytest.mark.parametrize("group_runs", [512, 3, 1])
 def test_words_against_brute_force(spark, group_runs):
     rng = random.Random(12)
     pool = [short_words(rng.randrange(3, 40), k) for k in range(10)] + ["x" * 5000, " " * 3000, "\u00e9\u4e2d", "\n\t"]

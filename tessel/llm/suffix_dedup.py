@@ -183,12 +183,17 @@ def _by_suffixes(covers: DataFrame, kind: Kind, keep: str) -> DataFrame:
         if out:
             yield table(list(zip(*out, strict=True)), SPANS)
 
-    return covers.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "raw", "start").mapInArrow(work, SPANS)
+    tasks = int(covers.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # sorting costs more than its bytes tell
+    return covers.repartition(tasks, "anchor").sortWithinPartitions("anchor", "doc_id", "raw", "start").mapInArrow(work, SPANS)
 
 
-def _spans_of(docs: DataFrame, kind: Kind, keep: str, group_runs: float) -> DataFrame:
-    """Spans of window starts to remove in ``docs`` (doc_id, raw, text, weight) by one kind of window, written."""
-    made = written(runs(docs, kind), "runs")
+def _spans_of(docs: DataFrame, once: DataFrame, kind: Kind, keep: str, group_runs: float) -> DataFrame:
+    """Spans of window starts to remove in ``docs`` (doc_id, raw, text) by one kind of window, written.
+
+    ``once`` are the same with one row a text and its weight. Later steps find their texts by (doc_id, raw) in ``docs``; rows that
+    agree in both have a weight above one already, so that meeting them again changes nothing.
+    """
+    made = written(runs(once, kind), "runs")
     shared = written(made.groupBy("anchor").count().filter("count > 1").select("anchor"), "anchors")
     now = written(made.join(sized(shared, 16), "anchor"), "shared")
     forgotten([made, shared])
@@ -245,7 +250,7 @@ def repeated_spans(docs: DataFrame, kinds: list[Kind], keep: str = "none", group
     once = docs.join(seen, "raw", "left").filter("copies IS NULL OR doc_id = first_id").withColumn("weight", F.coalesce("copies", F.lit(1)))
     spans = None
     for number, kind in enumerate(kinds):
-        own = _spans_of(once, kind, keep, group_runs).withColumn("kind", F.lit(number))
+        own = _spans_of(docs, once, kind, keep, group_runs).withColumn("kind", F.lit(number))
         spans = own if spans is None else spans.unionByName(own)
     return spans, copies
 

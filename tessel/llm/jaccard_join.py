@@ -1,24 +1,30 @@
 """Exact n-gram Jaccard self-join with set-relation skipping, as classes of linked documents.
 
 Sets are hashed word shingles. Equal sets are one set from the start. The others are joined by prefix lists: under one global
-order of the shingles, two sets that are alike share a shingle in their first ``n - ceil(t n) + 1``.
+order of the shingles, two sets that are alike share a shingle in their first ``n - ceil(t n) + 1``. The order puts shingles
+that many sets hold last, so that lists stay short.
 
-The order puts shingles that many sets hold last, so that lists stay short. Lists are sorted by set size, so that a member
-skips the whole block of sets too small for it, by position; pairs whose places in their sets leave no room for the overlap
-go next.
+Skipping in lists: a set of size n with a list's shingle at place p can share at most n - p shingles from there on, and so has
+a largest partner, its cap (``caps``). Lists are sorted by size; members whose cap is below the list's least size, and blocks
+whose caps end before another block's sizes begin, are skipped by their positions. A linked pair's first common shingle always
+passes.
 
-Answers are then derived from answers. First each set is compared with one pivot only: among the sets that head its lists,
-the one with which it shares most. A list is headed by its most typical member, whose own prefix is met in most other sets;
-copies of one text thus meet the least edited of them. Links make classes, and what follows looks only at pairs of different
-classes: the other pairs' answers (the same class) follow from those computed. Next each set is compared with the one set of
-another class with which it shares most, and at last all pairs that still lie in different classes are compared, so that no
-link between classes is lost. A pair is compared only if its shared prefix shingles leave the overlap possible.
+Answers from answers: each set is first compared with one pivot, the most typical set that its lists show. The pivot's answer
+(overlap, and the shingles by which the two differ) is kept. Links make classes; pairs inside a class need no answer of their
+own. For a pair whose sets have the same pivot, the answer is derived from the two kept ones: bounds on the overlap come from
+the counts alone, and the exact overlap from the differences, without reading either set. What remains is compared in full,
+first the pair of another class with which a set shares most. No candidate is left out, so that no link between classes is lost.
+
+Pivot votes are one row per list entry; pairs are only made of entries that pass the caps and lie in different classes. Long
+lists are dealt out in chunks of bounded size, those of the largest class once each.
 
 Defined cases: a null or blank text has no set and is alone in its class; a text shorter than a shingle has its whole word
 sequence as one; very long texts are cut nowhere; repeated rows and equal ids fall into one class if their sets are alike;
 null ids sort last; an empty table gives no rows; columns other than the two named are not read.
 """
 
+from __future__ import annotations
+
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +33,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tessel.llm.arrow import named, slices, table
 from tessel.llm.windows import PLACE_BITS, Hashes, mixed
 from tessel.operators.graph import connected_components
-from tessel.plans.stages import BROADCAST_BYTES, sized, written
+from tessel.plans.stages import forgotten, sized, written
 
 WORDS = 5
 #: Likeness as a percentage of the union.
@@ -38,11 +45,16 @@ PERCENT = 80
 #: on how many shingles are ordered so change what is compared, never the result.
 COMMON_IN_BATCH, COMMON, MOST_COMMON = 8, 32, 1 << 20
 #: Comparisons with one pivot that go to one task together.
-GROUP_PAIRS = 512
+GROUP_PAIRS = 128
 #: Lists of up to so many members are compared together, longer ones each by itself.
 SHORT_LIST = 12
-#: Members on each side that are compared at once, and of one class in such a block from which the class is compared by itself.
-LIST_BLOCK, OWN_CLASS = 1024, 64
+#: Members of a list that are compared as one block, and that go to one task as one chunk.
+LIST_BLOCK, CHUNK = 1024, 4096
+#: Likeness (percent of the union) from which a kept answer holds the differences too.
+KEPT_PERCENT = 50
+#: Keys by which a task knows the sets that it has sent; beyond that it forgets them, and copies are dropped later.
+REMEMBERED = 1 << 16
+NO_ID = -(1 << 63)
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -133,11 +145,9 @@ def needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     return -(-n * percent // 100)
 
 
-def _table(columns: dict[str, tuple[object, pa.DataType]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in columns.values()], names=list(columns))
-
-
-L, I, B = pa.int64(), pa.int32(), pa.binary()
+def caps(size: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
+    """The largest size of a set with which one can be alike if their first common shingle lies at ``pos``."""
+    return ((100 + percent) * (size - pos) - percent * size) // percent
 
 
 def survey(docs: DataFrame, words: int) -> DataFrame:
@@ -145,196 +155,279 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
     schema = "kind int, doc_id long, key long, size long"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = shingle_sets(b.column(1).to_pylist(), words)
-            keys = [set_key(s) if len(s) else None for s in sets]
-            yield _table({"kind": ([0] * len(sets), I), "doc_id": (b.column(0), L), "key": (keys, L), "size": ([len(s) for s in sets], L)})
-            distinct = list({k: s for k, s in zip(keys, sets, strict=True) if k is not None}.values())
-            if distinct:
-                shingle, count = np.unique(np.concatenate(distinct), return_counts=True)
-                many = count >= COMMON_IN_BATCH
-                yield _table({"kind": (np.ones(many.sum(), np.int32), I), "doc_id": (pa.nulls(int(many.sum()), L), L), "key": (shingle[many].view(np.int64), L), "size": (count[many], L)})
+        for whole in batches:
+            held: dict[int, np.ndarray] = {}
+            for b in slices(whole, 1):
+                sets = shingle_sets(b.column(1).to_pylist(), words)
+                keys = [set_key(s) if len(s) else None for s in sets]
+                yield table([[0] * len(sets), b.column(0), keys, [len(s) for s in sets]], schema)
+                held |= {k: s for k, s in zip(keys, sets, strict=True) if k is not None}
+                if b.slice(len(b) - 1).equals(whole.slice(len(whole) - 1)) or sum(map(len, held.values())) > 1 << 20:
+                    shingle, count = np.unique(np.concatenate([*held.values(), np.zeros(0, np.uint64)]), return_counts=True)
+                    many = count >= COMMON_IN_BATCH
+                    yield table([np.ones(many.sum(), np.int32), pa.nulls(int(many.sum()), pa.int64()), shingle[many].view(np.int64), count[many]], schema)
+                    held = {}
+
+    return docs.select("doc_id", "text").mapInArrow(work, schema)
+
+
+ENTRIES = "token long, part int, size int, key long, pos int"
 
-    return docs.mapInArrow(work, schema)
 
+def prefixes(docs: DataFrame, common: tuple[np.ndarray, np.ndarray, np.ndarray], words: int, percent: int) -> DataFrame:
+    """List entries of each distinct set, as in ``ENTRIES``; a set may come more than once.
 
-def prefixes(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], words: int, percent: int) -> DataFrame:
-    """List entries (token, size, key, pos) of each distinct set; a set may come once from each task."""
-    schema = "token long, size int, key long, pos int"
+    A list that is known to be long is dealt out in parts, numbered from 1; the others have part 0.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(common)  # bounded by MOST_COMMON
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, ranks = shared.value
+        tokens, ranks, parts = shared.value
         seen: set[int] = set()
         for whole in batches:
-            for i in range(0, len(whole), 512):
+            for b in slices(whole, 1):
                 out: list[tuple[np.ndarray, ...]] = []
-                for s in shingle_sets(whole.slice(i, 512).column(1).to_pylist(), words):
+                for s in shingle_sets(b.column(1).to_pylist(), words):
                     if not len(s) or (key := set_key(s)) in seen:
                         continue
+                    if len(seen) > REMEMBERED:
+                        seen.clear()
                     seen.add(key)
-                    order = s >> np.uint64(1)
+                    order, part = s >> np.uint64(1), np.zeros(len(s), np.int32)
                     if len(tokens):
                         at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
-                        order = np.where(tokens[at] == s, ranks[at], order)
+                        known = tokens[at] == s
+                        order = np.where(known, ranks[at], order)
+                        part = np.where(known & (parts[at] > 1), 1 + key % parts[at], 0).astype(np.int32)
                     n = len(s) - needed(len(s), percent) + 1
-                    first = s[np.argsort(order, kind="stable")[:n]]
-                    out.append((first, np.full(n, len(s), np.int32), np.full(n, key, np.int64), np.arange(n, dtype=np.int32)))
+                    first = np.argsort(order, kind="stable")[:n]
+                    out.append((s[first], part[first], np.full(n, len(s), np.int32), np.full(n, key, np.int64), np.arange(n, dtype=np.int32)))
                 if out:
-                    token, size, key_, pos = (np.concatenate(x) for x in zip(*out, strict=True))
-                    yield _table({"token": (token.view(np.int64), L), "size": (size, I), "key": (key_, L), "pos": (pos, I)})
+                    token, part, size, key_, pos = (np.concatenate(x) for x in zip(*out, strict=True))
+                    yield table([token.view(np.int64), part, size, key_, pos], ENTRIES)
 
-    return docs.mapInArrow(work, schema)
+    return docs.select("doc_id", "text").mapInArrow(work, ENTRIES)
 
 
 def live_lists(entries: DataFrame) -> DataFrame:
-    """Entries of lists with two sets or more."""
-    schema = "token long, size int, key long, pos int"
+    """Entries of lists with two sets or more, and of all lists in parts, each once."""
+    names = [f.split()[0] for f in ENTRIES.split(", ")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: np.ndarray | None = None  # the last member of the list that may go on
-        old = np.dtype([("token", "i8"), ("size", "i8"), ("key", "i8"), ("pos", "i8"), ("sent", "i8")])
+        kind = np.dtype([(name, "i8") for name in [*names, "sent"]])
         for b in batches:
-            rows = np.zeros(len(b), old)
-            for name in ("token", "size", "key", "pos"):
+            rows = np.zeros(len(b), kind)
+            for name in names:
                 rows[name] = b.column(b.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
             if rest is not None:
                 rows = np.concatenate([rest, rows])
             if not len(rows):
                 continue
-            copy = np.append(False, (rows["token"][1:] == rows["token"][:-1]) & (rows["key"][1:] == rows["key"][:-1]))
-            rows = rows[~copy]
-            new = np.append(True, rows["token"][1:] != rows["token"][:-1])
+            same_list = (rows["token"][1:] == rows["token"][:-1]) & (rows["part"][1:] == rows["part"][:-1])
+            copy = np.append(False, same_list & (rows["key"][1:] == rows["key"][:-1]))
+            rows, same_list = rows[~copy], None
+            new = np.append(True, (rows["token"][1:] != rows["token"][:-1]) | (rows["part"][1:] != rows["part"][:-1]))
             group = np.cumsum(new) - 1
-            many = np.bincount(group)[group] > 1
+            many = (np.bincount(group)[group] > 1) | (rows["part"] > 0)
             out = many & (rows["sent"] == 0)
             if out.any():
-                yield _table({"token": (rows["token"][out], L), "size": (rows["size"][out].astype(np.int32), I), "key": (rows["key"][out], L), "pos": (rows["pos"][out].astype(np.int32), I)})
+                yield table([rows["token"][out], *(rows[c][out].astype(np.int32) if c != "key" else rows[c][out] for c in names[1:])], ENTRIES)
             rest = rows[-1:].copy()  # a single member is sent when a second one comes
             rest["sent"] = many[-1]
 
-    return entries.repartition("token").sortWithinPartitions("token", "size", "key").mapInArrow(work, schema)
+    return entries.repartition("token", "part").sortWithinPartitions("token", "part", "size", "key").mapInArrow(work, ENTRIES)
 
 
-def differing_pairs(rows: np.ndarray, fresh: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (x, y) of one list's pairs of different classes, sizes permitting, whose later member is at ``fresh`` or behind.
+def fitting_pairs(size: np.ndarray, cap: np.ndarray, label: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (x, y), x before y, of a list's pairs in different classes that the caps allow; members come by size.
 
-    ``rows`` are size, key, pos and label by size. Both sides go block by block; of a class with many members in a block only
-    the members of other classes are met, so that neither memory nor pairs looked at follow the square of one class.
-    """
-    low = np.searchsorted(rows[0], needed(rows[0], percent))
-    for at in range(fresh, rows.shape[1], LIST_BLOCK):
-        later = np.arange(at, min(at + LIST_BLOCK, rows.shape[1]))
-        _, group, n = np.unique(rows[3, later], return_inverse=True, return_counts=True)
-        large = np.flatnonzero(n >= OWN_CLASS)
-        for g in [*large.tolist(), -1]:
-            y = later[group == g] if g >= 0 else later[n[group] < OWN_CLASS]
-            for first in range(low[y[0]], y[-1], LIST_BLOCK) if len(y) else ():
-                x = np.arange(first, min(first + LIST_BLOCK, y[-1]))
-                x = x[rows[3, x] != rows[3, y[0]]] if g >= 0 else x
-                p, q = np.nonzero((x[:, None] < y) & (100 * rows[0, x][:, None] >= percent * rows[0, y]) & (rows[3, x][:, None] != rows[3, y]))
-                if len(p):
-                    yield x[p], y[q]
-
-
-def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """(x, y, nx, ny, room) once for each list entry that two sets of different classes share, sizes permitting.
-
-    ``room`` is the most they can have in common from that entry on.
+    Members of one side do not meet, but those of side -1 do. Blocks that cannot hold a pair are skipped by their sizes and caps.
     """
-    schema = "x long, y long, nx int, ny int, room int"
+    edges = [(at, min(at + LIST_BLOCK, len(size))) for at in range(0, len(size), LIST_BLOCK)]
+    highest = [cap[a:z].max() for a, z in edges]
+    only = [label[a] if (label[a:z] == label[a]).all() else None for a, z in edges]
+    for j, (a, z) in enumerate(edges):
+        for i, (b, e) in enumerate(edges[: j + 1]):
+            if highest[i] < size[a] or highest[j] < size[b] or (only[i] is not None and only[i] == only[j]):
+                continue
+            fit = (size[b:e, None] <= cap[a:z]) & (cap[b:e, None] >= size[a:z]) & (label[b:e, None] != label[a:z])
+            fit &= (side[b:e, None] != side[a:z]) | (side[a:z] == -1)
+            p, q = np.nonzero(np.triu(fit, 1) if i == j else fit)
+            if len(p):
+                yield p + b, q + a
 
-    def made(rows: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-        size, key, pos = rows[:3]
-        room = np.minimum(size[x] - pos[x], size[y] - pos[y])
-        return _table({"x": (key[x], L), "y": (key[y], L), "nx": (size[x].astype(np.int32), I), "ny": (size[y].astype(np.int32), I), "room": (room.astype(np.int32), I)})
 
-    def fit(rows: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        return (100 * rows[0, x] >= percent * rows[0, y]) & (rows[3, x] != rows[3, y])
+PAIRS = "x long, y long, nx int, ny int"
+
+
+def list_pairs(lists: DataFrame) -> DataFrame:
+    """``PAIRS`` of different classes from lists (token, a, b, side, size, cap, key, label), once for each shared entry."""
+
+    def made(rows: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        size, key = rows[1], rows[3]
+        turned = (size[x] == size[y]) & (key[x] > key[y])
+        x, y = np.where(turned, y, x), np.where(turned, x, y)
+        return table([key[x], key[y], size[x].astype(np.int32), size[y].astype(np.int32)], PAIRS)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, held = None, None  # the list that may go on: its members large enough for what may come
-        for b in batches:
-            if not len(b):
+        rest: np.ndarray | None = None  # token, a, b and the members of the list that may go on; chunks bound it
+        for last, b in _with_last(batches):
+            if b is not None and len(b):
+                rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns])
+                rest = rows if rest is None else np.concatenate([rest, rows], axis=1)
+            if rest is None or not rest.shape[1]:
                 continue
-            tokens, *rest = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5))
-            rows = np.stack(rest)
-            begin = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
-            size = np.diff(np.append(begin, len(tokens)))
-            short = size <= SHORT_LIST
-            short[[0, -1]] = False
-            # short lists all at once: members k places apart, for each k
-            group = np.repeat(np.where(short, np.arange(len(size)), -1 - np.arange(len(size))), size)
-            for k in range(1, SHORT_LIST):
+            begin = np.flatnonzero(np.append(True, (rest[:3, 1:] != rest[:3, :-1]).any(axis=0)))
+            if not last:
+                now, rest = rest[3:, : begin[-1]], rest[:, begin[-1] :]
+                begin = begin[:-1]
+            else:
+                now, rest = rest[3:], None
+            length = np.diff(np.append(begin, now.shape[1]))
+            short = length <= SHORT_LIST
+            group = np.repeat(np.where(short, np.arange(len(length)), -1), length)
+            side, size, cap, _, label = now
+            for k in range(1, SHORT_LIST):  # short lists all at once: members k places apart
                 x = np.flatnonzero((group[k:] == group[:-k]) & (group[k:] >= 0))
-                x = x[fit(rows, x, x + k)]
-                if len(x):
-                    yield made(rows, x, x + k)
+                y = x + k
+                fit = (size[x] <= cap[y]) & (size[y] <= cap[x]) & (label[x] != label[y]) & ((side[x] != side[y]) | (side[x] == -1))
+                if fit.any():
+                    yield made(now, x[fit], y[fit])
             for g in np.flatnonzero(~short).tolist():
-                own = rows[:, begin[g] : begin[g] + size[g]]
-                going_on = token is not None and token == tokens[begin[g]]
-                both = np.concatenate([held, own], axis=1) if going_on else own
-                for x, y in differing_pairs(both, both.shape[1] - own.shape[1], percent):
-                    yield made(both, x, y)
-                token, held = tokens[begin[g]], both[:, both[0] >= needed(both[0, -1], percent)]
+                own = now[:, begin[g] : begin[g] + length[g]]
+                for x, y in fitting_pairs(own[1], own[2], own[4], own[0]):
+                    yield made(own, x, y)
 
-    return lists.repartition("token").sortWithinPartitions("token", "size", "key").select("token", "size", "key", "pos", "label").mapInArrow(work, schema)
+    order = ["token", "a", "b", "size", "cap", "key"]
+    return lists.repartition("token", "a", "b").sortWithinPartitions(*order).select("token", "a", "b", "side", "size", "cap", "key", "label").mapInArrow(work, PAIRS)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(key, content) of the wanted keys; each set may come once from each task."""
-    few = wanted.select("key").distinct()
-    keys = np.sort(few.toArrow()["key"].to_numpy()) if few.count() * 8 <= BROADCAST_BYTES else None
-    shared = docs.sparkSession.sparkContext.broadcast(keys)
+def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch | None]]:
+    for b in batches:
+        yield False, b
+    yield True, None
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only = shared.value
-        seen: set[int] = set()
-        for whole in batches:
-            for i in range(0, len(whole), 512):
-                found = {}
-                for s in shingle_sets(whole.slice(i, 512).column(1).to_pylist(), words):
-                    if len(s) and (key := set_key(s)) not in seen:
-                        if only is None or (len(only) and only[min(np.searchsorted(only, key), len(only) - 1)] == key):
-                            seen.add(key)
-                            found[key] = s.tobytes()
-                if found:
-                    yield _table({"key": (list(found), L), "content": (list(found.values()), B)})
-
-    return docs.mapInArrow(work, "key long, content binary")
-
-
-def compared(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (x, y) that are alike, by the sets themselves. Pairs of one y are dealt out in groups of bounded size."""
-    pairs = written(pairs, "compare")
-    groups = pairs.groupBy("y").agg(F.ceil(F.count("*") / GROUP_PAIRS).cast("int").alias("parts"))
-    wanted = pairs.join(groups, "y").select(F.col("x").alias("key"), "y", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"))
-    pivots = groups.select(F.col("y").alias("key"), "y", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"))
-    wanted = written(wanted.unionByName(pivots), "wanted")
-    if wanted.isEmpty():
-        return docs.sparkSession.createDataFrame([], "x long, y long")
-    sent = _sets(docs, wanted, words).join(sized(wanted, 32), "key").select("y", "part", "kind", "key", "content")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, pivot, last = None, np.zeros(0, np.uint64), None
-        for b in batches:
-            out = []
-            for y, part, kind, key, content in zip(*(b.column(i).to_pylist() for i in range(4)), b.column(4), strict=True):
-                if kind == 0:
-                    if now != (y, part):
-                        now, pivot = (y, part), np.frombuffer(content.as_py(), np.uint64)
-                elif (now, key) != last:
-                    last = now, key
-                    own = np.frombuffer(content.as_py(), np.uint64)
-                    at = np.searchsorted(pivot, own)
-                    both = int((pivot[np.minimum(at, len(pivot) - 1)] == own).sum())
-                    if 100 * both >= percent * (len(own) + len(pivot) - both):
-                        out.append((key, y))
-            if out:
-                x, y_ = zip(*out, strict=True)
-                yield _table({"x": (x, L), "y": (y_, L)})
-
-    return sent.repartition("y", "part").sortWithinPartitions("y", "part", "kind", "key").mapInArrow(work, "x long, y long")
+def cross_pairs(known: DataFrame, percent: int, chunk: int = CHUNK) -> DataFrame:
+    """Distinct ``PAIRS`` of sets in different classes that some list entry allows, with the number c of such entries.
+
+    ``known`` are list entries with labels. Lists of one class, and members whose cap lies below the list's least size, go first.
+    A list of more than ``chunk`` members is dealt out: those of its largest class by chunks, which the others all meet, and the
+    others among themselves by pairs of chunks.
+    """
+    entries = known.withColumn("cap", _cap(percent))
+    classes = entries.groupBy("token", "label").agg(F.count("*").alias("n"), F.min("size").alias("least"))
+    lists = classes.groupBy("token").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("main"))
+    lists = written(lists.filter("labels > 1").select("token", "n", "least", F.col("main.label").alias("main"), F.col("main.n").alias("n_main")), "open")
+    entries = entries.join(sized(lists, 40), "token").filter("cap >= least")
+    plain = entries.filter(F.col("n") <= chunk).select("token", F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(-1).alias("side"), "size", "cap", "key", "label")
+    long_ = entries.filter(F.col("n") > chunk).withColumn("mains", F.ceil(F.col("n_main") / chunk).cast("int")).withColumn("others", F.greatest(F.lit(1), F.ceil((F.col("n") - F.col("n_main")) / chunk)).cast("int"))
+    of_main = F.array(F.struct(F.lit(-1).alias("a"), F.pmod(F.xxhash64("key"), "mains").cast("int").alias("b"), F.lit(0).alias("side")))
+    own = F.pmod(F.xxhash64("key"), "others").cast("int")
+    meets = F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda c: F.struct(F.lit(-1).alias("a"), c.alias("b"), F.lit(1).alias("side")))
+    among = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda c: F.struct(F.least(own, c).alias("a"), F.greatest(own, c).alias("b"), F.when(own == c, -1).otherwise(own).alias("side")))
+    dealt = long_.withColumn("to", F.explode(F.when(F.col("label") == F.col("main"), of_main).otherwise(F.concat(meets, among)))).select("token", "to.a", "to.b", "to.side", "size", "cap", "key", "label")
+    return list_pairs(plain.unionByName(dealt)).groupBy("x", "y", "nx", "ny").agg(F.count("*").alias("c"))
+
+
+def _cap(percent: int) -> Column:
+    """``caps`` of list entries (size, pos)."""
+    return F.floor(((100 + percent) * (F.col("size") - F.col("pos")) - percent * F.col("size")) / percent).cast("int")
+
+
+class Answers:
+    """Exact answers for pairs of sets, read again from the documents by one id for each set."""
+
+    SCHEMA = "x long, y long, nx int, ny int, both int, added array<long>, missing array<long>"
+
+    def __init__(self, docs: DataFrame, rows: DataFrame, words: int) -> None:
+        self.docs, self.words = docs, words
+        found = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("id"))
+        self.where = written(found, "places")
+
+    def _sets(self, keys: DataFrame) -> DataFrame:
+        """(key, content) of the wanted keys; a set comes once for each row that repeats its id and text."""
+        ids = written(keys.distinct().join(self.where, "key"), "ids")
+        texts = self.docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text").join(sized(ids, 32), "id").select("key", "text")
+        words = self.words
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for b in slices(whole, 1):
+                    sets = shingle_sets(b.column(1).to_pylist(), words)
+                    own = [(k, s.tobytes()) for k, s in zip(b.column(0).to_pylist(), sets, strict=True) if len(s) and set_key(s) == k]
+                    if own:
+                        yield table(list(zip(*own, strict=True)), "key long, content binary")
+
+        return texts.mapInArrow(work, "key long, content binary")
+
+    def of(self, pairs: DataFrame, label: str, differences: bool = False) -> DataFrame:
+        """``SCHEMA`` for the pairs (x, y), written. Pairs of one y are dealt out in groups of bounded size.
+
+        With ``differences``, the shingles of x that y lacks and those of y that x lacks are kept where the two are similar.
+        """
+        pairs = written(pairs.select("x", "y"), "compare")
+        if pairs.isEmpty():
+            return self.docs.sparkSession.createDataFrame([], self.SCHEMA)
+        groups = pairs.groupBy("y").agg(F.ceil(F.count("*") / GROUP_PAIRS).cast("int").alias("parts"))
+        wanted = pairs.join(groups, "y").select(F.col("x").alias("key"), "y", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"))
+        pivots = groups.select(F.col("y").alias("key"), "y", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"))
+        wanted = written(wanted.unionByName(pivots), "wanted")
+        sent = self._sets(wanted.select("key")).join(sized(wanted, 32), "key").select("y", "part", "kind", "key", "content")
+        schema = self.SCHEMA
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now, pivot, last = None, np.zeros(0, np.uint64), None
+            for whole in batches:
+                for b in slices(whole, 4):
+                    out = []
+                    for y, part, kind, key, content in zip(*(b.column(i).to_pylist() for i in range(4)), b.column(4), strict=True):
+                        if kind == 0:
+                            if now != (y, part):
+                                now, pivot = (y, part), np.frombuffer(content.as_py(), np.uint64)
+                        elif (now, key) != last:
+                            last = now, key
+                            own = np.frombuffer(content.as_py(), np.uint64)
+                            shared = pivot[np.minimum(np.searchsorted(pivot, own), len(pivot) - 1)] == own
+                            both = int(shared.sum())
+                            added = missing = None
+                            if differences and 100 * both >= KEPT_PERCENT * (len(own) + len(pivot) - both):
+                                added = own[~shared].view(np.int64)
+                                missing = np.setdiff1d(pivot, own, assume_unique=True).view(np.int64)
+                            out.append((key, y, len(own), len(pivot), both, added, missing))
+                    if out:
+                        yield table(list(zip(*out, strict=True)), schema)
+
+        done = written(sent.repartition("y", "part").sortWithinPartitions("y", "part", "kind", "key").mapInArrow(work, schema), label)
+        forgotten([pairs, wanted])
+        return done
+
+
+def _linked(both: str, percent: int) -> Column:
+    return 100 * F.col(both) >= percent * (F.col("nx") + F.col("ny") - F.col(both))
+
+
+def derived(pairs: DataFrame, answers: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs that are linked, pairs whose answer is not settled), from answers that the two sets of a pair got from one pivot.
+
+    With o shared with the pivot of size m: two sets share at least ox + oy - m, and at most min(ox, oy) and what both can have
+    beside the pivot. Between these, the overlap is m less what either misses of the pivot, plus what both add to it.
+    """
+    kept = answers.filter("added IS NOT NULL")
+
+    def of(side: str) -> DataFrame:
+        return kept.select(F.col("x").alias(side), F.col("y").alias(f"p{side}"), F.col("ny").alias("m" + side), F.col("both").alias(f"o{side}"), F.col("added").alias(f"a{side}"), F.col("missing").alias(f"d{side}"))
+
+    counts = pairs.join(of("x").drop("ax", "dx"), "x", "left").join(of("y").drop("ay", "dy", "my"), "y", "left")
+    alike = F.coalesce(F.col("px") == F.col("py"), F.lit(False))
+    counts = counts.withColumn("least", F.when(alike, F.col("ox") + F.col("oy") - F.col("mx")).otherwise(0)).withColumn("most", F.when(alike, F.least("ox", "oy") + F.least(F.col("nx") - F.col("ox"), F.col("ny") - F.col("oy"))).otherwise(F.least("nx", "ny")))
+    counts = written(counts.filter(_linked("most", percent)).select("x", "y", "nx", "ny", "c", "least", alike.alias("alike")), "bounds")
+    near = counts.filter("alike").filter(~_linked("least", percent))
+    exact = near.join(of("x"), "x").join(of("y").drop("my"), "y")
+    both = F.col("mx") - F.size(F.array_union("dx", "dy")) + F.size(F.array_intersect("ax", "ay"))
+    links = counts.filter("alike").filter(_linked("least", percent)).select("x", "y").unionByName(exact.withColumn("both", both).filter(_linked("both", percent)).select("x", "y"))
+    return written(links, "derived"), counts.filter("NOT alike").select("x", "y", "c")
 
 
 def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -346,49 +439,67 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     rank = np.empty(len(token), np.uint64)
     rank[np.lexsort((token, n))] = np.arange(len(token), dtype=np.uint64) | np.uint64(1 << 63)
     by_token = np.argsort(token)
-    live = written(live_lists(prefixes(docs, (token[by_token], rank[by_token]), words, percent)), "lists")
+    live = written(live_lists(prefixes(docs, (token[by_token], rank[by_token], -(-n[by_token] // CHUNK)), words, percent)).drop("part"), "lists")
+    answers = Answers(docs, rows, words)
     least = lambda n: F.ceil(F.col(n) * percent / 100)
-
-    def may_be_alike(a: str, b: str, shared: str) -> Column:
-        """What lies behind the shorter prefix can add ``least - 1`` to the entries shared."""
-        return F.col(shared) + F.greatest(least(a), least(b)) - 1 >= F.ceil((F.col(a) + F.col(b)) * percent / (100 + percent))
-
-    # first round: each set against one pivot
     typical = live.groupBy("key", "size").agg(F.count("*").alias("n")).select("key", (F.col("n") / (F.col("size") - least("size") + 1)).alias("typical"))
-    typical = sized(written(typical, "typical"), 32)
-    heads = live.join(typical, "key").groupBy("token").agg(F.max(F.struct("typical", "size", "key")).alias("head"))
-    votes = live.join(heads.select("token", F.col("head.key").alias("pivot"), F.col("head.size").alias("pivot_size")), "token").filter("key != pivot")
-    votes = votes.groupBy("key", "size", "pivot", "pivot_size").agg(F.count("*").alias("c")).filter(may_be_alike("size", "pivot_size", "c"))
-    best = votes.groupBy("key").agg(F.max_by("pivot", F.struct("c", "pivot")).alias("pivot"))
-    labels = _roots(written(compared(best.select(F.col("key").alias("x"), F.col("pivot").alias("y")), docs, words, percent), "links"))
-
-    # second round: for each set, the pair of another class with which it shares most
-    known = written(live.join(labels, live.key == labels.x, "left").select("token", "size", "key", "pos", F.coalesce("root", "key").alias("label")), "labelled")
-    split = known.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("token")
-    pairs = cross_pairs(known.join(split, "token", "left_semi"), percent)
-    pairs = pairs.groupBy("x", "y", "nx", "ny").agg(F.count("*").alias("c"), F.max("room").alias("room"))
-    fits = (F.col("room") >= F.ceil((F.col("nx") + F.col("ny")) * percent / (100 + percent))) & may_be_alike("nx", "ny", "c")
-    pairs = written(pairs.filter(fits).select("x", "y", "c"), "pairs")
-    of_x = pairs.groupBy("x").agg(F.max_by("y", F.struct("c", "y")).alias("y"))
-    of_y = pairs.groupBy("y").agg(F.max_by("x", F.struct("c", "x")).alias("x")).select("x", "y")
+    typical = written(typical, "typical")
+    entries = written(live.join(sized(typical, 32), "key").withColumn("cap", _cap(percent)), "entries")
+    forgotten([live, typical])
+
+    def best(votes: DataFrame) -> DataFrame:
+        """For each set, the pivot (x, y) with which it shares most entries that leave it a chance."""
+        counted = votes.groupBy("key", "size", "pivot.key", "pivot.size").agg(F.count("*").alias("c"), F.max(F.expr("cap >= pivot.size AND pivot.cap >= size")).alias("fits")).toDF("x", "nx", "y", "ny", "c", "fits")
+        chance = F.col("c") + F.greatest(least("nx"), least("ny")) - 1
+        counted = counted.filter("fits").filter((100 + percent) * chance >= percent * (F.col("nx") + F.col("ny")))
+        return counted.groupBy("x").agg(F.max_by("y", F.struct("c", "y")).alias("y"))
+
+    # first each set against the most typical set that its lists show
+    head = F.max(F.struct("typical", "size", "key", "cap"))
+    heads = sized(written(entries.groupBy("token").agg(head.alias("pivot")), "heads"), 40)
+    first = answers.of(best(entries.join(heads, "token").filter("key != pivot.key")), "answers", differences=True)
+    labels = _roots(first.filter(_linked("both", percent)).select("x", "y"))
+
+    # then against the most typical set of another class
+    own = entries.join(labels, entries.key == labels.x, "left").withColumn("label", F.coalesce("root", "key"))
+    known = written(own.select("token", "size", "key", "pos", "cap", "typical", "label"), "labelled")
+    lead = written(known.groupBy("token").agg(F.max(F.struct("typical", "size", "key", "cap", "label")).alias("pivot"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("token", "pivot"), "leads")
+    split = written(known.join(sized(lead, 40), "token"), "split")
+    other = split.filter("label != pivot.label").groupBy("token").agg(F.max(F.struct("typical", "size", "key", "cap", "label")).alias("second"))
+    votes = split.join(sized(written(other, "others"), 40), "token").withColumn("pivot", F.when(F.col("label") == F.col("pivot.label"), F.col("second")).otherwise(F.col("pivot")))
+    asked = first.select("x", "y")
+    second = answers.of(best(votes).join(asked, ["x", "y"], "left_anti"), "answers")
+    labels = _tied(labels, second.filter(_linked("both", percent)).select("x", "y"))
+    asked = asked.unionByName(second.select("x", "y"))
+    asked = asked.unionByName(asked.select(F.col("y").alias("x"), F.col("x").alias("y")))
+
+    # then all pairs of different classes that the lists allow: from answers, nearest pairs, the rest
+    known = written(split.select("token", "size", "key", "pos").join(labels, F.col("key") == labels.x, "left").select("token", "size", "key", "pos", F.coalesce("root", "key").alias("label")), "labelled")
+    pairs = written(cross_pairs(known, percent).join(asked, ["x", "y"], "left_anti"), "pairs")
+    links, rest = derived(pairs, first, percent)
+    labels = _tied(labels, links)
+    rest = written(_labelled(rest, labels, "c").filter("lx != ly").select("x", "y", "c"), "rest")
+    of_x = rest.groupBy("x").agg(F.max_by("y", F.struct("c", "y")).alias("y"))
+    of_y = rest.groupBy("y").agg(F.max_by("x", F.struct("c", "x")).alias("x")).select("x", "y")
     near = written(of_x.union(of_y).distinct(), "near")
-    labels = _tied(labels, compared(near, docs, words, percent))
-
-    # third round: all pairs whose sets still lie in different classes
-    rest = _labelled(pairs.join(near, ["x", "y"], "left_anti"), labels).filter("lx != ly").select("x", "y")
-    labels = _tied(labels, compared(rest, docs, words, percent))
+    labels = _tied(labels, answers.of(near, "answers").filter(_linked("both", percent)).select("x", "y"))
+    rest = _labelled(rest.join(near, ["x", "y"], "left_anti"), labels).filter("lx != ly")
+    labels = _tied(labels, answers.of(rest, "answers").filter(_linked("both", percent)).select("x", "y"))
+    forgotten([entries, known, split, pairs])
     return rows, labels.select(F.col("x").alias("key"), F.col("root").alias("class"))
 
 
-def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+def _labelled(pairs: DataFrame, labels: DataFrame, *more: str) -> DataFrame:
     """Pairs (x, y) with the classes lx, ly of both."""
     a, b = labels.select(F.col("x").alias("xa"), F.col("root").alias("ra")), labels.select(F.col("x").alias("xb"), F.col("root").alias("rb"))
-    return pairs.join(a, F.col("x") == F.col("xa"), "left").join(b, F.col("y") == F.col("xb"), "left").select("x", "y", F.coalesce("ra", "x").alias("lx"), F.coalesce("rb", "y").alias("ly"))
+    return pairs.join(a, F.col("x") == F.col("xa"), "left").join(b, F.col("y") == F.col("xb"), "left").select("x", "y", *more, F.coalesce("ra", "x").alias("lx"), F.coalesce("rb", "y").alias("ly"))
 
 
 def _tied(labels: DataFrame, links: DataFrame) -> DataFrame:
     """The classes (x, root) after further links: only the classes are tied, not their members."""
     links = written(_labelled(links, labels), "links")
+    if links.isEmpty():
+        return labels
     tied = connected_components(links.filter("lx != ly").select("lx", "ly").distinct(), "lx", "ly")
     tied = written(tied, "tied")
     every = labels.unionByName(links.select(F.explode(F.array(F.struct(F.col("x"), F.col("lx").alias("root")), F.struct(F.col("y").alias("x"), F.col("ly").alias("root")))).alias("s")).select("s.*")).distinct()
@@ -428,9 +539,9 @@ def one_of_each(df: DataFrame, key: str, text: str, words: int = WORDS, percent:
     Ids that occur once are settled by id; rows with repeated or null ids by their sets.
     """
     rows, classes = set_classes(df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), words, percent)
-    named = _named(rows, classes)
+    known = _named(rows, classes)
     repeated = sized(written(rows.groupBy(F.col("doc_id").alias("__id")).count().filter("count > 1 OR __id IS NULL").select("__id"), "repeated"), 24)
-    losers = rows.join(named, rows.key == named.set_key).filter("component_id IS NULL OR doc_id != component_id").select(F.col("doc_id").alias("__id"))
+    losers = rows.join(known, rows.key == known.set_key).filter("component_id IS NULL OR doc_id != component_id").select(F.col("doc_id").alias("__id"))
     losers = sized(written(losers.filter("__id IS NOT NULL").distinct(), "losers"), 24)
     same = F.col(key).cast("long").eqNullSafe(F.col("__id"))
     settled = df.join(repeated, same, "left_anti").join(losers, same, "left_anti")
@@ -439,7 +550,7 @@ def one_of_each(df: DataFrame, key: str, text: str, words: int = WORDS, percent:
     def keys(texts: pd.Series) -> pd.Series:
         return pd.Series([set_key(s) if len(s) else None for s in shingle_sets([t or "" for t in texts], words)], dtype="Int64")
 
-    classes_ = named.select(F.col("set_key").alias("__set"), F.col("class").alias("__class"), F.col("component_id").alias("__component"))
+    classes_ = known.select(F.col("set_key").alias("__set"), F.col("class").alias("__class"), F.col("component_id").alias("__component"))
     open_ = df.join(repeated, same, "left_semi").withColumn("__key", keys(text)).join(classes_, F.col("__key") == F.col("__set"), "left")
     first = open_.filter(F.col("__class").isNotNull() & F.col(key).cast("long").eqNullSafe(F.col("__component"))).dropDuplicates(["__class"])
-    return settled.unionByName(open_.filter("__class IS NULL").select(*df.columns)).unionByName(first.select(*df.columns))
+    return settled.unionByName(open_.filter("__class IS NULL").select(*named(df))).unionByName(first.select(*named(df)))

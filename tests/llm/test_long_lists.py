@@ -1,47 +1,85 @@
-"""Long lists of the Jaccard join: all pairs of different classes, in bounded memory."""
+"""Long lists of the Jaccard join: all pairs that the caps allow, in bounded groups, and no more than the lists grow."""
 
 from __future__ import annotations
 
 import random
-import tracemalloc
 
+import brute
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from awkward_docs import words
 
 from tessel.llm import jaccard_join
 
 
-def plain(rows: np.ndarray, fresh: int) -> list[tuple[int, int]]:
-    size, label = rows[0].tolist(), rows[3].tolist()
-    return [(i, j) for j in range(fresh, len(size)) for i in range(j) if 100 * size[i] >= 80 * size[j] and label[i] != label[j]]
+def plain(size, cap, label, side) -> set[tuple[int, int]]:
+    n = range(len(size))
+    return {(i, j) for j in n for i in range(j) if size[i] <= cap[j] and size[j] <= cap[i] and label[i] != label[j] and (side[i] != side[j] or side[i] == -1)}
 
 
-@pytest.mark.parametrize("block, own", [(7, 2), (16, 64), (1024, 64)])
-def test_differing_pairs(block, own, monkeypatch):
+@pytest.mark.parametrize("block", [7, 1024])
+def test_fitting_pairs(block, monkeypatch):
     monkeypatch.setattr(jaccard_join, "LIST_BLOCK", block)
-    monkeypatch.setattr(jaccard_join, "OWN_CLASS", own)
     rng = random.Random(block)
     for classes in (1, 2, 5, 90):
-        n = 150
-        rows = np.array([sorted(rng.randrange(50, 120) for _ in range(n)), range(n), [0] * n, [rng.randrange(classes) for _ in range(n)]])
-        for fresh in (0, 40, n):
-            got = [z for x, y in jaccard_join.differing_pairs(rows, fresh, 80) for z in zip(x.tolist(), y.tolist(), strict=True)]
-            assert sorted(got) == sorted(plain(rows, fresh)) and len(set(got)) == len(got)
-
-
-def test_a_large_class_takes_bounded_memory():
-    """One class of 60,000 and one set outside; a matrix of all members by 1,024 would take 61 MB."""
-    n = 60_000
-    rows = np.array([np.full(n, 100), np.arange(n), np.zeros(n), np.arange(n) == n // 2], np.int64)
-    tracemalloc.start()
-    pairs = sum(len(x) for x, _ in jaccard_join.differing_pairs(rows, 0, 80))
-    peak = tracemalloc.get_traced_memory()[1]
-    tracemalloc.stop()
-    assert pairs == n - 1 and peak < 16_000_000
-
-
-def test_cross_pairs_of_a_long_list(spark):
-    rows = [(1, 100 + k % 3, k, 0, k % 4) for k in range(60)]
-    lists = spark.createDataFrame(rows, "token long, size int, key long, pos int, label long").repartition(3)
-    assert jaccard_join.cross_pairs(lists, 80).select(F.least("x", "y"), F.greatest("x", "y")).distinct().count() == 60 * 45 // 2
+        size = np.array(sorted(rng.randrange(50, 120) for _ in range(150)))
+        cap = jaccard_join.caps(size, np.array([rng.randrange(12) for _ in size]), 80)
+        label, side = (np.array([rng.randrange(a, k) for _ in size]) for a, k in ((0, classes), (-1, 2)))
+        got = [z for x, y in jaccard_join.fitting_pairs(size, cap, label, side) for z in zip(x.tolist(), y.tolist(), strict=True)]
+        assert set(got) == plain(size, cap, label, side) and len(set(got)) == len(got)
+
+
+def test_caps():
+    """A pair whose first common shingle lies at these places is linked at most up to the cap."""
+    for n in range(1, 60):
+        for pos in range(n):
+            cap = int(jaccard_join.caps(np.array([n]), np.array([pos]), 80)[0])
+            room = n - pos
+            fits = [m for m in range(1, 100) if 100 * min(room, m) >= 80 * (n + m - min(room, m))]
+            assert all(m <= cap for m in fits) and (cap not in range(room, 100) or cap in fits or not fits)
+
+
+@pytest.mark.parametrize("chunk", [3, 10, 1000])
+def test_cross_pairs_of_a_long_list(spark, chunk):
+    rng = random.Random(chunk)
+    rows = [(t, 100 + k % 3, k, rng.randrange(6), k % 4 if k % 3 else 0) for t in (1, 2) for k in range(60)]
+    lists = spark.createDataFrame(rows, "token long, size int, key long, pos int, label long")
+    got = {(r.x, r.y): r.c for r in jaccard_join.cross_pairs(lists, 80, chunk).collect()}
+    want = {}
+    for a in rows:
+        for b in rows:
+            room = min(a[1] - a[3], b[1] - b[3])
+            if a[0] == b[0] and a[4] != b[4] and (a[1], a[2]) < (b[1], b[2]) and 100 * room >= 80 * (a[1] + b[1] - room):
+                want[a[2], b[2]] = want.get((a[2], b[2]), 0) + 1
+    assert got == want
+
+
+def near_copies(members: int) -> list[str]:
+    rng = random.Random(members)
+    base = words(150, 77).split()
+    out = []
+    for k in range(members):
+        text = list(base)
+        for at in rng.sample(range(len(text)), rng.randrange(1, 8)):
+            text[at] = f"m{k}x{at}"
+        out.append(" ".join(text))
+    return [" ".join(base), *out]
+
+
+def test_pairs_grow_with_a_group_of_near_copies(spark, monkeypatch):
+    made = []
+    true = jaccard_join.cross_pairs
+
+    def counted(known, percent, chunk=jaccard_join.CHUNK):
+        out = true(known, percent, chunk)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "cross_pairs", counted)
+    for members in (100, 200, 400):
+        texts = dict(enumerate(near_copies(members)))
+        df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.components(df, "doc_id", "text").collect()}
+        if members < 400:
+            assert got == brute.components(texts)
+    assert all(n <= 5 * members for n, members in zip(made, (100, 200, 400), strict=True)), made

@@ -1,7 +1,9 @@
 """Byte-level BPE with a local rank file.
 
-Long texts are split at boundaries that no match of the pre-token pattern can cross, so that memory is bounded and the ids
-are those of the whole text. Decoding returns raw bytes, which need not be valid UTF-8 at the end of a piece.
+Long texts are split at boundaries that no match of the pre-token pattern can cross, so that the ids are those of the whole text:
+at single blanks, and where there is none for long, between matches found one by one. A match of great length (a run of blanks, a
+text without blanks) is encoded by itself, without the pattern. Beside the text and its ids, memory is bounded by the longest
+match. Decoding returns raw bytes, which need not be valid UTF-8 at the end of a piece.
 
 Defined cases: a null text is an empty one, with no ids; repeated rows are encoded each; an empty table gives no rows;
 columns other than the two named are not read, so clashing names do no harm.
@@ -10,6 +12,7 @@ columns other than the two named are not read, so clashing names do no harm.
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -19,12 +22,23 @@ from pyspark.sql import DataFrame
 
 #: Texts are encoded in parts of about so many characters.
 PART_CHARS = 1 << 16
+#: A match of more characters is encoded by itself.
+LONG_PIECE = 1 << 12
 #: A space between two characters that are no white space: every pre-token ends before it.
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 _ENCODERS: dict[str, object] = {}
 
 
+@functools.cache
+def pre_tokens():
+    """The pre-token pattern."""
+    import public_tokenizers
+    import regex
+
+    return regex.compile(public_tokenizers.PATTERN)
+
+
 def encoder(ranks_file: str):
     """The encoder of a rank file, made once for each Python worker."""
     import public_tokenizers
@@ -37,16 +51,32 @@ def encoder(ranks_file: str):
     return _ENCODERS[ranks_file]
 
 
-def safe_parts(text: str, size: int = PART_CHARS) -> Iterator[str]:
-    """Consecutive parts of ``text``, cut only at safe boundaries."""
+def parts(text: str, size: int = PART_CHARS) -> Iterator[tuple[str, bool]]:
+    """Consecutive parts of ``text`` of about ``size`` characters, and whether a part is a single match of over LONG_PIECE."""
     at = 0
     while len(text) - at > size:
-        cut = SAFE.search(text, at + size)
-        if cut is None:
-            break
-        yield text[at : cut.start()]
-        at = cut.start()
-    yield text[at:] if at else text
+        if cut := SAFE.search(text, at + size, at + 2 * size):
+            yield text[at : cut.start()], False
+            at = cut.start()
+            continue
+        begin = at
+        for match in pre_tokens().finditer(text, at):
+            long_ = match.end() - match.start() > LONG_PIECE
+            if begin < match.start() and (long_ or match.start() - begin >= size):
+                yield text[begin : match.start()], False
+                begin = match.start()
+            if long_:
+                yield match[0], True
+                begin = match.end()
+            if begin > at + size:
+                break
+        else:
+            if begin < len(text):
+                yield text[begin:], False
+            return
+        at = begin
+    if at < len(text) or not text:
+        yield text[at:], False
 
 
 def encode(enc, text: str) -> list[int]:
@@ -54,8 +84,8 @@ def encode(enc, text: str) -> list[int]:
     if len(text) <= PART_CHARS:
         return enc.encode_ordinary(text)
     ids: list[int] = []
-    for part in safe_parts(text):
-        ids += enc.encode_ordinary(part)
+    for part, single in parts(text):
+        ids += enc._encode_single_piece(part) if single else enc.encode_ordinary(part)
     return ids
 
 

@@ -22,7 +22,8 @@ b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 h AS (SELECT source, count(*) AS n, sum(base_failed::INT)::DOUBLE AS x FROM b GROUP BY source),
 m AS (SELECT sum(x) / sum(n) AS m, coalesce(var_samp(x / n), 0) AS v FROM h),
 p AS (SELECT m, CASE WHEN v > 0 THEN least(1000.0, greatest(1.0, m * (1 - m) / v - 1)) ELSE 1000.0 END AS k FROM m),
-bad AS (SELECT source FROM h, p WHERE (x + m * k) / (n + k) > 0.5)
+s AS (SELECT source, n, m, k, (x + m * k) / (n + k) AS r FROM h, p),
+bad AS (SELECT source FROM s WHERE r * (1 - m) >= 2.0 * m * (1 - r) AND r - m > 3.0 * sqrt(r * (1 - r) / (n + k + 1)))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.source IS NOT DISTINCT FROM b.source) AS kept
 FROM b

@@ -33,15 +33,28 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 #: Up to this character the two libraries' character classes are alike, so that the rank file gives the tokenizer's ids.
 ALIKE = re.compile("[^\x00-ɏ]")
 
+#: The token that the file adds to its vocabulary.
+ADDED = "<|endoftext|>"
+
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
 _TOKENIZERS: dict[str, object] = {}
 
 
+def blank_parts(text: str, size: int = bpe.PART_CHARS) -> Iterator[str]:
+    """Parts of a text cut at single blanks, of about ``size`` characters; without such a place it comes whole."""
+    at = 0
+    while len(text) - at > size and (cut := bpe.SAFE.search(text, at + size)):
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
 def tokenize(tokenizer_file: str, ranks_file: str, end_id: int) -> Callable[[str], np.ndarray]:
     """Ids of a text by the tokenizer file, then ``end_id``.
 
-    The rank file holds the same vocabulary and merges several times faster; texts with characters beyond ``ALIKE`` go
-    through the tokenizer file itself. Strings of special tokens are ordinary text.
+    The rank file holds the same vocabulary and merges several times faster; texts with characters beyond ``ALIKE``, or with a
+    string that the tokenizer file reads as a token of its own, go through that file itself, long ones in parts cut at single
+    blanks.
     """
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -49,11 +62,10 @@ def tokenize(tokenizer_file: str, ranks_file: str, end_id: int) -> Callable[[str
     enc = bpe.encoder(ranks_file)
 
     def ids(text: str) -> np.ndarray:
-        if ALIKE.search(text):
+        if ALIKE.search(text) or ADDED in text:
             if tokenizer_file not in _TOKENIZERS:
                 _TOKENIZERS[tokenizer_file] = Tokenizer.from_file(public_tokenizers.path(tokenizer_file))
-                _TOKENIZERS[tokenizer_file].encode_special_tokens = True
-            found = _TOKENIZERS[tokenizer_file].encode(text, add_special_tokens=False).ids
+            found = [i for part in blank_parts(text) for i in _TOKENIZERS[tokenizer_file].encode(part, add_special_tokens=False).ids]
         else:
             found = bpe.encode(enc, text)
         return np.array([*found, end_id], "<u4")

@@ -1,8 +1,9 @@
 """Quality rules with host verdicts (DataFrame functions only).
 
 Each document gets base features and a base verdict from its own text. The failures are summed by host, the hosts' rates
-are shrunk by a beta prior fitted to all hosts by the method of moments, and a host whose shrunken rate passes a threshold
-loses its other documents too.
+are shrunk by a beta prior fitted to all hosts by the method of moments. A host whose shrunken rate stands out loses its other
+documents too: its odds of failing must be ``HOST_ODDS`` times the prior mean's, and its rate ``HOST_ERRORS`` posterior standard
+deviations above it. So a host can fall at any base rate, but neither by chance nor, however many documents it has, by a trifle.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null host is a host of its own; repeated rows
 count each; very long texts are handled whole; an empty table gives no rows; names with two leading underscores are
@@ -17,8 +18,9 @@ from tessel.plans.stages import sized
 
 SPACE = r"\x20\x09-\x0D"
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: A host is rejected when its shrunken share of failing documents is above this.
-HOST_LIMIT = 0.5
+#: A host is rejected when the odds of its shrunken rate are so many times those of the prior mean or more, and the rate is more
+#: than so many posterior standard deviations above it.
+HOST_ODDS, HOST_ERRORS = 2.0, 3.0
 
 
 def let(value: Column, body) -> Column:
@@ -76,16 +78,16 @@ def base_features(df: DataFrame, text: str) -> DataFrame:
     return out.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
-def host_verdicts(judged: DataFrame, host: str, limit: float = HOST_LIMIT) -> DataFrame:
+def host_verdicts(judged: DataFrame, host: str, odds: float = HOST_ODDS, errors: float = HOST_ERRORS) -> DataFrame:
     """One row per host: host, n_docs, n_failed, shrunk_rate, host_failed.
 
     The prior's mean is the share of failures over all documents; its strength comes from the variance of the hosts' rates
     (equally weighted), held between 1 and 1000. With fewer than two hosts, or no variance, the strength is 1000.
     """
-    return host_verdicts_of_counts(judged.groupBy(host, "base_failed").count(), host, limit)
+    return host_verdicts_of_counts(judged.groupBy(host, "base_failed").count(), host, odds, errors)
 
 
-def host_verdicts_of_counts(counts: DataFrame, host: str, limit: float = HOST_LIMIT) -> DataFrame:
+def host_verdicts_of_counts(counts: DataFrame, host: str, odds: float = HOST_ODDS, errors: float = HOST_ERRORS) -> DataFrame:
     """The same from rows (host, base_failed, count)."""
     hosts = counts.groupBy(F.col(host).alias("host")).agg(F.sum("count").alias("n_docs"), F.sum(F.when(F.col("base_failed"), F.col("count")).otherwise(0)).alias("n_failed"))
     prior = hosts.agg(
@@ -93,7 +95,10 @@ def host_verdicts_of_counts(counts: DataFrame, host: str, limit: float = HOST_LI
         F.coalesce(F.var_samp(F.col("n_failed") / F.col("n_docs")), F.lit(0.0)).alias("v"),
     ).select("m", F.when(F.col("v") > 0, F.least(F.lit(1000.0), F.greatest(F.lit(1.0), F.col("m") * (1 - F.col("m")) / F.col("v") - 1))).otherwise(1000.0).alias("k"))
     rated = hosts.join(F.broadcast(prior)).withColumn("shrunk_rate", (F.col("n_failed") + F.col("m") * F.col("k")) / (F.col("n_docs") + F.col("k")))  # the prior is one row
-    return rated.select("host", "n_docs", "n_failed", "shrunk_rate", (F.col("shrunk_rate") > limit).alias("host_failed"))
+    rate, mean = F.col("shrunk_rate"), F.col("m")
+    far = rate * (1 - mean) >= odds * mean * (1 - rate)
+    sure = rate - mean > errors * F.sqrt(rate * (1 - rate) / (F.col("n_docs") + F.col("k") + 1))
+    return rated.select("host", "n_docs", "n_failed", "shrunk_rate", (far & sure).alias("host_failed"))
 
 
 def with_verdicts(judged: DataFrame, verdicts: DataFrame, host: str) -> DataFrame:

@@ -20,19 +20,16 @@ from pyspark.sql import DataFrame
 
 from tessel.llm import bpe
 
-#: Pre-tokens whose counts a worker remembers; beyond that it forgets all and starts anew.
-REMEMBERED = 400_000
+#: Pre-tokens whose counts a worker remembers, and the longest of them; beyond that it forgets all and starts anew.
+REMEMBERED, REMEMBERED_CHARS = 200_000, 64
 
 
 class Counter:
     """Splits a text into pre-tokens and counts the ids of each."""
 
     def __init__(self, ranks_file: str) -> None:
-        import public_tokenizers
-        import regex
-
         self.encoder = bpe.encoder(ranks_file)
-        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
+        self.pieces = bpe.pre_tokens().findall
         self.known: dict[str, int] = {}
 
     def split(self, text: str) -> tuple[list[str], list[int]]:
@@ -40,9 +37,10 @@ class Counter:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
+        rare: dict[str, int] = {}
         for piece in set(pieces).difference(known):
-            known[piece] = len(self.encoder.encode_ordinary(piece))
-        return pieces, [known[p] for p in pieces]
+            (known if len(piece) <= REMEMBERED_CHARS else rare)[piece] = len(self.encoder._encode_single_piece(piece))
+        return pieces, [known[p] if p in known else rare[p] for p in pieces]
 
 
 class Tree:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections import defaultdict
 
 
@@ -19,6 +20,26 @@ def removed(texts: dict[int, bytes], length: int, keep: str = "none") -> dict[in
     return gone
 
 
+def removed_words(texts: dict[int, bytes], length: int) -> dict[int, list[bool]]:
+    """For each text, whether each byte goes with a later copy of ``length`` words."""
+    spans = {d: [m.span() for m in re.finditer(rb"[^ \t-\r]+", t)] for d, t in texts.items()}
+    where = defaultdict(list)
+    for d in sorted(texts):
+        for i in range(len(spans[d]) - length + 1):
+            a, z = spans[d][i][0], spans[d][i + length - 1][1]
+            where[texts[d][a:z]].append((d, i))
+    hit = defaultdict(set)
+    for places in where.values():
+        for d, i in places[1:]:
+            hit[d].update(range(i, i + length))
+    gone = {d: [False] * len(t) for d, t in texts.items()}
+    for d, at in hit.items():
+        for i in at:
+            a, z = spans[d][i][0], spans[d][i + 1][0] if i + 1 in at else spans[d][i][1]
+            gone[d][a:z] = [True] * (z - a)
+    return gone
+
+
 def cut(texts: dict[int, bytes], length: int, keep: str = "none") -> dict[int, tuple[int, int, int, str]]:
     out = {}
     for d, flags in removed(texts, length, keep).items():

@@ -130,7 +130,8 @@ def test_pipeline(spark):
             assert {r.doc_id for r in after} == {d for d, (n, c) in classes.items() if c == d or not n}
         if name == "passages":
             texts = {d: (r.text or "").encode() for d, r in before.items()}
-            gone = brute.removed(texts, corpus_pipeline.PASSAGE_BYTES, "first")
+            gone, by_words = brute.removed(texts, corpus_pipeline.PASSAGE_BYTES, "first"), brute.removed_words(texts, corpus_pipeline.PASSAGE_WORDS)
+            gone = {d: [a or b for a, b in zip(gone[d], by_words[d], strict=True)] for d in texts}
             assert {r.doc_id: r.text for r in after} == {d: bytes(c for c, f in zip(t, gone[d], strict=True) if not f).decode(errors="ignore") for d, t in texts.items()}
             assert all(r.n_chars == len(r.text) for r in after)
         docs = spark.createDataFrame(after, out.schema)

@@ -88,6 +88,13 @@ def test_host_verdicts(spark):
     assert quality.host_verdicts(judged.limit(0), "source").count() == 0
 
 
+def test_hosts_fall_below_one_half(spark):
+    """A host that fails thrice as often as all others falls at a rate of a quarter; one that does by chance stays."""
+    counts = [(f"h{k}", bad, n) for k in range(19) for bad, n in ((True, 80), (False, 920))] + [("far", True, 250), ("far", False, 750), ("chance", True, 2), ("chance", False, 6)]
+    got = {r.host: r for r in quality.host_verdicts_of_counts(spark.createDataFrame(counts, "source string, base_failed boolean, count long"), "source").collect()}
+    assert {h for h, r in got.items() if r.host_failed} == {"far"} and got["far"].shrunk_rate < 0.3
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_matches_duckdb(spark, name):
     same_rows(spark, registry.QUERIES[name], registry.ORACLE[name])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 import random
 import zlib
@@ -11,6 +12,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from tessel.llm import bpe, chat, fingerprints, packing, token_counts
 MULTI, PLAIN = "byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.tiktoken"
 
 
+@functools.cache
 def library(name: str) -> tiktoken.Encoding:
     with open(public_tokenizers.path(name), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -104,10 +107,37 @@ def test_chat_digests(spark):
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from([" ", "  ", "\n", "a", "don't", "é", "1", "'s", "\t", "日", "!", "\u00a0", "\u2009"]), max_size=60).map("".join), st.integers(1, 12))
-def test_safe_parts_keep_the_ids(text, size):
+def test_parts_keep_the_ids(text, size):
     enc = bpe.encoder(MULTI)
-    parts = list(bpe.safe_parts(text, size))
-    assert "".join(parts) == text and [i for p in parts for i in enc.encode_ordinary(p)] == enc.encode_ordinary(text)
+    for long_piece in (3, 1 << 12):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(bpe, "LONG_PIECE", long_piece)
+            parts = list(bpe.parts(text, size))
+        assert "".join(p for p, _ in parts) == text
+        assert [i for p, single in parts for i in (enc._encode_single_piece(p) if single else enc.encode_ordinary(p))] == enc.encode_ordinary(text)
+        assert "".join(packing.blank_parts(text, size)) == text
+
+
+LONG_TEXTS = {
+    "blanks": " " * 1_000_000, "blanks and a letter": " " * 700_000 + "x", "chinese": "\u6f22\u5b57" * 150_000, "letters": "a" * 200_000,
+    "double blanks": "word  " * 50_000, "line ends": "\n " * 100_000, "marks": "a!" * 100_000, "words": "some words " * 30_000,
+}
+
+
+@pytest.mark.parametrize("name", LONG_TEXTS)
+def test_long_texts(name):
+    """Ids of long texts are those of their pre-tokens, each encoded by itself; parts stay small where the pattern allows."""
+    text = LONG_TEXTS[name]
+    pieces = regex.findall(public_tokenizers.PATTERN, text)
+    for file in (MULTI, PLAIN):
+        enc = bpe.encoder(file)
+        known = {p: enc._encode_single_piece(p) for p in set(pieces)}
+        want = [i for p in pieces for i in known[p]]
+        assert bpe.encode(enc, text) == want and enc.decode_bytes(want) == text.encode()
+    assert max(len(p) for p, _ in bpe.parts(text)) <= max(2 * bpe.PART_CHARS, max(map(len, pieces)))
+    assert packing.tokenize("byte_bpe_50k.json", PLAIN, 0)(text).tolist() == [*want, 0]
+    counter = token_counts.Counter(PLAIN)
+    assert sum(counter.split(text)[1]) == len(want) and max(map(len, counter.known), default=0) <= token_counts.REMEMBERED_CHARS
 
 
 def test_bpe(awkward, none):
@@ -191,7 +221,6 @@ def test_longest_goes_to_the_cheapest():
 @pytest.mark.parametrize("window", [1 << 21, 700])
 def test_packing(awkward, window):
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     ids = defaultdict(list)
     for r in awkward.collect():
         ids[r.doc_id].append(np.array([*tok.encode(r.text or "", add_special_tokens=False).ids, 0], "<u4"))
@@ -204,6 +233,19 @@ def test_packing(awkward, window):
     assert max(fill.values()) <= 1024
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(max_codepoint=0x24F), max_size=80))
+def test_rank_file_gives_the_tokenizers_ids_of_random_strings(text):
+    tok = packing._TOKENIZERS.setdefault("byte_bpe_50k.json", Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+    assert tok.encode(text, add_special_tokens=False).ids == library(PLAIN).encode_ordinary(text)
+
+
+def test_added_token_is_read_as_the_tokenizer_file_reads_it():
+    ids = packing.tokenize("byte_bpe_50k.json", PLAIN, 0)("a <|endoftext|> b").tolist()
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert ids == [*tok.encode("a <|endoftext|> b", add_special_tokens=False).ids, 0] and 50256 in ids
+
+
 def test_packing_of_nothing(none):
     assert packing.packed(none, "doc_id", "text", "byte_bpe_50k.json", PLAIN).count() == 0
 
@@ -211,8 +253,7 @@ def test_packing_of_nothing(none):
 def test_rank_file_gives_the_tokenizers_ids_below_the_bound():
     """Every character the fast way is used for, in several surroundings."""
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     enc = library(PLAIN)
     for c in map(chr, range(0x250)):
         for text in (f"a{c}b", f" {c}{c} 1{c}", f"{c}\n {c}", f"it{c}'s{c}"):
-            assert not packing.ALIKE.search(text) and tok.encode(text, add_special_tokens=False).ids == enc.encode_ordinary(text)
+            assert not packing.ALIKE.search(text) and packing.ADDED not in text and tok.encode(text, add_special_tokens=False).ids == enc.encode_ordinary(text)

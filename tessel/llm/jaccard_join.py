@@ -12,8 +12,9 @@ passes.
 Answers from answers: each set is first compared with one pivot, the most typical set that its lists show. The pivot's answer
 (overlap, and the shingles by which the two differ) is kept. Links make classes; pairs inside a class need no answer of their
 own. For a pair whose sets have the same pivot, the answer is derived from the two kept ones: bounds on the overlap come from
-the counts alone, and the exact overlap from the differences, without reading either set. What remains is compared in full,
-first the pair of another class with which a set shares most. No candidate is left out, so that no link between classes is lost.
+the counts alone, and the exact overlap from the differences, without reading either set. What remains, and what sketches of the
+sets leave possible, is compared in full, first the pair of another class with which a set shares most. No candidate is left out,
+so that no link between classes is lost.
 
 Pivot votes are one row per list entry; pairs are only made of entries that pass the caps and lie in different classes. Long
 lists are dealt out in chunks of bounded size, those of the largest class once each.
@@ -150,9 +151,20 @@ def caps(size: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
     return ((100 + percent) * (size - pos) - percent * size) // percent
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """The parities of how many members fall on each of 2 n to 4 n bits, as 64-bit words.
+
+    Where two sketches differ, so do the sets: they have at least so many members that are not common. A sketch of twice as
+    many words is made as short as the other by adding its halves.
+    """
+    bits = 64 << max(0, int(len(s) - 1).bit_length() - 5)
+    odd = (np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def survey(docs: DataFrame, words: int) -> DataFrame:
-    """(kind 0: doc_id, key, size) for each row, and (kind 1: key, size) for shingles with their counts in a batch."""
-    schema = "kind int, doc_id long, key long, size long"
+    """(kind 0: doc_id, key, size, sketch) for each row, and (kind 1: key, size) for shingles with their counts in a batch."""
+    schema = "kind int, doc_id long, key long, size long, sketch array<long>"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -160,12 +172,12 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
             for b in slices(whole, 1):
                 sets = shingle_sets(b.column(1).to_pylist(), words)
                 keys = [set_key(s) if len(s) else None for s in sets]
-                yield table([[0] * len(sets), b.column(0), keys, [len(s) for s in sets]], schema)
+                yield table([[0] * len(sets), b.column(0), keys, [len(s) for s in sets], [sketch(s) if len(s) else None for s in sets]], schema)
                 held |= {k: s for k, s in zip(keys, sets, strict=True) if k is not None}
                 if b.slice(len(b) - 1).equals(whole.slice(len(whole) - 1)) or sum(map(len, held.values())) > 1 << 20:
                     shingle, count = np.unique(np.concatenate([*held.values(), np.zeros(0, np.uint64)]), return_counts=True)
                     many = count >= COMMON_IN_BATCH
-                    yield table([np.ones(many.sum(), np.int32), pa.nulls(int(many.sum()), pa.int64()), shingle[many].view(np.int64), count[many]], schema)
+                    yield table([np.ones(many.sum(), np.int32), pa.nulls(int(many.sum()), pa.int64()), shingle[many].view(np.int64), count[many], pa.nulls(int(many.sum()), pa.list_(pa.int64()))], schema)
                     held = {}
 
     return docs.select("doc_id", "text").mapInArrow(work, schema)
@@ -343,9 +355,19 @@ class Answers:
 
     def __init__(self, docs: DataFrame, rows: DataFrame, words: int) -> None:
         self.docs, self.words = docs, words
-        found = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("id"))
+        found = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("id"), F.any_value("sketch").alias("sketch"))
         self.where = written(found, "places")
 
+    def possible(self, pairs: DataFrame, percent: int) -> DataFrame:
+        """``pairs`` (x, y, nx, ny, ...) without those whose sketches differ too much for so high a likeness."""
+        a, b = (self.where.select(F.col("key").alias(side), F.col("sketch").alias(f"s{side}")) for side in "xy")
+        halves = lambda long_, short: F.zip_with(F.slice(long_, 1, F.size(short)), F.slice(long_, F.size(short) + 1, F.size(short)), lambda p, q: p.bitwiseXOR(q))
+        x = F.when(F.size("sx") == 2 * F.size("sy"), halves(F.col("sx"), F.col("sy"))).otherwise(F.col("sx"))
+        y = F.when(F.size("sy") == 2 * F.size("sx"), halves(F.col("sy"), F.col("sx"))).otherwise(F.col("sy"))
+        apart = F.aggregate(F.zip_with("ax", "ay", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, v: n + v)
+        both = pairs.join(a, "x").join(b, "y").withColumn("ax", x).withColumn("ay", y).withColumn("apart", F.when(F.size("ax") == F.size("ay"), apart).otherwise(0))
+        return both.filter((100 + percent) * F.floor((F.col("nx") + F.col("ny") - F.col("apart")) / 2) >= percent * (F.col("nx") + F.col("ny"))).select(*pairs.columns)
+
     def _sets(self, keys: DataFrame) -> DataFrame:
         """(key, content) of the wanted keys; a set comes once for each row that repeats its id and text."""
         ids = written(keys.distinct().join(self.where, "key"), "ids")
@@ -427,7 +449,7 @@ def derived(pairs: DataFrame, answers: DataFrame, percent: int) -> tuple[DataFra
     exact = near.join(of("x"), "x").join(of("y").drop("my"), "y")
     both = F.col("mx") - F.size(F.array_union("dx", "dy")) + F.size(F.array_intersect("ax", "ay"))
     links = counts.filter("alike").filter(_linked("least", percent)).select("x", "y").unionByName(exact.withColumn("both", both).filter(_linked("both", percent)).select("x", "y"))
-    return written(links, "derived"), counts.filter("NOT alike").select("x", "y", "c")
+    return written(links, "derived"), counts.filter("NOT alike").select("x", "y", "nx", "ny", "c")
 
 
 def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -440,7 +462,7 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     rank[np.lexsort((token, n))] = np.arange(len(token), dtype=np.uint64) | np.uint64(1 << 63)
     by_token = np.argsort(token)
     live = written(live_lists(prefixes(docs, (token[by_token], rank[by_token], -(-n[by_token] // CHUNK)), words, percent)).drop("part"), "lists")
-    answers = Answers(docs, rows, words)
+    answers = Answers(docs, found.filter("kind = 0"), words)
     least = lambda n: F.ceil(F.col(n) * percent / 100)
     typical = live.groupBy("key", "size").agg(F.count("*").alias("n")).select("key", (F.col("n") / (F.col("size") - least("size") + 1)).alias("typical"))
     typical = written(typical, "typical")
@@ -452,12 +474,12 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
         counted = votes.groupBy("key", "size", "pivot.key", "pivot.size").agg(F.count("*").alias("c"), F.max(F.expr("cap >= pivot.size AND pivot.cap >= size")).alias("fits")).toDF("x", "nx", "y", "ny", "c", "fits")
         chance = F.col("c") + F.greatest(least("nx"), least("ny")) - 1
         counted = counted.filter("fits").filter((100 + percent) * chance >= percent * (F.col("nx") + F.col("ny")))
-        return counted.groupBy("x").agg(F.max_by("y", F.struct("c", "y")).alias("y"))
+        return counted.groupBy("x", "nx").agg(F.max_by(F.struct("y", "ny"), F.struct("c", "y")).alias("to")).select("x", "nx", "to.y", "to.ny")
 
     # first each set against the most typical set that its lists show
     head = F.max(F.struct("typical", "size", "key", "cap"))
     heads = sized(written(entries.groupBy("token").agg(head.alias("pivot")), "heads"), 40)
-    first = answers.of(best(entries.join(heads, "token").filter("key != pivot.key")), "answers", differences=True)
+    first = answers.of(answers.possible(best(entries.join(heads, "token").filter("key != pivot.key")), KEPT_PERCENT), "answers", differences=True)
     labels = _roots(first.filter(_linked("both", percent)).select("x", "y"))
 
     # then against the most typical set of another class
@@ -468,7 +490,7 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     other = split.filter("label != pivot.label").groupBy("token").agg(F.max(F.struct("typical", "size", "key", "cap", "label")).alias("second"))
     votes = split.join(sized(written(other, "others"), 40), "token").withColumn("pivot", F.when(F.col("label") == F.col("pivot.label"), F.col("second")).otherwise(F.col("pivot")))
     asked = first.select("x", "y")
-    second = answers.of(best(votes).join(asked, ["x", "y"], "left_anti"), "answers")
+    second = answers.of(answers.possible(best(votes), percent).join(asked, ["x", "y"], "left_anti"), "answers")
     labels = _tied(labels, second.filter(_linked("both", percent)).select("x", "y"))
     asked = asked.unionByName(second.select("x", "y"))
     asked = asked.unionByName(asked.select(F.col("y").alias("x"), F.col("x").alias("y")))
@@ -478,7 +500,7 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     pairs = written(cross_pairs(known, percent).join(asked, ["x", "y"], "left_anti"), "pairs")
     links, rest = derived(pairs, first, percent)
     labels = _tied(labels, links)
-    rest = written(_labelled(rest, labels, "c").filter("lx != ly").select("x", "y", "c"), "rest")
+    rest = written(_labelled(answers.possible(rest, percent), labels, "c").filter("lx != ly").select("x", "y", "c"), "rest")
     of_x = rest.groupBy("x").agg(F.max_by("y", F.struct("c", "y")).alias("y"))
     of_y = rest.groupBy("y").agg(F.max_by("x", F.struct("c", "x")).alias("x")).select("x", "y")
     near = written(of_x.union(of_y).distinct(), "near")

@@ -39,6 +39,20 @@ def test_caps():
             assert all(m <= cap for m in fits) and (cap not in range(room, 100) or cap in fits or not fits)
 
 
+def test_possible_pairs_keep_every_link(spark):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 3000, np.int64).view(np.uint64)
+    sets = [np.unique(np.concatenate([base[: n - k], rng.integers(0, 1 << 63, k, np.int64).view(np.uint64)])) for n in (1, 5, 31, 33, 64, 65, 120, 129, 146, 900, 1024, 1100) for k in range(0, n // 2 + 1, max(1, n // 20))]
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    rows = spark.createDataFrame([(k, k, len(s), jaccard_join.sketch(s).tolist()) for k, s in enumerate(sets)], "doc_id long, key long, size long, sketch array<long>")
+    pairs = [(i, j, len(sets[i]), len(sets[j])) for j in range(len(sets)) for i in range(j) if len(sets[i]) <= 2 * len(sets[j]) <= 4 * len(sets[i])]
+    left = {(r.x, r.y) for r in jaccard_join.Answers(docs, rows, 5).possible(spark.createDataFrame(pairs, "x long, y long, nx int, ny int"), 80).collect()}
+    both = {(i, j): len(np.intersect1d(sets[i], sets[j])) for i, j, _, _ in pairs}
+    links = {p for p, o in both.items() if 100 * o >= 80 * (len(sets[p[0]]) + len(sets[p[1]]) - o)}
+    far = {p for p, o in both.items() if 100 * o < 65 * (len(sets[p[0]]) + len(sets[p[1]]) - o) and len(sets[p[0]]) > 60}
+    assert links <= left and len(far & left) < len(far) / 50
+
+
 @pytest.mark.parametrize("chunk", [3, 10, 1000])
 def test_cross_pairs_of_a_long_list(spark, chunk):
     rng = random.Random(chunk)

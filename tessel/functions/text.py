@@ -36,13 +36,22 @@ def price_micros(tokens_in: Column, tokens_out: Column, in_price: int, out_price
     return F.when((tokens_in >= 0) & (tokens_out >= 0), tokens_in * in_price + tokens_out * out_price)
 
 
-def retry_delay(value: Column) -> Column:
-    """Seconds from a numeric header, within 0..3600; 5 where it is no number."""
-    return F.coalesce(F.least(F.lit(3600.0), F.greatest(F.lit(0.0), value.try_cast("double"))), F.lit(5.0))
+def retry_delay(value: Column, now: Column | None = None) -> Column:
+    """Seconds from a header that holds a finite number or an HTTP date, within 0..3600; 5 where it is neither."""
+    number = value.try_cast("double")
+    date = F.regexp_extract(value, r"^[A-Za-z]{3}, (\d{2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2}) GMT$", 1)
+    when = F.try_to_timestamp(F.concat(F.nullif(date, F.lit("")), F.lit(" +0000")), F.lit("dd MMM yyyy HH:mm:ss Z"))
+    left = when.cast("double") - (F.current_timestamp() if now is None else now).cast("double")
+    seconds = F.when(number.isNull(), left).when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+    return F.when(seconds.isNull(), 5.0).otherwise(F.least(F.lit(3600.0), F.greatest(F.lit(0.0), seconds)))  # least and greatest skip nulls
 
 
 def error_category(status: Column) -> Column:
-    return (F.when(status == 429, "rate_limit").when(status.isin(401, 403), "auth").when(status == 408, "timeout").when(status >= 500, "server").when(status >= 400, "request"))
+    """The category of a response by its status; null below 300."""
+    return (
+        F.when(status == 429, "rate_limited").when(status.isin(401, 403), "endpoint_auth").when(status == 402, "endpoint_quota")
+        .when(status.between(300, 399) | status.isin(400, 404, 422), "endpoint_configuration").when(status >= 500, "service_busy").when(status >= 300, "provider_error")
+    )
 
 
 def mode_rank(mode: Column) -> Column:

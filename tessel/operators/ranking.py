@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tessel.plans.stages import sized
+
 
 def page(df: DataFrame, key: str, after, limit: int) -> DataFrame:
     """Rows behind ``after`` in key order, one more than asked for: the surplus row says that there is a next page."""
@@ -47,7 +49,7 @@ def same_streak(df: DataFrame, keys: list[str], order: list[str], value: str) ->
 
 def quota(df: DataFrame, keys: list[str], order: list[str], limits: DataFrame, limit: str) -> DataFrame:
     """The first rows of each group up to its limit; groups without a limit give none, and none makes up for another."""
-    ranked = df.join(F.broadcast(limits), keys).withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+    ranked = df.join(sized(limits, 64), keys).withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("rank") <= F.col(limit))
 
 

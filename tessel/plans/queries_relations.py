@@ -432,12 +432,16 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("fn_retry_and_errors", """
-SELECT event_id, coalesce(least(3600.0::DOUBLE, greatest(0.0::DOUBLE, TRY_CAST(CASE WHEN event_type = 'error' THEN concat('x', value) WHEN event_type = 'click' THEN CAST(-value AS VARCHAR) ELSE CAST(value AS VARCHAR) END AS DOUBLE))), 5.0::DOUBLE) AS delay,
-  CASE WHEN event_id % 600 = 429 THEN 'rate_limit' WHEN event_id % 600 IN (401, 403) THEN 'auth' WHEN event_id % 600 = 408 THEN 'timeout' WHEN event_id % 600 >= 500 THEN 'server' WHEN event_id % 600 >= 400 THEN 'request' END AS category FROM events""")
-def _(spark: SparkSession, sf: str) -> DataFrame:
-    value = F.col("value").cast("string")
-    header = F.when(F.col("event_type") == "error", F.concat(F.lit("x"), value)).when(F.col("event_type") == "click", (-F.col("value")).cast("string")).otherwise(value)
-    return table(spark, sf, "events").select("event_id", fn.retry_delay(header).alias("delay"), fn.error_category(F.col("event_id") % 600).alias("category"))
+SELECT event_id, CASE WHEN event_id % 17 = 0 THEN 60.0::DOUBLE * (event_id % 60) WHEN event_id % 11 = 0 OR event_id % 13 = 0 OR event_type = 'error' THEN 5.0::DOUBLE
+    ELSE least(3600.0::DOUBLE, greatest(0.0::DOUBLE, CASE WHEN event_type = 'click' THEN -value ELSE value END::DOUBLE)) END AS delay,
+  CASE WHEN event_id % 600 = 429 THEN 'rate_limited' WHEN event_id % 600 IN (401, 403) THEN 'endpoint_auth' WHEN event_id % 600 = 402 THEN 'endpoint_quota'
+    WHEN event_id % 600 BETWEEN 300 AND 399 OR event_id % 600 IN (400, 404, 422) THEN 'endpoint_configuration' WHEN event_id % 600 >= 500 THEN 'service_busy'
+    WHEN event_id % 600 >= 300 THEN 'provider_error' END AS category FROM events""")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    value, k = F.col("value").cast("string"), F.col("event_id")
+    date = F.concat(F.lit("Thu, 01 Jan 2026 00:"), F.lpad((k % 60).cast("string"), 2, "0"), F.lit(":00 GMT"))
+    header = F.when(k % 17 == 0, date).when(k % 11 == 0, "Infinity").when(k % 13 == 0, "NaN").when(F.col("event_type") == "error", F.concat(F.lit("x"), value)).when(F.col("event_type") == "click", (-F.col("value")).cast("string")).otherwise(value)
+    return table(spark, sf, "events").select("event_id", fn.retry_delay(header, F.lit("2026-01-01 00:00:00+00:00").cast("timestamp")).alias("delay"), fn.error_category(k % 600).alias("category"))
 
 
 @query("fn_composition_compliance", oracle(f"""

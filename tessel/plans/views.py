@@ -55,7 +55,7 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "rooms": (("orders",), """
         SELECT o_orderkey - o_orderkey % 20 AS sample_id, o_orderkey % 20 AS room_id, o_custkey % 5 AS x0, o_custkey % 5 + 2 + o_orderkey % 3 AS x1,
           o_custkey % 3 AS y0, o_custkey % 3 + 2 AS y1, o_custkey % 4 AS z0, o_custkey % 4 + 3 + o_orderkey % 2 AS z1
-        FROM {orders} WHERE o_orderkey % 20 < 3"""),
+        FROM {orders}"""),
 }
 
 

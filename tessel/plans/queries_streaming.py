@@ -37,6 +37,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("str_adaptive_cap")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    e = view(spark, sf, "ledger").withColumn("window_no", F.floor(F.unix_timestamp("ts") / 7200))
-    windows = e.groupBy("campaign_id", "window_no").agg(F.count(F.when(F.col("kind") == "error", 1)).alias("failed"), (F.count("*") * 10).alias("results"))
-    return metrics.adaptive_cap(windows, "campaign_id", "window_no", "failed", "results")
+    e = view(spark, sf, "ledger").withColumn("at", F.floor(F.unix_timestamp("ts") / 60) * 60)
+    failed = F.count(F.when(F.col("kind") == "error", 1))
+    minutes = e.groupBy("campaign_id", "at").agg(failed.alias("failed"), (F.count("*") - failed).alias("complete"), F.count("*").alias("results"))
+    return metrics.adaptive_cap(minutes, "campaign_id", "at", "failed", "complete", "results")

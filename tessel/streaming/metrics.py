@@ -47,21 +47,31 @@ def first_by_id(events: DataFrame, key: str, ts: str, late: str = "1 hour") -> D
     return rows.dropDuplicatesWithinWatermark([key]) if events.isStreaming else rows.dropDuplicates([key])
 
 
-def adaptive_cap(batches: DataFrame, key: str, order: str, failed: str, results: str, start: int = 128, floor: int = 8, ceiling: int = 1024) -> DataFrame:
-    """Cap of each pool after each window of results: times 0.7 (down to ``floor``) on many failures, else raised.
+def adaptive_cap(batches: DataFrame, key: str, at: str, failed: str, complete: str, results: str, start: int = 128, ceiling: int = 1024, seconds: int = 120, least: int = 30) -> DataFrame:
+    """Cap of each pool after each batch of results; ``at`` is the batch's time in seconds.
 
-    The next cap depends on the last one, so that each pool's windows are folded in order; the rows are one per window.
+    Results gather until both ``seconds`` have passed and ``least`` are there, however many batches that takes. Then over 5 % of
+    failures lower the cap to 0.7 of itself (1 at least), over 95 % of complete answers raise it by a quarter (8 at least), and
+    anything else leaves it; gathering starts anew. Each cap depends on the last one, so that a pool's batches are folded in order;
+    give it one row for each stretch of time, so that their number doesn't follow the results.
     """
-    schema = f"{key} long, window_no long, cap long"
+    schema = f"{key} long, batch_at long, cap long"
 
     def fold(pdf):  # noqa: ANN001, ANN202
         import pandas as pd
 
-        cap, out = start, []
-        for at, bad, n in pdf.sort_values(order)[[order, failed, results]].itertuples(index=False):
-            if n >= 30:
-                cap = max(floor, cap * 7 // 10) if bad * 5 > n else min(ceiling, cap + max(8, cap // 4))
-            out.append((pdf[key].iloc[0], at, cap))
-        return pd.DataFrame(out, columns=[key, "window_no", "cap"])
-
-    return batches.select(key, order, failed, results).groupBy(key).applyInPandas(fold, schema)
+        cap, since, out = start, None, []
+        bad = done = n = 0
+        for now, failed_, complete_, results_ in pdf.sort_values(at)[[at, failed, complete, results]].itertuples(index=False):
+            since = now if since is None else since
+            bad, done, n = bad + failed_, done + complete_, n + results_
+            if now - since >= seconds and n >= least:
+                if bad > 0.05 * n:
+                    cap = max(1, int(cap * 0.7))
+                elif done > 0.95 * n:
+                    cap = max(cap, min(ceiling, cap + max(8, cap // 4)))
+                bad, done, n, since = 0, 0, 0, now
+            out.append((pdf[key].iloc[0], now, cap))
+        return pd.DataFrame(out, columns=[key, "batch_at", "cap"])
+
+    return batches.select(key, at, failed, complete, results).groupBy(key).applyInPandas(fold, schema)

@@ -186,9 +186,13 @@ def test_stream_equals_table_for_closed_minutes(spark, tmp_path):
 
 
 def test_adaptive_cap(spark):
-    rows = [(1, i, bad, 40) for i, bad in enumerate([0, 20, 20, 0])] + [(1, 4, 9, 10)]
-    got = metrics.adaptive_cap(spark.createDataFrame(rows, "p long, w long, bad long, n long"), "p", "w", "bad", "n").orderBy("window_no").collect()
-    assert [r.cap for r in got] == [160, 112, 78, 97, 97]
+    """Too soon twice, raised, too soon, lowered, held, too few, raised by what gathered; and never below 1."""
+    rows = [(1, 0, 0, 20, 20), (1, 60, 0, 20, 20), (1, 130, 0, 5, 5), (1, 200, 3, 26, 29), (1, 260, 0, 1, 1), (1, 400, 1, 27, 30), (1, 530, 0, 10, 10), (1, 540, 0, 20, 20)]
+    df = spark.createDataFrame(rows, "p long, at long, bad long, done long, n long")
+    got = metrics.adaptive_cap(df, "p", "at", "bad", "done", "n").orderBy("batch_at").collect()
+    assert [r.cap for r in got] == [128, 128, 160, 160, 112, 112, 112, 140]
+    low = metrics.adaptive_cap(df.filter("at IN (0, 200, 260)").withColumn("bad", F.col("n")), "p", "at", "bad", "done", "n", start=1).collect()
+    assert {r.cap for r in low} == {1}
 
 
 @pytest.mark.parametrize("content, want", [("```python\nx = 1\n```", "x = 1"), ("  ```\na\nb\n```\n", "a\nb"), ("text ```\nx\n```", None), ("```\nx", None), ("```\na\n```\n```\nb\n```", None), (None, None)])

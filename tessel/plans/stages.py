@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Largest side, in bytes of its rows, that is sent whole to every executor.
 BROADCAST_BYTES = 24 * 1024 * 1024
+#: With this setting Spark drops a query's shuffle files when the query ends, and not when the driver's garbage is collected.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,15 +35,27 @@ def _remove(spark: SparkSession, where: str, at_exit: bool) -> None:
     files.deleteOnExit(path) if at_exit else files.delete(path, True)
 
 
+@contextlib.contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside leave no shuffle files behind."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Later stages then start from files that survive the loss of any executor. The files go when the application ends, or in
-    ``forgotten``.
+    ``forgotten``; the shuffle files behind them go at once.
     """
     spark = df.sparkSession
     where = f"{shared_folder(spark)}/tessel-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(where)
+    with _shuffles_dropped(spark):
+        df.write.parquet(where)
     _remove(spark, where, at_exit=True)
     out = spark.read.schema(df.schema).parquet(where)
     out._tessel_files = where

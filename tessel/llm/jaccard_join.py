@@ -478,17 +478,20 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
 
     # first each set against the most typical set that its lists show
     head = F.max(F.struct("typical", "size", "key", "cap"))
-    heads = sized(written(entries.groupBy("token").agg(head.alias("pivot")), "heads"), 40)
-    first = answers.of(answers.possible(best(entries.join(heads, "token").filter("key != pivot.key")), KEPT_PERCENT), "answers", differences=True)
+    heads = written(entries.groupBy("token").agg(head.alias("pivot")), "heads")
+    first = answers.of(answers.possible(best(entries.join(sized(heads, 40), "token").filter("key != pivot.key")), KEPT_PERCENT), "answers", differences=True)
     labels = _roots(first.filter(_linked("both", percent)).select("x", "y"))
 
     # then against the most typical set of another class
     own = entries.join(labels, entries.key == labels.x, "left").withColumn("label", F.coalesce("root", "key"))
     known = written(own.select("token", "size", "key", "pos", "cap", "typical", "label"), "labelled")
+    forgotten([entries, heads])
     lead = written(known.groupBy("token").agg(F.max(F.struct("typical", "size", "key", "cap", "label")).alias("pivot"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("token", "pivot"), "leads")
     split = written(known.join(sized(lead, 40), "token"), "split")
+    forgotten([known, lead])
     other = split.filter("label != pivot.label").groupBy("token").agg(F.max(F.struct("typical", "size", "key", "cap", "label")).alias("second"))
-    votes = split.join(sized(written(other, "others"), 40), "token").withColumn("pivot", F.when(F.col("label") == F.col("pivot.label"), F.col("second")).otherwise(F.col("pivot")))
+    other = written(other, "others")
+    votes = split.join(sized(other, 40), "token").withColumn("pivot", F.when(F.col("label") == F.col("pivot.label"), F.col("second")).otherwise(F.col("pivot")))
     asked = first.select("x", "y")
     second = answers.of(answers.possible(best(votes), percent).join(asked, ["x", "y"], "left_anti"), "answers")
     labels = _tied(labels, second.filter(_linked("both", percent)).select("x", "y"))
@@ -497,17 +500,19 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
 
     # then all pairs of different classes that the lists allow: from answers, nearest pairs, the rest
     known = written(split.select("token", "size", "key", "pos").join(labels, F.col("key") == labels.x, "left").select("token", "size", "key", "pos", F.coalesce("root", "key").alias("label")), "labelled")
+    forgotten([split, other])
     pairs = written(cross_pairs(known, percent).join(asked, ["x", "y"], "left_anti"), "pairs")
+    forgotten([known])
     links, rest = derived(pairs, first, percent)
     labels = _tied(labels, links)
     rest = written(_labelled(answers.possible(rest, percent), labels, "c").filter("lx != ly").select("x", "y", "c"), "rest")
+    forgotten([pairs])
     of_x = rest.groupBy("x").agg(F.max_by("y", F.struct("c", "y")).alias("y"))
     of_y = rest.groupBy("y").agg(F.max_by("x", F.struct("c", "x")).alias("x")).select("x", "y")
     near = written(of_x.union(of_y).distinct(), "near")
     labels = _tied(labels, answers.of(near, "answers").filter(_linked("both", percent)).select("x", "y"))
     rest = _labelled(rest.join(near, ["x", "y"], "left_anti"), labels).filter("lx != ly")
     labels = _tied(labels, answers.of(rest, "answers").filter(_linked("both", percent)).select("x", "y"))
-    forgotten([entries, known, split, pairs])
     return rows, labels.select(F.col("x").alias("key"), F.col("root").alias("class"))
 
 

@@ -26,13 +26,13 @@ null ids sort last; an empty table gives no rows; columns other than the two nam
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tessel.llm.arrow import named, slices, table
 from tessel.llm.windows import PLACE_BITS, Hashes, mixed
@@ -452,6 +452,25 @@ def derived(pairs: DataFrame, answers: DataFrame, percent: int) -> tuple[DataFra
     return written(links, "derived"), counts.filter("NOT alike").select("x", "y", "nx", "ny", "c")
 
 
+def _with_lists(entries: DataFrame, lists: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``entries`` with what ``lists`` makes of the entries of each token; tokens of which it makes nothing go.
+
+    One exchange by token serves both the lists and the join. Lists in parts stay where they are: there are few of them, as each
+    has more than ``CHUNK`` members, and what is made of them is sent to their parts.
+    """
+    plain, hot = entries.filter("part = 0").drop("part").repartition("token"), entries.filter("part > 0").drop("part")
+    of_hot = sized(written(lists(hot), "hot"), 120)
+    return plain.join(lists(plain).hint("merge"), "token").unionByName(hot.join(of_hot, "token"))
+
+
+def _leads(entries: DataFrame) -> DataFrame:
+    """For tokens of several classes: the most typical entry (pivot), and the most typical one of another class (second)."""
+    classes = entries.groupBy("token", "label").agg(F.max(F.struct("typical", "size", "key", "cap", "label", "pos")).alias("best"))
+    nth = F.row_number().over(W.partitionBy("token").orderBy(F.desc("best")))
+    both = classes.withColumn("nth", nth).filter("nth <= 2").groupBy("token").agg(F.max("best").alias("pivot"), F.min("best").alias("second"), F.count("*").alias("n"))
+    return both.filter("n = 2").drop("n")
+
+
 def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(rows (doc_id, key, size), classes (key, class) of the sets that are linked to others)."""
     found = written(survey(docs, words), "survey")
@@ -461,7 +480,7 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     rank = np.empty(len(token), np.uint64)
     rank[np.lexsort((token, n))] = np.arange(len(token), dtype=np.uint64) | np.uint64(1 << 63)
     by_token = np.argsort(token)
-    live = written(live_lists(prefixes(docs, (token[by_token], rank[by_token], -(-n[by_token] // CHUNK)), words, percent)).drop("part"), "lists")
+    live = written(live_lists(prefixes(docs, (token[by_token], rank[by_token], -(-n[by_token] // CHUNK)), words, percent)), "lists")
     answers = Answers(docs, found.filter("kind = 0"), words)
     least = lambda n: F.ceil(F.col(n) * percent / 100)
     typical = live.groupBy("key", "size").agg(F.count("*").alias("n")).select("key", (F.col("n") / (F.col("size") - least("size") + 1)).alias("typical"))
@@ -477,21 +496,18 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
         return counted.groupBy("x", "nx").agg(F.max_by(F.struct("y", "ny"), F.struct("c", "y")).alias("to")).select("x", "nx", "to.y", "to.ny")
 
     # first each set against the most typical set that its lists show
-    head = F.max(F.struct("typical", "size", "key", "cap"))
-    heads = written(entries.groupBy("token").agg(head.alias("pivot")), "heads")
-    first = answers.of(answers.possible(best(entries.join(sized(heads, 40), "token").filter("key != pivot.key")), KEPT_PERCENT), "answers", differences=True)
+    entry = F.struct("typical", "size", "key", "cap")
+    votes = _with_lists(entries, lambda e: e.groupBy("token").agg(F.max(entry).alias("pivot"))).filter(entry != F.col("pivot"))
+    first = answers.of(answers.possible(best(votes), KEPT_PERCENT), "answers", differences=True)
     labels = _roots(first.filter(_linked("both", percent)).select("x", "y"))
 
     # then against the most typical set of another class
     own = entries.join(labels, entries.key == labels.x, "left").withColumn("label", F.coalesce("root", "key"))
-    known = written(own.select("token", "size", "key", "pos", "cap", "typical", "label"), "labelled")
-    forgotten([entries, heads])
-    lead = written(known.groupBy("token").agg(F.max(F.struct("typical", "size", "key", "cap", "label")).alias("pivot"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("token", "pivot"), "leads")
-    split = written(known.join(sized(lead, 40), "token"), "split")
-    forgotten([known, lead])
-    other = split.filter("label != pivot.label").groupBy("token").agg(F.max(F.struct("typical", "size", "key", "cap", "label")).alias("second"))
-    other = written(other, "others")
-    votes = split.join(sized(other, 40), "token").withColumn("pivot", F.when(F.col("label") == F.col("pivot.label"), F.col("second")).otherwise(F.col("pivot")))
+    known = written(own.select("token", "part", "size", "key", "pos", "cap", "typical", "label"), "labelled")
+    forgotten([entries])
+    split = written(_with_lists(known, _leads), "split")
+    forgotten([known])
+    votes = split.withColumn("pivot", F.when(F.col("label") == F.col("pivot.label"), F.col("second")).otherwise(F.col("pivot")))
     asked = first.select("x", "y")
     second = answers.of(answers.possible(best(votes), percent).join(asked, ["x", "y"], "left_anti"), "answers")
     labels = _tied(labels, second.filter(_linked("both", percent)).select("x", "y"))
@@ -500,7 +516,7 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
 
     # then all pairs of different classes that the lists allow: from answers, nearest pairs, the rest
     known = written(split.select("token", "size", "key", "pos").join(labels, F.col("key") == labels.x, "left").select("token", "size", "key", "pos", F.coalesce("root", "key").alias("label")), "labelled")
-    forgotten([split, other])
+    forgotten([split])
     pairs = written(cross_pairs(known, percent).join(asked, ["x", "y"], "left_anti"), "pairs")
     forgotten([known])
     links, rest = derived(pairs, first, percent)

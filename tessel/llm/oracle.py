@@ -42,3 +42,28 @@ SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns, sha256(string_ag
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(size)::BIGINT AS formatted_chars
 FROM f GROUP BY conv_id
 """
+
+#: crc32 by its table, byte by byte; words at distance one meet in what is left when a letter goes.
+SQL["op13_spelling"] = r"""
+WITH RECURSIVE tbl AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)),
+o AS (
+  SELECT doc_id, run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents) GROUP BY ALL),
+x AS (SELECT *, hex(encode(concat(doc_id, ':', run))) AS s FROM o),
+c AS (
+  SELECT run, k, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(s), 2), lambda i: ('0x' || substr(s, i, 2))::BIGINT)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h FROM x, tbl),
+w AS (
+  SELECT word, sum(k)::BIGINT AS n FROM (SELECT CASE WHEN h % 199 = 0 THEN concat(substr(run, 1, (h % length(run))::INT), substr(run, (h % length(run))::INT + 2)) ELSE run END AS word, k FROM c)
+  GROUP BY word HAVING sum(k) >= 5 AND length(word) >= 6),
+d AS (SELECT word, i, concat(substr(word, 1, i - 1), substr(word, i + 1)) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1))::INT AS i FROM w)),
+p AS (
+  SELECT a.word, b.word AS other FROM d a JOIN d b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT d.word, w.word FROM d JOIN w ON d.rest = w.word
+  UNION SELECT w.word, d.word FROM d JOIN w ON d.rest = w.word),
+b AS (SELECT p.word, count(*) AS n_near, min_by(other, (-w.n, encode(other))) AS best, max(w.n) AS best_n FROM p JOIN w ON p.other = w.word GROUP BY p.word),
+f AS (SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= 5 * w.n THEN best END AS form, CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n FROM w LEFT JOIN b USING (word)),
+r AS (SELECT word, word AS root, form AS next FROM f UNION ALL SELECT r.word, f.word, f.form FROM r JOIN f ON r.next = f.word)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM f JOIN r USING (word) WHERE r.next IS NULL
+"""

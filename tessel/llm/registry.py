@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessel.llm import bpe, chat, fingerprints, jaccard_join, oracle, packing, quality, sharding, suffix_dedup, token_counts, url_filter
+from tessel.llm import alignment, bpe, chat, fingerprints, jaccard_join, oracle, packing, quality, sharding, spelling, suffix_dedup, token_counts, url_filter, word_table
 from tessel.plans.stages import written
 from tessel.plans.tables import table
 
@@ -60,6 +60,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_table.digests(table(spark, sf_dir, "documents"), "doc_id", "text", "byte_bpe_50k.json").withColumnRenamed("key", "doc_id")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = alignment.aligned(table(spark, sf_dir, "documents"), "doc_id", "text", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")
+    return out.withColumnRenamed("key", "doc_id")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_chat_format": op2_chat_format,
@@ -71,5 +84,8 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_byte_shards": op9_byte_shards,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_word_bpe": op11_word_bpe,
+    "op12_alignment": op12_alignment,
+    "op13_spelling": op13_spelling,
 }
 ORACLE = oracle.SQL

@@ -25,4 +25,4 @@ def query(name: str, sql: str | None = None):
     return put
 
 
-from tessel.plans import queries_geometry, queries_ledger, queries_more, queries_rest, queries_release, queries_relations, queries_streaming  # noqa: E402, F401
+from tessel.plans import queries_archive, queries_geometry, queries_ledger, queries_more, queries_rest, queries_release, queries_relations, queries_streaming  # noqa: E402, F401

@@ -84,6 +84,11 @@ def unlisted() -> re.Pattern:
     return re.compile(f"[{''.join(spans)}]")
 
 
+def has_unlisted(text: str) -> bool:
+    """Whether a character of ``text`` is not in Python's Unicode table; each distinct character is looked up once."""
+    return not text.isascii() and unlisted().search("".join({*text})) is not None
+
+
 def words(file: str, text: str) -> Iterator[list[str]]:
     """The words of a text, in lists of bounded size."""
     added, at = added_tokens(file), 0
@@ -91,7 +96,7 @@ def words(file: str, text: str) -> Iterator[list[str]]:
         plain = text[at : token.start() if token else len(text)]
         if not plain:
             pass
-        elif unlisted().search(plain):
+        elif has_unlisted(plain):
             yield [plain[a:b] for _, (a, b) in tokenizer(file).pre_tokenizer.pre_tokenize_str(plain)]
         else:
             for part, single in parts(plain):

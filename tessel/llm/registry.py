@@ -61,7 +61,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_table.digests(table(spark, sf_dir, "documents"), "doc_id", "text", "byte_bpe_50k.json").withColumnRenamed("key", "doc_id")
+    return word_table.digests(table(spark, sf_dir, "documents"), "doc_id", "text", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken").withColumnRenamed("key", "doc_id")
 
 
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessel.llm import arrow
-from tessel.llm.bpe import parts, pre_tokens
+from tessel.llm.bpe import LONG_PIECE, encoder, parts, pre_tokens
 from tessel.llm.packed import pack, unpack
 from tessel.plans.stages import written
 
@@ -204,7 +204,25 @@ def words_by_block(blocks: DataFrame) -> DataFrame:
     return blocks.filter("keys is null").select("block", "at", "content").mapInArrow(work, "word string, block long, code int")
 
 
-def encoded_words(named: DataFrame, file: str) -> DataFrame:
+def word_encoder(file: str, ranks: str | None) -> Callable[[list[str]], Iterator[list[int]]]:
+    """Ids of many words: by the rank file of the same vocabulary, if given, else by the tokenizer file.
+
+    Words with characters that Python's table does not list, and added tokens, always go through the tokenizer file.
+    """
+    library, added = tokenizer(file), {x.content for x in tokenizer(file).get_added_tokens_decoder().values()}
+    if ranks is None:
+        return lambda listed: (x.ids for x in library.encode_batch(listed, add_special_tokens=False))
+    by_rank = encoder(ranks)
+
+    def ids(word: str) -> list[int]:
+        if word in added or has_unlisted(word):
+            return library.encode(word, add_special_tokens=False).ids
+        return by_rank.encode_ordinary(word) if len(word) <= LONG_PIECE else by_rank._encode_single_piece(word)
+
+    return lambda listed: map(ids, listed)
+
+
+def encoded_words(named: DataFrame, file: str, ranks: str | None = None) -> DataFrame:
     """block, codes with their ids (packed), and the distinct ids among them: each distinct word is encoded once."""
 
     def packed(rows: list[tuple[pa.RecordBatch, list[list[int]]]]) -> pa.RecordBatch:
@@ -219,11 +237,11 @@ def encoded_words(named: DataFrame, file: str) -> DataFrame:
         return _rows(made, "block long, content binary, ids array<int>")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last, gathered, n = tokenizer(file).encode_batch, (None, []), [], 0
+        encode, last, gathered, n = word_encoder(file, ranks), (None, []), [], 0
         for b in batches:
             listed = b.column(0).to_pylist()
             new = [w for w, before in zip(listed, [last[0], *listed]) if w != before]
-            ids = iter([x.ids for x in encode(new, add_special_tokens=False)])
+            ids = iter(encode(new))
             out = []
             for w in listed:
                 if w != last[0]:
@@ -285,7 +303,7 @@ class _Words:
     def close(self) -> None:
         n, piece = len(self.ids), self.piece
         listed = [self.ids[c] for c in range(n)]
-        self.listed, self.n_ids = listed, np.fromiter(map(len, listed), np.int64, n)
+        self.listed = listed
         self.decimal = [",".join(map(str, x)).encode() for x in listed]
         self.bytes = [b"".join([piece[i] for i in x]) for x in listed]
 
@@ -301,7 +319,7 @@ class _Digest:
     def add(self, block: _Words, codes: list[int]) -> None:
         if codes:
             self.ids.update(b"," * bool(self.n) + b",".join([block.decimal[c] for c in codes]))
-            self.n += int(block.n_ids[codes].sum())
+            self.n += sum([len(block.listed[c]) for c in codes])
             self.text.update(self.decoder.decode(b"".join([block.bytes[c] for c in codes])).encode())
 
     def row(self) -> tuple:
@@ -359,9 +377,9 @@ def _assembled(blocked: DataFrame, kind: Callable[[], _Digest | _Whole]) -> Data
     return blocked.repartition("block").sortWithinPartitions("block", "kind", "at").mapInArrow(work, kind.schema)
 
 
-def _through(df: DataFrame, key: str, text: str, file: str, kind: type, **limits: int) -> DataFrame:
+def _through(df: DataFrame, key: str, text: str, file: str, ranks: str | None, kind: type, **limits: int) -> DataFrame:
     blocks = written(split(df, key, text, file, **limits), "split")
-    found = written(encoded_words(words_by_block(blocks), file), "words")
+    found = written(encoded_words(words_by_block(blocks), file, ranks), "words")
     ids = found.select("block", F.explode("ids").alias("id")).distinct()
     nothing = {"keys": "array<long>", "counts": "array<int>", "goes_on": "boolean"}
     empty = [F.lit(None).cast(t).alias(n) for n, t in nothing.items()]
@@ -371,14 +389,14 @@ def _through(df: DataFrame, key: str, text: str, file: str, kind: type, **limits
     return _assembled(own.unionByName(named).unionByName(texts), kind)
 
 
-def encoded(df: DataFrame, key: str, text: str, file: str, **limits: int) -> DataFrame:
-    """One row per input row: key, ids, and the text decoded from these ids."""
-    return _through(df, key, text, file, _Whole, **limits)
+def encoded(df: DataFrame, key: str, text: str, file: str, ranks: str | None = None, **limits: int) -> DataFrame:
+    """One row per input row: key, ids, and the text decoded from these ids. ``ranks`` has the entries of ``file`` as ranks."""
+    return _through(df, key, text, file, ranks, _Whole, **limits)
 
 
-def digests(df: DataFrame, key: str, text: str, file: str, **limits: int) -> DataFrame:
-    """One row per input row: key, n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256."""
-    return _through(df, key, text, file, _Digest, **limits)
+def digests(df: DataFrame, key: str, text: str, file: str, ranks: str | None = None, **limits: int) -> DataFrame:
+    """One row per input row: key, n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256; ``ranks`` as above."""
+    return _through(df, key, text, file, ranks, _Digest, **limits)
 
 
 def decoded(df: DataFrame, ids: str, file: str) -> DataFrame:

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from tessel.llm import word_table
 from tessel.llm.packed import pack, unpack
 
-FILE = "byte_bpe_50k.json"
+FILE, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 
 @pytest.fixture(scope="module")
@@ -50,6 +50,16 @@ def test_words_are_the_library_s_for_every_character(library):
     assert word_table.unlisted().search("\U0003fc3f") and not word_table.unlisted().search("aé日")
 
 
+def test_words_by_rank_are_the_library_s(library):
+    """Every entry of the vocabulary, every listed character, random words and added tokens."""
+    rng = random.Random(7)
+    entries = [library.decode([i], skip_special_tokens=False) for i in range(library.get_vocab_size())]
+    points = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000 and c % 7 == 3]
+    mixed = ["".join(rng.choice("abcdeﬁéßñüøжы日語ال") for _ in range(rng.randrange(1, 14))) for _ in range(20_000)]
+    listed = sorted({w for text in [*entries, *points, *mixed] for some in word_table.words(FILE, text) for w in some})
+    assert list(word_table.word_encoder(FILE, RANKS)(listed)) == list(word_table.word_encoder(FILE, None)(listed))
+
+
 def test_a_word_alone_is_one_word(library):
     rng = random.Random(5)
     for _ in range(2000):
@@ -59,10 +69,11 @@ def test_a_word_alone_is_one_word(library):
                 assert [a for _, a in library.pre_tokenizer.pre_tokenize_str(w)] == [(0, len(w))]
 
 
-def test_digests_of_awkward_rows(awkward, none, library):
-    got = word_table.digests(awkward, "doc_id", "text", FILE).collect()
+@pytest.mark.parametrize("ranks", [None, RANKS])
+def test_digests_of_awkward_rows(awkward, none, library, ranks):
+    got = word_table.digests(awkward, "doc_id", "text", FILE, ranks).collect()
     assert Counter(map(tuple, got)) == Counter((r.doc_id, *digest(library, r.text)) for r in awkward.collect())
-    assert word_table.digests(none, "doc_id", "text", FILE).count() == 0
+    assert word_table.digests(none, "doc_id", "text", FILE, ranks).count() == 0
 
 
 @pytest.mark.parametrize("block,record", [(7, 5), (50, 1 << 16)])
@@ -73,10 +84,11 @@ def test_small_blocks_and_records(awkward, library, block, record):
     assert Counter(map(tuple, got)) == Counter((r.doc_id, *digest(library, r.text)) for r in short.collect())
 
 
-def test_ids_and_texts(spark, library):
+@pytest.mark.parametrize("ranks", [None, RANKS])
+def test_ids_and_texts(spark, library, ranks):
     texts = ["a <|endoftext|> b<|endoftext|>", "<|endoftext|>", "x" * 200_000, " " * 200_000, "日本語" * 40_000, "word " * 60_000, "new \U0003fc3f character", None, ""]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.key: (r.ids, r.decoded) for r in word_table.encoded(df, "doc_id", "text", FILE).collect()}
+    got = {r.key: (r.ids, r.decoded) for r in word_table.encoded(df, "doc_id", "text", FILE, ranks).collect()}
     assert got == {k: plain(library, t) for k, t in enumerate(texts)}
 
 

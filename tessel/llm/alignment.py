@@ -20,7 +20,7 @@ import hashlib
 import itertools
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +28,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tessel.llm import arrow, bpe
-from tessel.llm.word_table import byte_letters, tokenizer, unlisted
+from tessel.llm.word_table import byte_letters, has_unlisted, tokenizer
 from tessel.plans.stages import sized, written
 
 #: Distinct pairs at which a block ends.
 BLOCK_PAIRS = 1 << 18
-#: Cuts whose alignment a task remembers; beyond it forgets them all and starts again.
-REMEMBERED = 1 << 16
+#: Cuts whose alignment a task remembers; beyond it forgets those that were not used since the last time.
+REMEMBERED = 1 << 17
 #: Of cuts longer than this many characters none is remembered.
 REMEMBERED_CHARS = 64
+#: Cuts of a text that are aligned at once.
+CUTS_AT_ONCE = 1 << 14
+#: Texts up to so many characters are cut at once, longer ones cut by cut.
+SPLIT_CHARS = 1 << 20
 
 _ALIGNED = "block long, at long, pair long, docs long, key long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, codes array<int>, times array<long>"
 
@@ -91,9 +95,10 @@ class Aligner:
         self.library, self.ranks, self.model = tokenizer(file_a), bpe.encoder(ranks_a), sentence_pieces(file_b)
         self.entries, self.pieces = entry_bytes(file_a), piece_bytes(file_b)
         self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
 
     def ids_a(self, cut: str) -> list[int]:
-        if unlisted().search(cut):
+        if has_unlisted(cut):
             self.library.encode_special_tokens = True
             try:
                 return self.library.encode(cut, add_special_tokens=False).ids
@@ -101,33 +106,60 @@ class Aligner:
                 self.library.encode_special_tokens = False
         return bpe.encode(self.ranks, cut)
 
-    def aligned(self, cut: str) -> tuple | None:
+    def aligned(self, cut: str, b: list[int]) -> tuple | None:
         """n_a, n_b, n_groups, the groups as text, the pairs of ids (a << 32 | b) of all links; None if bytes differ.
 
-        A cut begins with the blank that the second tokenizer adds.
+        A cut begins with the blank that the second tokenizer adds; ``b`` has its ids there.
         """
-        if cut in self.known:
-            return self.known[cut]
-        a, b = self.ids_a(cut), self.model.encode(cut[1:], num_threads=1)
+        a = self.ids_a(cut)
         bytes_a, bytes_b, content = [self.entries[i] for i in a], [self.pieces[i] for i in b], cut.encode()
-        made = None
-        if b"".join(bytes_a) == content == b"".join(bytes_b):
-            ends_a, ends_b = list(itertools.accumulate(map(len, bytes_a))), list(itertools.accumulate(map(len, bytes_b)))
-            found, pairs = [], []
-            for one, other in groups(a, b, ends_a, ends_b):
-                found.append(",".join(map(str, a[one])) + "|" + ",".join(map(str, b[other])))
+        if not b"".join(bytes_a) == content == b"".join(bytes_b):
+            return None
+        if len(a) == 1 == len(b):
+            return 1, 1, 1, b"%d|%d" % (a[0], b[0]), [a[0] << 32 | b[0]]
+        ends_a, ends_b = list(itertools.accumulate(map(len, bytes_a))), list(itertools.accumulate(map(len, bytes_b)))
+        found, pairs = [], []
+        for one, other in groups(a, b, ends_a, ends_b):
+            n, m = one.stop - one.start, other.stop - other.start
+            if n == m == 1:
+                x, y = a[one.start], b[other.start]
+                found.append(f"{x}|{y}")
+                pairs.append(x << 32 | y)
+                continue
+            found.append(",".join(map(str, a[one])) + "|" + ",".join(map(str, b[other])))
+            if n == 1 or m == 1:  # a single token meets all of the other side
+                pairs += [x << 32 | y for x in a[one] for y in b[other]]
+            else:
                 pairs += [a[i] << 32 | b[j] for i, j in links(ends_a, ends_b, one, other)]
-            made = len(a), len(b), len(found), ";".join(found).encode(), pairs
-        if len(cut) <= REMEMBERED_CHARS:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[cut] = made
-        return made
+        return len(a), len(b), len(found), ";".join(found).encode(), pairs
+
+    def all_of(self, listed: Iterable[str]) -> dict[str, tuple | None]:
+        """The alignments of distinct cuts; those that are not remembered are encoded together."""
+        out, new = {}, []
+        for cut in listed:
+            if cut in self.known:
+                out[cut] = self.known[cut]
+            elif cut in self.older:
+                out[cut] = self.known[cut] = self.older[cut]
+            else:
+                new.append(cut)
+        for cut, b in zip(new, self.model.encode([c[1:] for c in new], num_threads=1) if new else ()):
+            out[cut] = self.aligned(cut, b)
+            if len(cut) <= REMEMBERED_CHARS:
+                self.known[cut] = out[cut]
+        if len(self.known) >= REMEMBERED:
+            self.older, self.known = self.known, {}
+        return out
 
 
 def cuts(text: str) -> Iterator[str]:
     """Blank and text, cut before each single blank between characters that are no blanks."""
     at, whole = 0, " " + text
+    if len(whole) <= SPLIT_CHARS:
+        first, *others = bpe.SAFE.split(whole)
+        yield first
+        yield from map(" ".__add__, others)
+        return
     for m in bpe.SAFE.finditer(whole):
         yield whole[at : m.start()]
         at = m.start()
@@ -139,12 +171,15 @@ def _document(aligner: Aligner, text: str) -> tuple[list[int], str, Counter]:
     n, digest, pairs = [0, 0, 0, 0], hashlib.sha256(), Counter()
     if not text:
         return n, "", pairs
-    for k, cut in enumerate(cuts(text)):
-        if (made := aligner.aligned(cut)) is None:
+    for k, some in enumerate(itertools.batched(cuts(text), CUTS_AT_ONCE)):
+        found = aligner.all_of(dict.fromkeys(some))
+        if None in found.values():
             return [0, 0, 0, 0], "", Counter()
-        digest.update(b";" + made[3] if k else made[3])
-        pairs.update(made[4])
-        n = [n[0] + made[0], n[1] + made[1], n[2] + made[2], n[3] + len(made[4])]
+        a, b, groups_, shown, linked = zip(*[found[cut] for cut in some])
+        digest.update(b";" * bool(k) + b";".join(shown))
+        flat = list(itertools.chain.from_iterable(linked))
+        pairs.update(flat)
+        n = [n[0] + sum(a), n[1] + sum(b), n[2] + sum(groups_), n[3] + len(flat)]
     return n, digest.hexdigest(), pairs
 
 

@@ -4,7 +4,8 @@ A sample's cells lie in a grid of 256 by 256 by 256, so what belongs to one samp
 meet in one exchange by sample; a task streams over its samples in batches of whole ones and treats a batch at once, with numpy.
 The sample's number in the batch is the high part of each cell's code, so that samples never touch.
 
-Cells outside the grid are refused; repeated cells count once; samples without cells have no rows where cells are asked for.
+Cells outside the grid are refused; repeated cells count once; samples without cells have no rows where cells are asked for; rows
+without a sample belong to no sample and are left out.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ BATCH_ROWS = 1 << 17
 #: Half of the neighbours of a cell; the other half are their opposites.
 NEIGHBOURS_26 = [o for o in product((-1, 0, 1), repeat=3) if o > (0, 0, 0)]
 NEIGHBOURS_6 = [o for o in product((-1, 0, 1), repeat=3) if sum(map(abs, o)) == 1]
-#: Side of the buckets in which near cells are searched.
+#: Least side of the buckets in which near cells are searched; wider ones are twice as wide each time.
 BUCKET = 4
+#: Pairs of cells and targets that are compared at once, about.
+PAIRS_AT_ONCE = 1 << 21
 Tables = dict[str, dict[str, np.ndarray]]
 
 
@@ -40,7 +43,7 @@ def by_sample(key: str, tables: dict[str, DataFrame], work: Callable[[Tables], d
     for i, (n, df) in enumerate(tables.items()):
         own = [F.col(c).alias(f"{n}__{c}") for c in columns[n]]
         others = [F.lit(None).cast(types[m][c]).alias(f"{m}__{c}") for m in names if m != n for c in columns[m]]
-        parts.append(df.select(F.col(key).alias("key"), F.lit(i).alias("part"), *own, *others))
+        parts.append(df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.lit(i).alias("part"), *own, *others))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
@@ -171,39 +174,40 @@ def nearest(cells: dict[str, np.ndarray], group: np.ndarray, targets: dict[str,
     """For each group of cells its shortest link to a target of the same sample: group, squared length, cell, target (places).
 
     Among equals the first cell and then the first target, in order of their codes, which both tables are sorted by. Targets lie in
-    buckets; the shells of buckets around the cells are searched one after the other until no farther bucket can hold a
-    shorter link. Groups of samples without targets are left out.
+    buckets, and a cell looks into its own and the 26 around, unless a bucket is too far to hold a better link. Groups whose link
+    may still be beaten from outside go on with buckets twice as wide. Groups of samples without targets are left out.
     """
-    bucket = lambda t, d=(0, 0, 0): ((t["key"] * 64 + t["x"] // BUCKET + d[0]) * 64 + t["y"] // BUCKET + d[1]) * 64 + t["z"] // BUCKET + d[2]
-    order = np.lexsort((targets["code"], bucket(targets)))
-    names, start, size = np.unique(bucket(targets)[order], return_index=True, return_counts=True)
     groups, of = np.unique(group, return_inverse=True)
-    far = np.iinfo(np.int64).max
-    best, pair = np.full(len(groups), far), np.full((len(groups), 2), -1)
+    best, pair = np.full(len(groups), np.iinfo(np.int64).max), np.full((len(groups), 2), -1)
     live = np.isin(cells["key"], targets["key"])
-    shell = 0
-    while live.any() and shell < 64:
+    side = BUCKET
+    while live.any() and side < 256:
+        bucket = lambda t, d=(0, 0, 0): ((t["key"] * 256 + t["x"] // side + d[0]) * 256 + t["y"] // side + d[1]) * 256 + t["z"] // side + d[2]  # noqa: B023, E731
+        order = np.lexsort((targets["code"], bucket(targets)))
+        names, start, size = np.unique(bucket(targets)[order], return_index=True, return_counts=True)
         rows = np.flatnonzero(live)
         own = {c: cells[c][rows] for c in ("key", *AXES)}
-        for d in (o for o in product(range(-shell, shell + 1), repeat=3) if max(map(abs, o)) == shell):
-            inside = np.ones(len(rows), bool)
+        for d in sorted(product((-1, 0, 1), repeat=3), key=lambda o: sum(map(abs, o))):
+            inside, least = np.ones(len(rows), bool), np.zeros(len(rows), np.int64)
             for a, s in zip(AXES, d):
-                inside &= (own[a] // BUCKET + s >= 0) & (own[a] // BUCKET + s < 64)
+                inside &= (own[a] // side + s >= 0) & (own[a] // side + s < 256 // side)
+                least += (own[a] % side + 1 if s < 0 else side - own[a] % side if s else 0) ** 2
             at = found(bucket(own, d), names)
-            at[~inside] = -1
-            hit = np.flatnonzero(at >= 0)
-            n = size[at[hit]]
-            who = np.repeat(rows[hit], n)
-            target = order[np.repeat(start[at[hit]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-            gap = sum((cells[a][who] - targets[a][target]) ** 2 for a in AXES)
-            first = np.lexsort((target, who, gap, of[who]))
-            keep = first[np.flatnonzero(np.diff(of[who][first], prepend=-1))]
-            g = of[who][keep]
-            nearer = (gap[keep] < best[g]) | ((gap[keep] == best[g]) & ((who[keep] < pair[g, 0]) | ((who[keep] == pair[g, 0]) & (target[keep] < pair[g, 1]))))
-            g, keep = g[nearer], keep[nearer]
-            best[g], pair[g, 0], pair[g, 1] = gap[keep], who[keep], target[keep]
-        live &= best[of] >= (shell * BUCKET + 1) ** 2
-        shell += 1
+            hits = np.flatnonzero(inside & (at >= 0) & (least <= best[of[rows]]))
+            ends = np.cumsum(size[at[hits]])
+            for hit in np.split(hits, np.unique(np.searchsorted(ends, np.arange(PAIRS_AT_ONCE, ends[-1] if len(ends) else 0, PAIRS_AT_ONCE)))):
+                n = size[at[hit]]
+                who = np.repeat(rows[hit], n)
+                target = order[np.repeat(start[at[hit]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+                gap = sum((cells[a][who] - targets[a][target]) ** 2 for a in AXES)
+                first = np.lexsort((target, who, gap, of[who]))
+                keep = first[np.flatnonzero(np.diff(of[who][first], prepend=-1))]
+                g = of[who][keep]
+                nearer = (gap[keep] < best[g]) | ((gap[keep] == best[g]) & ((who[keep] < pair[g, 0]) | ((who[keep] == pair[g, 0]) & (target[keep] < pair[g, 1]))))
+                g, keep = g[nearer], keep[nearer]
+                best[g], pair[g, 0], pair[g, 1] = gap[keep], who[keep], target[keep]
+        live &= best[of] >= (side + 1) ** 2
+        side *= 2
     reached = pair[:, 0] >= 0
     return groups[reached], best[reached], pair[reached, 0], pair[reached, 1]
 
@@ -235,3 +239,90 @@ def box_counts(cells: dict[str, np.ndarray], layers: list[np.ndarray], boxes: di
                 at = tuple(np.where(c, hi[i], lo[i]) for i, c in enumerate(corner))
                 counts[rows] += sums[at] * (-1) ** (3 - sum(corner))
     return out
+
+
+# --- operators on tables
+
+
+def _code(cells: dict[str, np.ndarray], at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Cell codes as in the tables: the sample itself is the high part."""
+    return keys[cells["key"][at]] * (1 << 24) + cells["x"][at] * (1 << 16) + cells["y"][at] * 256 + cells["z"][at]
+
+
+def body_sizes(voxels: DataFrame, key: str) -> DataFrame:
+    """The 26-connected bodies of each sample: key, body (its least cell code), n, and whether it is the main one.
+
+    The main body is the largest, the one of the least code among equals. One exchange by sample.
+    """
+
+    def work(t: Tables) -> dict[str, np.ndarray]:
+        cells = unique_cells(t["v"])
+        body = bodies(cells)
+        listed, n, main = main_bodies(cells["key"], body)
+        return {"key": cells["key"][listed], "body": _code(cells, listed, t[""]["keys"]), "n": n, "main": main}
+
+    return by_sample(key, {"v": voxels.select(key, *AXES)}, work, "key long, body long, n long, main boolean").withColumnRenamed("key", key)
+
+
+def detached_groups(voxels: DataFrame, key: str, owner: str) -> DataFrame:
+    """Every body beside its sample's main one, with what it holds and its shortest link to the main body.
+
+    Columns: key, body (its least cell code), n, x0 to z1 (its box), owners (distinct values of ``owner``, ascending, null left out),
+    gap (squared length of the link), x, y, z (its cell there), mx, my, mz (the main body's). Among links of equal length the
+    least cell and then the least main cell are taken. A repeated cell counts once, with its least owner.
+    """
+
+    def work(t: Tables) -> dict[str, np.ndarray] | None:
+        cells = unique_cells(t["v"])
+        body = bodies(cells)
+        listed, n, main = main_bodies(cells["key"], body)
+        of = np.searchsorted(listed, body)
+        loose = np.flatnonzero(~main[of])
+        if not len(loose):
+            return None
+        own, core = {c: x[loose] for c, x in cells.items()}, {c: x[main[of]] for c, x in cells.items()}
+        group, gap, cell, target = nearest(own, body[loose], core)
+        at = np.searchsorted(listed, group)
+        start = np.flatnonzero(np.diff(np.sort(body[loose]), prepend=-1))
+        order = np.argsort(body[loose], kind="stable")
+        made = {"key": cells["key"][group], "body": _code(cells, group, t[""]["keys"]), "n": n[at], "gap": gap}
+        for a in AXES:
+            sorted_ = own[a][order]
+            made |= {f"{a}0": np.minimum.reduceat(sorted_, start), f"{a}1": np.maximum.reduceat(sorted_, start), a: own[a][cell], f"m{a}": core[a][target]}
+        ends = [*start[1:], len(order)]
+        made["owners"] = [sorted({int(o) for o in own["owner"][order[i:j]] if o == o}) for i, j in zip(start, ends)]
+        return made
+
+    cells = voxels.groupBy(key, *AXES).agg(F.min(F.col(owner).cast("long")).alias("owner"))
+    schema = "key long, body long, n long, x0 long, x1 long, y0 long, y1 long, z0 long, z1 long, owners array<long>, gap long, x long, y long, z long, mx long, my long, mz long"
+    return by_sample(key, {"v": cells}, work, schema).withColumnRenamed("key", key)
+
+
+def nearest_cells(voxels: DataFrame, targets: DataFrame, key: str) -> DataFrame:
+    """key, x, y, z, gap: the squared distance of each cell to the nearest target of its sample; none for samples without targets."""
+
+    def work(t: Tables) -> dict[str, np.ndarray] | None:
+        cells, goals = unique_cells(t["v"]), unique_cells(t["t"])
+        if not len(cells["key"]) or not len(goals["key"]):
+            return None
+        _, gap, cell, _ = nearest(cells, np.arange(len(cells["key"])), goals)
+        return {"key": cells["key"][cell], "gap": gap} | {a: cells[a][cell] for a in AXES}
+
+    return by_sample(key, {"v": voxels.select(key, *AXES), "t": targets.select(key, *AXES)}, work, "key long, x long, y long, z long, gap long").withColumnRenamed("key", key)
+
+
+def cells_in_boxes(voxels: DataFrame, boxes: DataFrame, key: str, box_id: str) -> DataFrame:
+    """key, box_id, n_inside of every box (x0, x1, y0, y1, z0, z1, bounds included): the occupied cells in it, maybe none.
+
+    Tables of sums answer a box by eight reads, so rows are read once each and no cell meets a box. Repeated boxes are answered each.
+    """
+    bounds = [f"{a}{i}" for a in AXES for i in (0, 1)]
+
+    def work(t: Tables) -> dict[str, np.ndarray]:
+        cells = unique_cells(t["v"])
+        counts = box_counts(cells, [np.ones(len(cells["key"]), bool)], t["b"], len(t[""]["keys"]))[0]
+        return {"key": t["b"]["key"], "box": t["b"]["box"], "n_inside": counts}
+
+    asked = boxes.select(key, F.col(box_id).cast("long").alias("box"), *[F.col(b).cast("long").alias(b) for b in bounds])
+    out = by_sample(key, {"v": voxels.select(key, *AXES), "b": asked}, work, "key long, box long, n_inside long")
+    return out.select(F.col("key").alias(key), F.col("box").cast(boxes.schema[box_id].dataType).alias(box_id), "n_inside")

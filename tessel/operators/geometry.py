@@ -10,6 +10,7 @@ from itertools import permutations, product
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tessel.operators.graph import connected_components
+from tessel.operators.grids import cells_in_boxes
 from tessel.plans.stages import written
 
 AXES = ("x", "y", "z")
@@ -176,10 +177,8 @@ def window_rays(openings: DataFrame, voxels: DataFrame, key: str, steps: int, bl
 
 
 def opening_clear(boxes: DataFrame, voxels: DataFrame, key: str, box_id: str) -> DataFrame:
-    """Occupied cells inside each box."""
-    inside = boxes.join(voxels.select(key, *AXES).distinct(), key).filter(" AND ".join(f"{a} BETWEEN {a}0 AND {a}1" for a in AXES))
-    counts = inside.groupBy(key, box_id).agg(F.count("*").alias("n_inside"))
-    return boxes.select(key, box_id).join(counts, [key, box_id], "left").withColumn("n_inside", F.coalesce("n_inside", F.lit(0)))
+    """Occupied cells inside each box, by tables of sums: no cell meets a box."""
+    return cells_in_boxes(voxels, boxes, key, box_id)
 
 
 def room_checks(boxes: DataFrame, voxels: DataFrame, key: str, box_id: str, least_air: float = 0.85, least_floor: float = 0.6) -> DataFrame:

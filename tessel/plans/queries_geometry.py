@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessel.operators import geometry as geo
+from tessel.operators import geometry as geo, grids
 from tessel.operators.binary_hashes import binary_hashes
 from tessel.plans.registry import query
 from tessel.plans.views import oracle, view
@@ -91,15 +91,32 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return geo.walkable(view(spark, sf, "voxels"), KEY)
 
 
-@query("geo_bodies", oracle("SELECT 1", "voxels").replace("WITH voxels", "WITH RECURSIVE voxels").replace("SELECT 1", """
-, c AS (SELECT sample_id, x, y, z, sample_id * 16777216 + x * 65536 + y * 256 + z AS code FROM voxels WHERE material = 1),
+#: SQL for the bodies of all cells: l (node, body) and s (sample_id, body, n, main).
+BODIES = """
+, c AS (SELECT sample_id, x, y, z, component_id, sample_id * 16777216 + x * 65536 + y * 256 + z AS code FROM voxels),
 e AS (SELECT a.code AS a, b.code AS b FROM c a JOIN c b ON a.sample_id = b.sample_id AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.z - b.z) <= 1),
-r AS (SELECT code AS node, code AS label FROM c UNION SELECT e.b, r.label FROM r JOIN e ON r.node = e.a),
+r AS (SELECT code AS node, code AS label FROM c UNION SELECT e.b, min(r.label) FROM r JOIN e ON r.node = e.a GROUP BY e.b),
 l AS (SELECT node, min(label) AS body FROM r GROUP BY node),
-s AS (SELECT sample_id, body, count(*) AS n FROM c JOIN l ON c.code = l.node GROUP BY sample_id, body)
-SELECT sample_id, body, n, row_number() OVER (PARTITION BY sample_id ORDER BY n DESC, body) = 1 AS main FROM s"""))
+s AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY n DESC, body) = 1 AS main FROM (SELECT sample_id, body, count(*) AS n FROM c JOIN l ON c.code = l.node GROUP BY sample_id, body))"""
+
+
+def _recursive(body: str) -> str:
+    return oracle(body, "voxels").replace("WITH voxels", "WITH RECURSIVE voxels", 1)
+
+
+@query("geo_bodies", _recursive(BODIES + " SELECT sample_id, body, n, main FROM s"))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return grids.body_sizes(view(spark, sf, "voxels"), KEY)
+
+
+@query("geo_detached_groups", _recursive(BODIES + """
+, b AS (SELECT c.sample_id, s.body, s.n, s.main, c.code, c.x, c.y, c.z, c.component_id FROM c JOIN l ON c.code = l.node JOIN s ON l.body = s.body),
+g AS (SELECT sample_id, body, max(n) AS n, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, min(z) AS z0, max(z) AS z1, string_agg(DISTINCT component_id::VARCHAR, ',' ORDER BY component_id::VARCHAR) AS owners FROM b WHERE NOT main GROUP BY sample_id, body),
+p AS (SELECT a.body, a.x, a.y, a.z, m.x AS mx, m.y AS my, m.z AS mz, (a.x - m.x) * (a.x - m.x) + (a.y - m.y) * (a.y - m.y) + (a.z - m.z) * (a.z - m.z) AS gap,
+  row_number() OVER (PARTITION BY a.body ORDER BY (a.x - m.x) * (a.x - m.x) + (a.y - m.y) * (a.y - m.y) + (a.z - m.z) * (a.z - m.z), a.code, m.code) AS k FROM b a JOIN b m ON a.sample_id = m.sample_id AND m.main AND NOT a.main)
+SELECT g.*, gap::BIGINT AS gap, x, y, z, mx, my, mz FROM g JOIN p ON g.body = p.body AND k = 1"""))
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return geo.body_sizes(geo.bodies(view(spark, sf, "voxels").filter("material = 1"), KEY), KEY)
+    return grids.detached_groups(view(spark, sf, "voxels"), KEY, "component_id").withColumn("owners", F.array_join(F.col("owners").cast("array<string>"), ","))
 
 
 @query("geo_footprint_groups", oracle("SELECT 1", "voxels").replace("WITH voxels", "WITH RECURSIVE voxels").replace("SELECT 1", """

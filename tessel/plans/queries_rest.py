@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tessel.functions import text as fn
-from tessel.operators import aggregates as agg, geometry as geo, ranking, relations as rel
+from tessel.operators import aggregates as agg, geometry as geo, grids, ranking, relations as rel
 from tessel.plans.registry import query
 from tessel.plans.tables import table
 from tessel.plans.views import oracle, view
@@ -124,14 +124,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("geo_nearest_main", oracle("""
-, a AS (SELECT sample_id, x, y, z FROM voxels WHERE component_id = 0), b AS (SELECT sample_id, x, y, z FROM voxels WHERE component_id = 6 AND material = 1),
+, a AS (SELECT sample_id, x, y, z FROM voxels WHERE component_id = 0), b AS (SELECT sample_id, x, y, z FROM voxels WHERE component_id <> 0),
 d AS (SELECT b.sample_id, b.x, b.y, b.z, min((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) AS gap FROM b JOIN a USING (sample_id) GROUP BY b.sample_id, b.x, b.y, b.z)
-SELECT sample_id, max(gap) AS widest_gap, count(*) AS n FROM d GROUP BY sample_id""", "voxels"))
+SELECT sample_id, max(gap)::BIGINT AS widest_gap, count(*) AS n FROM d GROUP BY sample_id""", "voxels"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     v = view(spark, sf, "voxels")
-    main = v.filter("component_id = 0").select(KEY, *[F.col(a).alias(f"m{a}") for a in geo.AXES])
-    gap = sum(((F.col(a) - F.col(f"m{a}")) * (F.col(a) - F.col(f"m{a}")) for a in geo.AXES), F.lit(0))
-    near = v.filter("component_id = 6 AND material = 1").join(main, KEY).groupBy(KEY, *geo.AXES).agg(F.min(gap).alias("gap"))
+    near = grids.nearest_cells(v.filter("component_id <> 0"), v.filter("component_id = 0"), KEY)
     return near.groupBy(KEY).agg(F.max("gap").alias("widest_gap"), F.count("*").alias("n"))
 
 

@@ -380,7 +380,8 @@ def _assembled(blocked: DataFrame, kind: Callable[[], _Digest | _Whole]) -> Data
 def _through(df: DataFrame, key: str, text: str, file: str, ranks: str | None, kind: type, **limits: int) -> DataFrame:
     blocks = written(split(df, key, text, file, **limits), "split")
     found = written(encoded_words(words_by_block(blocks), file, ranks), "words")
-    ids = found.select("block", F.explode("ids").alias("id")).distinct()
+    # a block's list is bounded by its words, whatever the number of tasks that encoded them
+    ids = found.groupBy("block").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids")).select("block", F.explode("ids").alias("id"))
     nothing = {"keys": "array<long>", "counts": "array<int>", "goes_on": "boolean"}
     empty = [F.lit(None).cast(t).alias(n) for n, t in nothing.items()]
     own = ids.join(F.broadcast(pieces(df.sparkSession, file)), "id").select("block", F.lit(0).alias("kind"), F.col("id").cast("long").alias("at"), *empty, F.col("piece").alias("content"))

@@ -16,8 +16,9 @@ the counts alone, and the exact overlap from the differences, without reading ei
 sets leave possible, is compared in full, first the pair of another class with which a set shares most. No candidate is left out,
 so that no link between classes is lost.
 
-Pivot votes are one row per list entry; pairs are only made of entries that pass the caps and lie in different classes. Long
-lists are dealt out in chunks of bounded size, those of the largest class once each.
+Pivot votes are one row per list entry. Sets that share half of their union with a pivot form a group with it; inside a group,
+sketches of the sets are compared in blocks, and only what they leave possible becomes a pair. Lists make pairs of different groups
+only, of entries that pass the caps. Groups and long lists are dealt out in chunks of bounded size, the largest class once each.
 
 Defined cases: a null or blank text has no set and is alone in its class; a text shorter than a shingle has its whole word
 sequence as one; very long texts are cut nowhere; repeated rows and equal ids fall into one class if their sets are alike;
@@ -321,26 +322,89 @@ def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.Rec
     yield True, None
 
 
+def _folded(sketches: list[np.ndarray]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """(words of each sketch, for each number of words the sketches of so many or more, folded to it, by place)."""
+    width = np.array([len(x) for x in sketches])
+    out: dict[int, np.ndarray] = {}
+    longer: np.ndarray | None = None
+    for w in sorted(set(width.tolist()), reverse=True):
+        made = np.zeros((len(sketches), w), np.int64)
+        if longer is not None:
+            parts = longer.reshape(len(sketches), -1, w)
+            made = np.bitwise_xor.reduce(parts, axis=1)
+        own = np.flatnonzero(width == w)
+        made[own] = np.stack([sketches[i] for i in own])
+        out[w] = longer = made
+    return width, out
+
+
+def most_shared(size: np.ndarray, sketches: list[np.ndarray]) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function from places (x, y) to bounds on the overlap of these sets, by how far their sketches differ."""
+    width, folded = _folded(sketches)
+
+    def bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        least, apart = np.minimum(width[x], width[y]), np.zeros(len(x), np.int64)
+        for w in np.unique(least).tolist():
+            at = np.flatnonzero(least == w)
+            step = max(1, (1 << 19) // w)
+            for k in range(0, len(at), step):
+                some = at[k : k + step]
+                apart[some] = np.bitwise_count(folded[w][x[some]] ^ folded[w][y[some]]).sum(axis=1, dtype=np.int64)
+        return np.minimum((size[x] + size[y] - apart) // 2, np.minimum(size[x], size[y]))
+
+    return bound
+
+
+def group_pairs(members: DataFrame, percent: int, chunk: int = CHUNK) -> DataFrame:
+    """``PAIRS`` of different classes inside groups that sketches leave possible, with the most that the two can share as c.
+
+    ``members`` (token, size, key, pos 0, label, sketch) has each set of a group once. The pairs are compared in blocks inside
+    tasks; a pair becomes a row only where its sketches allow a link, so that a large group of sets that are like one pivot but
+    not linked to each other makes few rows. Chunks bound a task as in ``cross_pairs``.
+    """
+    schema = f"{PAIRS}, c long"
+
+    def work(part: pa.Table) -> pa.Table:
+        part = part.sort_by([("size", "ascending"), ("key", "ascending")])
+        side, size, cap, key, label = (part.column(c).to_numpy().astype(np.int64) for c in ("side", "size", "cap", "key", "label"))
+        bound = most_shared(size, [np.asarray(x.values) for x in part.column("sketch")])
+        out = [(np.zeros(0, np.int64),) * 5]
+        for x, y in fitting_pairs(size, cap, label, side):
+            both = bound(x, y)
+            able = (100 + percent) * both >= percent * (size[x] + size[y])
+            out.append((key[x[able]], key[y[able]], size[x[able]], size[y[able]], both[able]))
+        x, y, nx, ny, c = (np.concatenate(z) for z in zip(*out, strict=True))
+        return pa.Table.from_batches([table([x, y, nx.astype(np.int32), ny.astype(np.int32), c], schema)])
+
+    return dealt(members, percent, chunk, "sketch").groupBy("token", "a", "b").applyInArrow(work, schema)
+
+
 def cross_pairs(known: DataFrame, percent: int, chunk: int = CHUNK) -> DataFrame:
-    """Distinct ``PAIRS`` of sets in different classes that some list entry allows, with the number c of such entries.
+    """Distinct ``PAIRS`` of sets in different classes that some list entry allows, with the number c of such entries."""
+    return list_pairs(dealt(known, percent, chunk)).groupBy("x", "y", "nx", "ny").agg(F.count("*").alias("c"))
+
+
+def dealt(known: DataFrame, percent: int, chunk: int, *more: str) -> DataFrame:
+    """Members of lists (token, a, b, side, size, cap, key, label) for those that compare them.
 
     ``known`` are list entries with labels. Lists of one class, and members whose cap lies below the list's least size, go first.
     A list of more than ``chunk`` members is dealt out: those of its largest class by chunks, which the others all meet, and the
     others among themselves by pairs of chunks.
     """
+    shown = ["size", "cap", "key", "label", *more]
     entries = known.withColumn("cap", _cap(percent))
     classes = entries.groupBy("token", "label").agg(F.count("*").alias("n"), F.min("size").alias("least"))
     lists = classes.groupBy("token").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("main"))
     lists = written(lists.filter("labels > 1").select("token", "n", "least", F.col("main.label").alias("main"), F.col("main.n").alias("n_main")), "open")
     entries = entries.join(sized(lists, 40), "token").filter("cap >= least")
-    plain = entries.filter(F.col("n") <= chunk).select("token", F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(-1).alias("side"), "size", "cap", "key", "label")
+    plain = entries.filter(F.col("n") <= chunk).select("token", F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(-1).alias("side"), *shown)
     long_ = entries.filter(F.col("n") > chunk).withColumn("mains", F.ceil(F.col("n_main") / chunk).cast("int")).withColumn("others", F.greatest(F.lit(1), F.ceil((F.col("n") - F.col("n_main")) / chunk)).cast("int"))
     of_main = F.array(F.struct(F.lit(-1).alias("a"), F.pmod(F.xxhash64("key"), "mains").cast("int").alias("b"), F.lit(0).alias("side")))
     own = F.pmod(F.xxhash64("key"), "others").cast("int")
     meets = F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda c: F.struct(F.lit(-1).alias("a"), c.alias("b"), F.lit(1).alias("side")))
     among = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda c: F.struct(F.least(own, c).alias("a"), F.greatest(own, c).alias("b"), F.when(own == c, -1).otherwise(own).alias("side")))
-    dealt = long_.withColumn("to", F.explode(F.when(F.col("label") == F.col("main"), of_main).otherwise(F.concat(meets, among)))).select("token", "to.a", "to.b", "to.side", "size", "cap", "key", "label")
-    return list_pairs(plain.unionByName(dealt)).groupBy("x", "y", "nx", "ny").agg(F.count("*").alias("c"))
+    spread = long_.withColumn("to", F.explode(F.when(F.col("label") == F.col("main"), of_main).otherwise(F.concat(meets, among)))).select("token", "to.a", "to.b", "to.side", *shown)
+    return plain.unionByName(spread)
 
 
 def _cap(percent: int) -> Column:
@@ -355,7 +419,7 @@ class Answers:
 
     def __init__(self, docs: DataFrame, rows: DataFrame, words: int) -> None:
         self.docs, self.words = docs, words
-        found = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("id"), F.any_value("sketch").alias("sketch"))
+        found = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("id"), F.any_value("size").cast("int").alias("size"), F.any_value("sketch").alias("sketch"))
         self.where = written(found, "places")
 
     def possible(self, pairs: DataFrame, percent: int) -> DataFrame:
@@ -488,18 +552,19 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     entries = written(live.join(sized(typical, 32), "key").withColumn("cap", _cap(percent)), "entries")
     forgotten([live, typical])
 
-    def best(votes: DataFrame) -> DataFrame:
-        """For each set, the pivot (x, y) with which it shares most entries that leave it a chance."""
+    def best(votes: DataFrame, likeness: int) -> DataFrame:
+        """For each set, the pivot (x, y) with which it shares most entries that leave it a chance of so high a likeness."""
         counted = votes.groupBy("key", "size", "pivot.key", "pivot.size").agg(F.count("*").alias("c"), F.max(F.expr("cap >= pivot.size AND pivot.cap >= size")).alias("fits")).toDF("x", "nx", "y", "ny", "c", "fits")
         chance = F.col("c") + F.greatest(least("nx"), least("ny")) - 1
-        counted = counted.filter("fits").filter((100 + percent) * chance >= percent * (F.col("nx") + F.col("ny")))
+        counted = counted.filter("fits").filter((100 + likeness) * chance >= likeness * (F.col("nx") + F.col("ny")))
         return counted.groupBy("x", "nx").agg(F.max_by(F.struct("y", "ny"), F.struct("c", "y")).alias("to")).select("x", "nx", "to.y", "to.ny")
 
     # first each set against the most typical set that its lists show
     entry = F.struct("typical", "size", "key", "cap")
     votes = _with_lists(entries, lambda e: e.groupBy("token").agg(F.max(entry).alias("pivot"))).filter(entry != F.col("pivot"))
-    first = answers.of(answers.possible(best(votes), KEPT_PERCENT), "answers", differences=True)
+    first = answers.of(answers.possible(best(votes, KEPT_PERCENT), KEPT_PERCENT), "answers", differences=True)
     labels = _roots(first.filter(_linked("both", percent)).select("x", "y"))
+    groups = _roots(first.filter(_linked("both", KEPT_PERCENT)).select("x", "y"))
 
     # then against the most typical set of another class
     own = entries.join(labels, entries.key == labels.x, "left").withColumn("label", F.coalesce("root", "key"))
@@ -509,16 +574,20 @@ def set_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     forgotten([known])
     votes = split.withColumn("pivot", F.when(F.col("label") == F.col("pivot.label"), F.col("second")).otherwise(F.col("pivot")))
     asked = first.select("x", "y")
-    second = answers.of(answers.possible(best(votes), percent).join(asked, ["x", "y"], "left_anti"), "answers")
-    labels = _tied(labels, second.filter(_linked("both", percent)).select("x", "y"))
+    second = answers.of(answers.possible(best(votes, percent), percent).join(asked, ["x", "y"], "left_anti"), "answers")
+    links = second.filter(_linked("both", percent)).select("x", "y")
+    labels, groups = _tied(labels, links), _tied(groups, links)
     asked = asked.unionByName(second.select("x", "y"))
     asked = asked.unionByName(asked.select(F.col("y").alias("x"), F.col("x").alias("y")))
 
-    # then all pairs of different classes that the lists allow: from answers, nearest pairs, the rest
-    known = written(split.select("token", "size", "key", "pos").join(labels, F.col("key") == labels.x, "left").select("token", "size", "key", "pos", F.coalesce("root", "key").alias("label")), "labelled")
+    # then pairs of different classes: those inside a group around a pivot that sketches leave possible, and those of different
+    # groups that the lists allow; from answers, nearest pairs, the rest
+    known = written(split.select("token", "size", "key", "pos").join(groups, F.col("key") == groups.x, "left").select("token", "size", "key", "pos", F.coalesce("root", "key").alias("label")), "labelled")
     forgotten([split])
-    pairs = written(cross_pairs(known, percent).join(asked, ["x", "y"], "left_anti"), "pairs")
-    forgotten([known])
+    grouped = groups.select(F.col("x").alias("key"), F.col("root").alias("token")).join(labels.select(F.col("x").alias("key"), F.col("root").alias("label")), "key", "left")
+    grouped = written(grouped.select("key", "token", F.coalesce("label", "key").alias("label"), F.lit(0).alias("pos")).join(answers.where.select("key", "size", "sketch"), "key"), "grouped")
+    pairs = written(group_pairs(grouped, percent).unionByName(cross_pairs(known, percent)).join(asked, ["x", "y"], "left_anti"), "pairs")
+    forgotten([known, grouped])
     links, rest = derived(pairs, first, percent)
     labels = _tied(labels, links)
     rest = written(_labelled(answers.possible(rest, percent), labels, "c").filter("lx != ly").select("x", "y", "c"), "rest")

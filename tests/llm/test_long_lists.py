@@ -97,3 +97,49 @@ def test_pairs_grow_with_a_group_of_near_copies(spark, monkeypatch):
         if members < 400:
             assert got == brute.components(texts)
     assert all(n <= 5 * members for n, members in zip(made, (100, 200, 400), strict=True)), made
+
+
+def unlinked_copies(members: int) -> list[str]:
+    """Texts of 1000 words, 20 of them changed in each: about 0.68 alike, so that none are linked."""
+    rng = random.Random(members)
+    base = words(1000, 78).split()
+    out = []
+    for k in range(members):
+        text = list(base)
+        for at in rng.sample(range(len(text)), 20):
+            text[at] = f"u{k}x{at}"
+        out.append(" ".join(text))
+    return out
+
+
+def test_pairs_grow_with_a_group_that_does_not_link(spark, monkeypatch):
+    made = []
+    for name in ("cross_pairs", "group_pairs"):
+
+        def counted(known, percent, chunk=jaccard_join.CHUNK, true=getattr(jaccard_join, name)):
+            out = true(known, percent, chunk)
+            made.append(out.count())
+            return out
+
+        monkeypatch.setattr(jaccard_join, name, counted)
+    for members in (100, 200, 400):
+        texts = dict(enumerate(unlinked_copies(members)))
+        df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+        got = {r.doc_id: r.component_id for r in jaccard_join.components(df, "doc_id", "text").collect()}
+        assert got == {k: k for k in texts}
+    sums = [a + b for a, b in zip(made[::2], made[1::2], strict=True)]
+    assert all(n <= 5 * members for n, members in zip(sums, (100, 200, 400), strict=True)), made
+
+
+@pytest.mark.parametrize("chunk", [3, 1000])
+def test_group_pairs_keep_every_link(spark, chunk):
+    rng = np.random.default_rng(chunk)
+    base = rng.integers(0, 1 << 63, 300, np.int64).view(np.uint64)
+    sets = [np.unique(np.concatenate([base[: n - k], rng.integers(0, 1 << 63, k, np.int64).view(np.uint64)])) for n in (1, 5, 31, 60, 65, 120, 129, 146, 280) for k in range(0, n // 2 + 1, max(1, n // 12))]
+    rows = [(7, len(s), k, 0, k % 5, jaccard_join.sketch(s).tolist()) for k, s in enumerate(sets)]
+    members = spark.createDataFrame(rows, "token long, size int, key long, pos int, label long, sketch array<long>")
+    got = {(r.x, r.y): r.c for r in jaccard_join.group_pairs(members, 80, chunk).collect()}
+    n, both = range(len(sets)), lambda i, j: len(np.intersect1d(sets[i], sets[j]))
+    links = {(i, j) for j in n for i in n if (len(sets[i]), i) < (len(sets[j]), j) and i % 5 != j % 5 and 100 * both(i, j) >= 80 * (len(sets[i]) + len(sets[j]) - both(i, j))}
+    assert links <= got.keys() and all(c >= both(*p) for p, c in got.items())
+    assert all(i % 5 != j % 5 for i, j in got) and len(got) < len(sets) ** 2 / 4

@@ -349,7 +349,7 @@ def most_shared(size: np.ndarray, sketches: list[np.ndarray]) -> Callable[[np.nd
             step = max(1, (1 << 19) // w)
             for k in range(0, len(at), step):
                 some = at[k : k + step]
-                apart[some] = np.bitwise_count(folded[w][x[some]] ^ folded[w][y[some]]).sum(axis=1, dtype=np.int64)
+                apart[some] = np.bitwise_count((folded[w][x[some]] ^ folded[w][y[some]]).view(np.uint64)).sum(axis=1, dtype=np.int64)
         return np.minimum((size[x] + size[y] - apart) // 2, np.minimum(size[x], size[y]))
 
     return bound

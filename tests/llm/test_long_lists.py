@@ -143,3 +143,10 @@ def test_group_pairs_keep_every_link(spark, chunk):
     links = {(i, j) for j in n for i in n if (len(sets[i]), i) < (len(sets[j]), j) and i % 5 != j % 5 and 100 * both(i, j) >= 80 * (len(sets[i]) + len(sets[j]) - both(i, j))}
     assert links <= got.keys() and all(c >= both(*p) for p, c in got.items())
     assert all(i % 5 != j % 5 for i, j in got) and len(got) < len(sets) ** 2 / 4
+
+
+def test_most_shared_counts_all_bits():
+    """The sign bit of a word is one bit like the others."""
+    words_ = [np.array([0], np.int64), np.array([-1 << 63], np.int64), np.array([-1], np.int64), np.array([-3, 5], np.int64)]
+    bound = jaccard_join.most_shared(np.array([40, 40, 40, 70]), words_)
+    assert bound(np.array([0, 0, 1, 0]), np.array([1, 2, 2, 3])).tolist() == [39, 8, 8, 24]

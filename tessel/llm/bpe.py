@@ -52,19 +52,28 @@ def encoder(ranks_file: str):
 
 
 def parts(text: str, size: int = PART_CHARS) -> Iterator[tuple[str, bool]]:
-    """Consecutive parts of ``text`` of about ``size`` characters, and whether a part is a single match of over LONG_PIECE."""
+    """Consecutive parts of ``text`` of about ``size`` characters, and whether a part is a single match, to be encoded by itself.
+
+    White space at a part's end would be matched as at the end of a text, so a match of white space before a cut is a part of its own.
+    """
     at = 0
     while len(text) - at > size:
         if cut := SAFE.search(text, at + size, at + 2 * size):
             yield text[at : cut.start()], False
             at = cut.start()
             continue
-        begin = at
+        begin = last = at
         for match in pre_tokens().finditer(text, at):
             long_ = match.end() - match.start() > LONG_PIECE
             if begin < match.start() and (long_ or match.start() - begin >= size):
-                yield text[begin : match.start()], False
+                if text[match.start() - 1].isspace() and text[match.start() - 1] not in "\x1c\x1d\x1e\x1f":  # no white space in the pattern
+                    if begin < last:
+                        yield text[begin:last], False
+                    yield text[last : match.start()], True
+                else:
+                    yield text[begin : match.start()], False
                 begin = match.start()
+            last = match.start()
             if long_:
                 yield match[0], True
                 begin = match.end()

@@ -118,6 +118,19 @@ def test_parts_keep_the_ids(text, size):
         assert "".join(packing.blank_parts(text, size)) == text
 
 
+@pytest.mark.parametrize("text", ["  \xa0a", "b  \xa0a  \xa0a", "1\n\n\u2009a", " \t\xa0aaaaaaaa", "\xa0\xa0\xa0\u3000\xe9", "!  \x1c\xa0\x1c\x1ca\xa0\x1c"])
+def test_parts_end_before_white_space(text):
+    """A match of white space at a part's end goes by itself, as the end of a part is not the end of the text."""
+    enc = bpe.encoder(MULTI)
+    for size in range(1, len(text) + 1):
+        for long_piece in (3, 1 << 12):
+            with pytest.MonkeyPatch.context() as patch:
+                patch.setattr(bpe, "LONG_PIECE", long_piece)
+                parts = list(bpe.parts(text, size))
+            assert "".join(p for p, _ in parts) == text
+            assert [i for p, single in parts for i in (enc._encode_single_piece(p) if single else enc.encode_ordinary(p))] == enc.encode_ordinary(text)
+
+
 LONG_TEXTS = {
     "blanks": " " * 1_000_000, "blanks and a letter": " " * 700_000 + "x", "chinese": "\u6f22\u5b57" * 150_000, "letters": "a" * 200_000,
     "double blanks": "word  " * 50_000, "line ends": "\n " * 100_000, "marks": "a!" * 100_000, "words": "some words " * 30_000,

@@ -23,9 +23,21 @@ def after(df: DataFrame, **key) -> DataFrame:
 
 
 def any_key_join(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str) -> DataFrame:
-    """Pairs of ids that agree in any of the keys: one equi-join per key, united, as an OR condition would compare all pairs."""
-    found = [left.select(left_id, k).join(right.select(right_id, k), k).select(left_id, right_id) for k in keys]
-    return reduce(DataFrame.union, found).distinct()
+    """Pairs of ids that agree in any of the keys, each once: one equi-join per key, united, as an OR condition would compare all pairs.
+
+    Two rows are paired by the first key that they share, so pairs of ids with one row each need not be made distinct.
+    """
+    alone = F.count(F.lit(1)).over(W.partitionBy("id")) == 1
+    l, r = (df.select(F.col(i).alias("id"), *[F.col(k).alias(f"k{n}") for n, k in enumerate(keys)]).withColumn("alone", alone) for df, i in ((left, left_id), (right, right_id)))
+
+    def pairs(a: DataFrame, b: DataFrame) -> DataFrame:
+        a, b, found = a.alias("a"), b.alias("b"), []
+        for n in range(len(keys)):
+            before = [~F.coalesce(F.col(f"a.k{m}") == F.col(f"b.k{m}"), F.lit(False)) for m in range(n)]
+            found.append(a.join(b, reduce(lambda p, q: p & q, before, F.col(f"a.k{n}") == F.col(f"b.k{n}"))).select(F.col("a.id").alias(left_id), F.col("b.id").alias(right_id)))
+        return reduce(DataFrame.union, found)
+
+    return pairs(l.filter("alone"), r.filter("alone")).union(pairs(l.filter("not alone"), r).union(pairs(l.filter("alone"), r.filter("not alone"))).distinct())
 
 
 def first_match(left: DataFrame, right: DataFrame, on: list[str], order: list[Column], take: list[str]) -> DataFrame:

@@ -163,8 +163,8 @@ def strokes_to_voxels(strokes: DataFrame, key: str, seq: str, material: str) ->
     cells = strokes
     for a in AXES:
         cells = cells.withColumn(a, F.explode(F.sequence(F.col(f"{a}0"), F.col(f"{a}1"))))
-    last = cells.groupBy(key, *AXES).agg(F.max_by(F.struct(F.col(material).alias("m")), F.col(seq)).alias("s"))
-    return last.select(key, *AXES, F.col("s.m").alias(material)).filter(F.col(material).isNotNull())
+    last = cells.groupBy(key, *AXES).agg(F.max_by(material, seq).alias(material))
+    return last.filter(F.col(material).isNotNull())
 
 
 def window_rays(openings: DataFrame, voxels: DataFrame, key: str, steps: int, blocking: Column) -> DataFrame:

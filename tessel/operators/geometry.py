@@ -110,28 +110,37 @@ def composition(voxels: DataFrame, key: str, kind: Column, max_context: float, m
 
 def neighbours(voxels: DataFrame, key: str, offsets: list[tuple[int, int, int]], name: str) -> DataFrame:
     """Each voxel with the number of occupied cells among its neighbours at ``offsets``."""
-    cells = voxels.select(key, *AXES).distinct()
-    steps = F.explode(F.array(*[F.struct(*[F.lit(d).alias(f"d{a}") for a, d in zip(AXES, o, strict=True)]) for o in offsets])).alias("o")
-    pushed = cells.select(key, *AXES, steps).select(key, *[(F.col(a) + F.col(f"o.d{a}")).alias(a) for a in AXES])
-    return cells.join(pushed.groupBy(key, *AXES).agg(F.count("*").alias(name)), [key, *AXES], "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    pushed = _pushed(voxels.select(key, *AXES).distinct(), key, [((0, 0, 0), -1), *[(o, 1) for o in offsets]])
+    met = pushed.groupBy(key, *AXES).agg(F.count(F.when(F.col("mark") < 0, 1)).alias("own"), F.count(F.when(F.col("mark") > 0, 1)).alias(name))
+    return met.filter("own > 0").drop("own")
+
+
+def _pushed(cells: DataFrame, key: str, steps: list[tuple[tuple[int, int, int], int]]) -> DataFrame:
+    """The cells moved by each step, with its mark, so that cells and neighbours meet in one grouping.
+
+    The step that comes first stays; elsewhere a missing sample or coordinate meets nothing.
+    """
+    listed = F.explode(F.array(*[F.struct(*[F.lit(d).alias(f"d{a}") for a, d in zip(AXES, o, strict=True)], F.lit(mark).alias("mark")) for o, mark in steps])).alias("o")
+    given = F.col(key).isNotNull()
+    for a in AXES:
+        given &= F.col(a).isNotNull()
+    moved = cells.select(key, *AXES, listed).filter(given | (F.col("o.mark") == steps[0][1]))
+    return moved.select(key, *[(F.col(a) + F.col(f"o.d{a}")).alias(a) for a in AXES], F.col("o.mark").alias("mark"))
 
 
 def visible_faces(voxels: DataFrame, key: str) -> DataFrame:
     """Faces towards +x, +z and +y whose neighbour is air, with their place in an isometric view and their depth."""
-    cells = voxels.select(key, *AXES).distinct()
-    faces = []
-    for face, (dx, dy, dz) in (("x", (1, 0, 0)), ("z", (0, 0, 1)), ("y", (0, 1, 0))):
-        shifted = cells.select(key, (F.col("x") - dx).alias("x"), (F.col("y") - dy).alias("y"), (F.col("z") - dz).alias("z"))
-        faces.append(cells.join(shifted, [key, *AXES], "left_anti").withColumn("face", F.lit(face)))
-    all_ = faces[0].unionByName(faces[1]).unionByName(faces[2])
+    pushed = _pushed(voxels, key, [((0, 0, 0), 1), ((-1, 0, 0), 2), ((0, 0, -1), 4), ((0, -1, 0), 8)])
+    met = pushed.groupBy(key, *AXES).agg(F.bit_or("mark").alias("m")).filter("m & 1 > 0")
+    open_ = F.array_compact(F.array(*[F.when(F.col("m").bitwiseAND(mark) == 0, face) for face, mark in (("x", 2), ("z", 4), ("y", 8))]))
+    all_ = met.select(key, *AXES, F.explode(open_).alias("face"))
     return all_.withColumns({"u": F.col("x") - F.col("z"), "v": F.col("x") + F.col("z") - 2 * F.col("y"), "depth": F.col("x") + F.col("y") + F.col("z")})
 
 
 def walkable(voxels: DataFrame, key: str, height: int = 253) -> DataFrame:
     """Cells on which one can stand: solid, with two cells of air above."""
-    cells = voxels.select(key, *AXES).distinct()
-    below = lambda d: cells.select(key, "x", (F.col("y") - d).alias("y"), "z")
-    return cells.filter(F.col("y") < height).join(below(1), [key, *AXES], "left_anti").join(below(2), [key, *AXES], "left_anti")
+    pushed = _pushed(voxels, key, [((0, 0, 0), 1), ((0, -1, 0), 2), ((0, -2, 0), 4)])
+    return pushed.groupBy(key, *AXES).agg(F.bit_or("mark").alias("m")).filter((F.col("m") == 1) & (F.col("y") < height)).drop("m")
 
 
 def bodies(voxels: DataFrame, key: str, reach: int = 1, axes: tuple[str, ...] = AXES) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Largest side, in bytes of its rows, that is sent whole to every executor.
 BROADCAST_BYTES = 24 * 1024 * 1024
+#: Rows that a partition of a measured exchange takes, about.
+PART_ROWS = 1 << 17
 #: With this setting Spark drops a query's shuffle files when the query ends, and not when the driver's garbage is collected.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -69,6 +71,14 @@ def forgotten(tables: Iterable[DataFrame]) -> None:
             _remove(df.sparkSession, where, at_exit=False)
 
 
+def parts_for(df: DataFrame) -> int:
+    """Partitions for an exchange of the rows of ``df``, counted now, so that a task's share does not grow with the table.
+
+    Give it a table as it is read: its count needs no column.
+    """
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // PART_ROWS))
+
+
 def sized(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` marked for broadcast if its rows, counted now, fit in ``limit`` bytes; otherwise as it is.
 

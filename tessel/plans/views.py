@@ -6,8 +6,9 @@ text that Spark and DuckDB read alike, so that a query and its DuckDB counterpar
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tessel.plans.stages import parts_for
 from tessel.plans.tables import table
 
 SQL: dict[str, tuple[tuple[str, ...], str]] = {
@@ -58,10 +59,23 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
         FROM {orders}"""),
 }
 
+#: Views that group a table inside samples: the table and its sample. They are dealt by sample once, in as many parts as the rows
+#: ask for; that exchange serves the grouping and whatever groups or ranks inside samples behind it.
+BY_SAMPLE = {"voxels": ("lineitem", "l_orderkey - l_orderkey % 20"), "strokes": ("lineitem", "l_orderkey - l_orderkey % 20")}
+
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sources, text = SQL[name]
-    return spark.sql(text, **{s: table(spark, sf_dir, s) for s in sources})
+    given = {s: table(spark, sf_dir, s) for s in sources}
+    if name in BY_SAMPLE:
+        source, sample = BY_SAMPLE[name]
+        given[source] = given[source].repartition(parts_for(given[source]), F.expr(sample))
+    return spark.sql(text, **given)
+
+
+def parts(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Partitions for exchanges of the view's rows."""
+    return parts_for(table(spark, sf_dir, SQL[name][0][0]))
 
 
 def oracle(body: str, *names: str) -> str:

@@ -5,12 +5,15 @@ All operators group and join by sample, so that one partitioning by sample serve
 
 from __future__ import annotations
 
+import functools
+import hashlib
 from itertools import permutations, product
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tessel.operators.graph import connected_components
-from tessel.operators.grids import cells_in_boxes
+from tessel.operators.grids import Tables, by_sample, cells_in_boxes, least_turns
 from tessel.plans.stages import written
 
 AXES = ("x", "y", "z")
@@ -32,30 +35,34 @@ def normalised(voxels: DataFrame, key: list[str]) -> DataFrame:
     return voxels.withColumns({a: F.col(a) - F.min(a).over(w) for a in AXES})
 
 
-def _coded(points: Column) -> Column:
-    """Sorted points as text."""
-    return F.array_join(F.transform(F.sort_array(points), lambda p: F.concat_ws(",", p["x"], p["y"], p["z"])), ";")
+@functools.cache
+def _text_ranks(width: int) -> tuple[np.ndarray, ...]:
+    """Ranks of the numbers below ``width`` as texts, by what follows them: x, y, z, and z of the last cell."""
+    rank = lambda end: np.argsort(sorted(range(width), key=lambda v: f"{v}{end}"))
+    return rank(","), rank(","), rank(";"), rank("")
 
 
-def shape_hash(voxels: DataFrame, key: str, rotations: list | None = None) -> DataFrame:
+def shape_hash(voxels: DataFrame, key: str, rotations: list | None = None, parts: int | None = None) -> DataFrame:
     """One hash of the occupied cells per sample, the same after a shift, or after any of the rotations too.
 
-    The hash is of a text of the sorted cells; under rotations, of the least such text. A sample's cells form one array, at
-    most 600,000 of them.
+    The hash is of a text of the sorted cells; under rotations, of the least such text. Texts are compared by the ranks of their
+    numbers, and only the least is written out. Rows without a sample or a coordinate are no cells.
     """
-    cells = voxels.select(key, *AXES).distinct().groupBy(key).agg(F.collect_list(F.struct(*AXES)).alias("p"))
-    texts = [_coded(_turn(F.col("p"), rotation)) for rotation in rotations or [((0, 1), (1, 1), (2, 1))]]
-    return cells.select(key, F.size("p").alias("n_voxels"), F.sha2(F.least(*texts) if len(texts) > 1 else texts[0], 256).alias("shape"))
+    turns = rotations or [((0, 1), (1, 1), (2, 1))]
 
+    def work(t: Tables) -> dict[str, np.ndarray]:
+        t = t["v"]
+        order = np.lexsort((t["z"], t["y"], t["x"], t["key"]))
+        rows = np.stack([t[c][order] for c in ("key", *AXES)])
+        rows = rows[:, np.append(True, (np.diff(rows) != 0).any(axis=0))]
+        (x, y, z), start = least_turns(rows[0], rows[1:], turns, _text_ranks)
+        texts = [f"{a},{b},{c}" for a, b, c in zip(x.tolist(), y.tolist(), z.tolist(), strict=True)]
+        ends = np.append(start[1:], len(texts))
+        shapes = [hashlib.sha256(";".join(texts[i:j]).encode()).hexdigest() for i, j in zip(start.tolist(), ends.tolist(), strict=True)]
+        return {"key": rows[0][start], "n_voxels": ends - start, "shape": shapes}
 
-def _turn(points: Column, rotation: tuple) -> Column:
-    moved = F.transform(points, lambda p: F.struct(*[(p[AXES[a]] * s).alias(n) for n, (a, s) in zip(AXES, rotation, strict=True)]))
-    low = [F.array_min(_axis(moved, n)) for n in AXES]
-    return F.element_at(F.transform(F.array(F.struct(moved.alias("m"), *[c.alias(f"l{n}") for n, c in zip(AXES, low, strict=True)])), lambda s: F.transform(s["m"], lambda p: F.struct(*[(p[n] - s[f"l{n}"]).alias(n) for n in AXES]))), 1)
-
-
-def _axis(points: Column, name: str) -> Column:
-    return F.transform(points, lambda p: p[name])
+    cells = voxels.select(key, *AXES).dropna(subset=list(AXES))
+    return by_sample(key, {"v": cells}, work, f"key {dict(voxels.dtypes)[key]}, n_voxels int, shape string", parts).withColumnRenamed("key", key)
 
 
 def quantised(voxels: DataFrame, key: str, bins: int = 16) -> DataFrame:
@@ -185,17 +192,17 @@ def window_rays(openings: DataFrame, voxels: DataFrame, key: str, steps: int, bl
     return hits.select(key, *AXES, "side", F.col("h.step").alias("step"), F.col("h.__b").alias("blocks"))
 
 
-def opening_clear(boxes: DataFrame, voxels: DataFrame, key: str, box_id: str) -> DataFrame:
+def opening_clear(boxes: DataFrame, voxels: DataFrame, key: str, box_id: str, parts: int | None = None) -> DataFrame:
     """Occupied cells inside each box, by tables of sums: no cell meets a box."""
-    return cells_in_boxes(voxels, boxes, key, box_id)
+    return cells_in_boxes(voxels, boxes, key, box_id, parts)
 
 
-def room_checks(boxes: DataFrame, voxels: DataFrame, key: str, box_id: str, least_air: float = 0.85, least_floor: float = 0.6) -> DataFrame:
+def room_checks(boxes: DataFrame, voxels: DataFrame, key: str, box_id: str, least_air: float = 0.85, least_floor: float = 0.6, parts: int | None = None) -> DataFrame:
     """Air share of each room and the covered share of the layer below it, against their least values."""
     size = lambda a: F.col(f"{a}1") - F.col(f"{a}0") + 1
-    air = opening_clear(boxes, voxels, key, box_id)
+    air = opening_clear(boxes, voxels, key, box_id, parts)
     floors = boxes.withColumns({"y0": F.col("y0") - 1, "y1": F.col("y0") - 1})
-    cover = opening_clear(floors, voxels, key, box_id).withColumnRenamed("n_inside", "n_floor")
+    cover = opening_clear(floors, voxels, key, box_id, parts).withColumnRenamed("n_inside", "n_floor")
     out = boxes.join(air, [key, box_id]).join(cover, [key, box_id])
     out = out.withColumns({"air_share": 1 - F.col("n_inside") / (size("x") * size("y") * size("z")), "floor_share": F.col("n_floor") / (size("x") * size("z"))})
     return out.select(key, box_id, "n_inside", "n_floor", (F.col("air_share") >= least_air).alias("air_ok"), (F.col("floor_share") >= least_floor).alias("floor_ok"))
@@ -238,20 +245,6 @@ def duplicate_decision(assets: DataFrame, key: str, order: list[Column], cascade
     return found.select(key, rule.alias("rule"), original.alias("original"))
 
 
-def walk_regions(voxels: DataFrame, key: str) -> DataFrame:
-    """Standing cells with their region: steps along x or z, up or down by at most one, given headroom at the lower end."""
-    solid = voxels.select(key, *AXES).distinct()
-    floor = written(walkable(voxels, key).withColumn("code", F.col(key) * (1 << 24) + F.col("x") * (1 << 16) + F.col("y") * 256 + F.col("z")), "floor")
-    high = floor.join(solid.select(key, "x", (F.col("y") - 3).alias("y"), "z"), [key, *AXES], "left_anti").select(F.col("code").alias("__tall"))
-    tall = floor.join(high, floor.code == F.col("__tall"), "left").withColumn("tall", F.col("__tall").isNotNull()).drop("__tall")
-    steps = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz")) for dx, dz in ((1, 0), (0, 1)) for dy in (-1, 0, 1)])).alias("o")
-    moved = tall.select(key, "code", "tall", "x", "y", "z", steps).select(key, F.col("code").alias("a"), F.col("tall").alias("tall_a"), (F.col("x") + F.col("o.dx")).alias("x"), (F.col("y") + F.col("o.dy")).alias("y"), (F.col("z") + F.col("o.dz")).alias("z"), F.col("o.dy").alias("dy"))
-    edges = moved.join(tall.select(key, *AXES, F.col("code").alias("b"), F.col("tall").alias("tall_b")), [key, *AXES])
-    edges = edges.filter((F.col("dy") == 0) | ((F.col("dy") > 0) & F.col("tall_a")) | ((F.col("dy") < 0) & F.col("tall_b"))).select("a", "b")
-    labels = connected_components(edges.union(floor.select(F.col("code").alias("a"), F.col("code").alias("b"))), "a", "b")
-    return floor.join(labels, floor.code == labels.node).select(key, *AXES, F.col("component").alias("region"))
-
-
 def parent_faults(parts: DataFrame, node: str, parent: str, depth: int = 64) -> DataFrame:
     """Nodes whose parent is missing, or whose chain of parents goes on for more than ``depth`` steps, as in a cycle.
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tessel.functions import text as fn
-from tessel.operators import aggregates as agg, geometry as geo, ledger, quota as quotas, ranking
+from tessel.operators import aggregates as agg, geometry as geo, grids, ledger, quota as quotas, ranking
 from tessel.plans.registry import query
 from tessel.plans.tables import table
-from tessel.plans.views import oracle, view
+from tessel.plans.views import oracle, parts, view
 
 KEY = "sample_id"
 
@@ -37,7 +37,7 @@ SELECT sample_id, sha256(concat(shape, '|', n, '|', array_to_string(dims, ',')))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     v = view(spark, sf, "voxels")
     dims = v.groupBy(KEY).agg(F.count("*").alias("n_voxels"), *[(F.max(a) - F.min(a) + 1).alias(f"d{a}") for a in geo.AXES])
-    return geo.near_key(geo.shape_hash(geo.quantised(v, KEY, 4), KEY).drop("n_voxels").join(dims, KEY), KEY, "shape")
+    return geo.near_key(geo.shape_hash(geo.quantised(v, KEY, 4), KEY, parts=parts(spark, sf, "voxels")).drop("n_voxels").join(dims, KEY), KEY, "shape")
 
 
 @query("geo_duplicate_decision", """
@@ -58,7 +58,7 @@ r AS (SELECT code AS node, code AS label FROM f UNION SELECT e.b, r.label FROM r
 l AS (SELECT node, min(label) AS region FROM r GROUP BY node)
 SELECT sample_id, region, count(*) AS n FROM f JOIN l ON f.code = l.node GROUP BY sample_id, region"""))
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return geo.walk_regions(view(spark, sf, "voxels"), KEY).groupBy(KEY, "region").agg(F.count("*").alias("n"))
+    return grids.walk_regions(view(spark, sf, "voxels"), KEY, parts(spark, sf, "voxels")).groupBy(KEY, "region").agg(F.count("*").alias("n"))
 
 
 @query("geo_parent_faults", """

@@ -238,3 +238,44 @@ def test_binary_hashes(spark):
     body = b"v\0" + struct.pack("<3H", 256, 256, 256) + struct.pack("<Q", len(names)) + names + struct.pack("<Q", 6) + b"".join(struct.pack("<3H", *c) for c in cells) + b"".join(struct.pack("<I", c[0] > 0) for c in cells)
     assert got["a"].voxel_hash == hashlib.sha256(body).hexdigest()
     assert got["a"].shift_hash == hashlib.sha256(b"s\0" + struct.pack("<Q", 6) + b"".join(struct.pack("<3i", *c) for c in cells)).hexdigest()
+
+
+def _text_hash(cells, rotations):
+    texts = []
+    for rotation in rotations:
+        turned = [tuple(s * c[a] for a, s in rotation) for c in cells]
+        low = [min(c[i] for c in turned) for i in range(3)]
+        texts.append(";".join(",".join(map(str, c)) for c in sorted(tuple(v - l for v, l in zip(c, low, strict=True)) for c in turned)))
+    return hashlib.sha256(min(texts).encode()).hexdigest()
+
+
+def _shapes():
+    """Small and wide samples, cells below 0, and shapes whose rotations differ in the last cell or the number of digits only."""
+    rng = random.Random(11)
+    out = {k: {(rng.randrange(-w, w), rng.randrange(h), rng.randrange(w)) for _ in range(rng.randrange(1, 12))} for k, (w, h) in enumerate([(2, 2), (3, 2), (12, 3), (12, 12), (101, 101), (300, 11)] * 6)}
+    return out | {100: {(0, 0, 0)}, 101: {(0, 0, 0), (0, 0, 12)}, 102: {(0, 0, 0), (0, 0, 1), (0, 0, 12)}, 103: {(0, 0, 0), (9, 10, 100)}}
+
+
+def test_shape_hashes_of_many_samples_at_once(spark):
+    shapes = _shapes()
+    rows = [(k, *c) for k, cells in shapes.items() for c in cells]
+    df = spark.createDataFrame([*rows, rows[0]], "sample_id long, x int, y int, z int").repartition(2)
+    for rotations in (None, geo.UPRIGHT, geo.CUBE):
+        hashed = geo.shape_hash(df, "sample_id", rotations)
+        assert "collect_list" not in hashed._jdf.queryExecution().optimizedPlan().toString()
+        assert {r.sample_id: (r.n_voxels, r["shape"]) for r in hashed.collect()} == {k: (len(c), _text_hash(c, rotations or [((0, 1), (1, 1), (2, 1))])) for k, c in shapes.items()}
+
+
+def test_binary_hashes_of_many_samples_at_once(spark):
+    import numpy as np
+
+    from tessel.operators import binary_hashes as bh
+
+    shapes = {k: sorted((x + 300, y, z) for x, y, z in c) for k, c in _shapes().items()}
+    states = {k: [f"s{(x + k) % 3}\u00e9" for x, _, _ in c] for k, c in shapes.items()}
+    df = spark.createDataFrame([(k, *c, s) for k in shapes for c, s in zip(shapes[k], states[k], strict=True)], "sample_id long, x int, y int, z int, state string").repartition(2)
+    hashed = bh.binary_hashes(df, "sample_id", "state", "v", "s", "t")
+    assert "FlatMapGroups" not in hashed._jdf.queryExecution().optimizedPlan().toString()
+    for r in hashed.collect():
+        cells = np.array(shapes[r.sample_id], np.int64)
+        assert tuple(r)[1:] == (bh.voxel_digest(cells, states[r.sample_id], "v"), bh.shape_digest(cells, "s"), bh.shape_digest(cells, "t", geo.CUBE), bh.shape_digest(cells, "t", geo.UPRIGHT))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tessel.operators import geometry as geo, grids
 from tessel.operators.binary_hashes import binary_hashes
 from tessel.plans.registry import query
-from tessel.plans.views import oracle, view
+from tessel.plans.views import oracle, parts, view
 
 KEY = "sample_id"
 
@@ -27,17 +27,17 @@ SELECT sample_id, max(n)::INT AS n_voxels, sha256(min(s)) AS shape FROM c GROUP
 
 @query("geo_translation_hash", oracle(_texts([((0, 1), (1, 1), (2, 1))]), "voxels"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return geo.shape_hash(view(spark, sf, "voxels"), KEY)
+    return geo.shape_hash(view(spark, sf, "voxels"), KEY, parts=parts(spark, sf, "voxels"))
 
 
 @query("geo_upright_hash", oracle(_texts(geo.UPRIGHT), "voxels"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return geo.shape_hash(view(spark, sf, "voxels"), KEY, geo.UPRIGHT)
+    return geo.shape_hash(view(spark, sf, "voxels"), KEY, geo.UPRIGHT, parts(spark, sf, "voxels"))
 
 
 @query("geo_cube_hash", oracle(_texts(geo.CUBE), "voxels"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return geo.shape_hash(view(spark, sf, "voxels"), KEY, geo.CUBE)
+    return geo.shape_hash(view(spark, sf, "voxels"), KEY, geo.CUBE, parts(spark, sf, "voxels"))
 
 
 @query("geo_quantised_cells", oracle("""
@@ -106,7 +106,7 @@ def _recursive(body: str) -> str:
 
 @query("geo_bodies", _recursive(BODIES + " SELECT sample_id, body, n, main FROM s"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return grids.body_sizes(view(spark, sf, "voxels"), KEY)
+    return grids.body_sizes(view(spark, sf, "voxels"), KEY, parts(spark, sf, "voxels"))
 
 
 @query("geo_detached_groups", _recursive(BODIES + """
@@ -116,7 +116,7 @@ p AS (SELECT a.body, a.x, a.y, a.z, m.x AS mx, m.y AS my, m.z AS mz, (a.x - m.x)
   row_number() OVER (PARTITION BY a.body ORDER BY (a.x - m.x) * (a.x - m.x) + (a.y - m.y) * (a.y - m.y) + (a.z - m.z) * (a.z - m.z), a.code, m.code) AS k FROM b a JOIN b m ON a.sample_id = m.sample_id AND m.main AND NOT a.main)
 SELECT g.*, gap::BIGINT AS gap, x, y, z, mx, my, mz FROM g JOIN p ON g.body = p.body AND k = 1"""))
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return grids.detached_groups(view(spark, sf, "voxels"), KEY, "component_id").withColumn("owners", F.array_join(F.col("owners").cast("array<string>"), ","))
+    return grids.detached_groups(view(spark, sf, "voxels"), KEY, "component_id", parts(spark, sf, "voxels")).withColumn("owners", F.array_join(F.col("owners").cast("array<string>"), ","))
 
 
 @query("geo_footprint_groups", oracle("SELECT 1", "voxels").replace("WITH voxels", "WITH RECURSIVE voxels").replace("SELECT 1", """
@@ -155,9 +155,9 @@ f AS (SELECT r.sample_id, r.room_id, count(v.x) AS n FROM rooms r LEFT JOIN voxe
 SELECT r.sample_id, r.room_id, i.n AS n_inside, f.n AS n_floor, 1 - i.n / ((x1 - x0 + 1) * (y1 - y0 + 1) * (z1 - z0 + 1)) >= 0.85::DOUBLE AS air_ok, f.n / ((x1 - x0 + 1) * (z1 - z0 + 1)) >= 0.6::DOUBLE AS floor_ok
 FROM rooms r JOIN i USING (sample_id, room_id) JOIN f USING (sample_id, room_id)""", "rooms", "voxels"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return geo.room_checks(view(spark, sf, "rooms"), view(spark, sf, "voxels"), KEY, "room_id")
+    return geo.room_checks(view(spark, sf, "rooms"), view(spark, sf, "voxels"), KEY, "room_id", parts=parts(spark, sf, "voxels"))
 
 
 @query("geo_binary_hashes")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return binary_hashes(view(spark, sf, "voxels"), KEY, "material", "voxels.v1", "occupancy.v1", "occupancy.rotation.v1")
+    return binary_hashes(view(spark, sf, "voxels"), KEY, "material", "voxels.v1", "occupancy.v1", "occupancy.rotation.v1", parts(spark, sf, "voxels"))

@@ -8,7 +8,7 @@ from tessel.functions import text as fn
 from tessel.operators import aggregates as agg, geometry as geo, grids, ranking, relations as rel
 from tessel.plans.registry import query
 from tessel.plans.tables import table
-from tessel.plans.views import oracle, view
+from tessel.plans.views import oracle, parts, view
 
 KEY = "sample_id"
 SPACE = "6ba7b811-9dad-11d1-80b4-00c04fd430c8"
@@ -101,7 +101,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("geo_opening_intrusion", oracle("SELECT r.sample_id, r.room_id, count(v.x) AS n_inside FROM (SELECT sample_id, room_id, x0, x0 AS x1, y0, y1, z0, z1 FROM rooms) r LEFT JOIN voxels v ON v.sample_id = r.sample_id AND x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 AND z BETWEEN z0 AND z1 AND material <> 2 GROUP BY r.sample_id, r.room_id", "rooms", "voxels"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return geo.opening_clear(view(spark, sf, "rooms").withColumn("x1", F.col("x0")), view(spark, sf, "voxels").filter("material <> 2"), KEY, "room_id")
+    return geo.opening_clear(view(spark, sf, "rooms").withColumn("x1", F.col("x0")), view(spark, sf, "voxels").filter("material <> 2"), KEY, "room_id", parts(spark, sf, "voxels"))
 
 
 @query("geo_foundation_and_walls", oracle("""
@@ -129,7 +129,7 @@ d AS (SELECT b.sample_id, b.x, b.y, b.z, min((a.x - b.x) * (a.x - b.x) + (a.y -
 SELECT sample_id, max(gap)::BIGINT AS widest_gap, count(*) AS n FROM d GROUP BY sample_id""", "voxels"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     v = view(spark, sf, "voxels")
-    near = grids.nearest_cells(v.filter("component_id <> 0"), v.filter("component_id = 0"), KEY)
+    near = grids.nearest_cells(v.filter("component_id <> 0"), v.filter("component_id = 0"), KEY, parts(spark, sf, "voxels"))
     return near.groupBy(KEY).agg(F.max("gap").alias("widest_gap"), F.count("*").alias("n"))
 
 

@@ -94,11 +94,13 @@ class Aligner:
     def __init__(self, file_a: str, ranks_a: str, file_b: str) -> None:
         self.library, self.ranks, self.model = tokenizer(file_a), bpe.encoder(ranks_a), sentence_pieces(file_b)
         self.entries, self.pieces = entry_bytes(file_a), piece_bytes(file_b)
+        self.sizes_a, self.sizes_b = list(map(len, self.entries)), list(map(len, self.pieces))
+        self.shown_a, self.shown_b = list(map(str, range(len(self.entries)))), list(map(str, range(len(self.pieces))))
         self.known: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}
 
-    def ids_a(self, cut: str) -> list[int]:
-        if has_unlisted(cut):
+    def ids_a(self, cut: str, unlisted: bool) -> list[int]:
+        if unlisted and has_unlisted(cut):
             self.library.encode_special_tokens = True
             try:
                 return self.library.encode(cut, add_special_tokens=False).ids
@@ -106,17 +108,20 @@ class Aligner:
                 self.library.encode_special_tokens = False
         return bpe.encode(self.ranks, cut)
 
-    def aligned(self, cut: str, b: list[int]) -> tuple | None:
+    def aligned(self, cut: str, b: list[int], unlisted: bool = True) -> tuple | None:
         """n_a, n_b, n_groups, the groups as text, the pairs of ids (a << 32 | b) of all links; None if bytes differ.
 
-        A cut begins with the blank that the second tokenizer adds; ``b`` has its ids there.
+        A cut begins with the blank that the second tokenizer adds; ``b`` has its ids there. ``unlisted`` says whether ``cut`` may have
+        characters that are not in Python's Unicode table.
         """
-        a = self.ids_a(cut)
+        a = self.ids_a(cut, unlisted)
         bytes_a, bytes_b, content = [self.entries[i] for i in a], [self.pieces[i] for i in b], cut.encode()
         if not b"".join(bytes_a) == content == b"".join(bytes_b):
             return None
         if len(a) == 1 == len(b):
-            return 1, 1, 1, b"%d|%d" % (a[0], b[0]), [a[0] << 32 | b[0]]
+            return 1, 1, 1, b"%d|%d" % (a[0], b[0]), (a[0] << 32 | b[0],)
+        if len(cut) <= REMEMBERED_CHARS and b"" not in bytes_a and b"" not in bytes_b:
+            return self._short(a, b)
         ends_a, ends_b = list(itertools.accumulate(map(len, bytes_a))), list(itertools.accumulate(map(len, bytes_b)))
         found, pairs = [], []
         for one, other in groups(a, b, ends_a, ends_b):
@@ -133,18 +138,48 @@ class Aligner:
                 pairs += [a[i] << 32 | b[j] for i, j in links(ends_a, ends_b, one, other)]
         return len(a), len(b), len(found), ";".join(found).encode(), pairs
 
+    def _short(self, a: list[int], b: list[int]) -> tuple:
+        """The same for the ids of a short cut, none of which is empty: both sides are walked once, from end to end."""
+        shown_a, shown_b = self.shown_a, self.shown_b
+        sizes_a, sizes_b = [self.sizes_a[x] for x in a], [self.sizes_b[y] for y in b]
+        found, pairs, n = [], [], len(a)
+        i = j = first_i = first_j = 0
+        left = sizes_a[0] - sizes_b[0]
+        while True:
+            x, y = a[i], b[j]
+            pairs.append(x << 32 | y)
+            if not left:  # both end here
+                if i == first_i and j == first_j:
+                    found.append(f"{shown_a[x]}|{shown_b[y]}")
+                else:
+                    found.append(f"{','.join([shown_a[x] for x in a[first_i : i + 1]])}|{','.join([shown_b[y] for y in b[first_j : j + 1]])}")
+                i = first_i = i + 1
+                j = first_j = j + 1
+                if i == n:
+                    return n, len(b), len(found), ";".join(found).encode(), tuple(pairs)
+                left = sizes_a[i] - sizes_b[j]
+            elif left < 0:
+                i += 1
+                left += sizes_a[i]
+            else:
+                j += 1
+                left -= sizes_b[j]
+
     def all_of(self, listed: Iterable[str]) -> dict[str, tuple | None]:
         """The alignments of distinct cuts; those that are not remembered are encoded together."""
-        out, new = {}, []
+        out, new, known = {}, [], self.known
         for cut in listed:
-            if cut in self.known:
-                out[cut] = self.known[cut]
+            if (hit := known.get(cut)) is not None:
+                out[cut] = hit
+            elif cut in known:
+                out[cut] = None
             elif cut in self.older:
                 out[cut] = self.known[cut] = self.older[cut]
             else:
                 new.append(cut)
+        unlisted = has_unlisted("".join(new))
         for cut, b in zip(new, self.model.encode([c[1:] for c in new], num_threads=1) if new else ()):
-            out[cut] = self.aligned(cut, b)
+            out[cut] = self.aligned(cut, b, unlisted)
             if len(cut) <= REMEMBERED_CHARS:
                 self.known[cut] = out[cut]
         if len(self.known) >= REMEMBERED:
@@ -152,6 +187,12 @@ class Aligner:
         return out
 
 
+@functools.cache
+def aligner(file_a: str, ranks_a: str, file_b: str) -> Aligner:
+    """The aligner of two files, made once for each Python worker, so that a later task finds the cuts of an earlier one."""
+    return Aligner(file_a, ranks_a, file_b)
+
+
 def cuts(text: str) -> Iterator[str]:
     """Blank and text, cut before each single blank between characters that are no blanks."""
     at, whole = 0, " " + text
@@ -196,13 +237,13 @@ def documents(df: DataFrame, key: str, text: str, file_a: str, ranks_a: str, fil
         return batch({"block": np.full(len(codes), block), "at": np.arange(len(codes)), "pair": list(codes), "docs": docs}, len(codes))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, numbers = Aligner(file_a, ranks_a, file_b), itertools.count(TaskContext.get().partitionId() << 32)
+        own_aligner, numbers = aligner(file_a, ranks_a, file_b), itertools.count(TaskContext.get().partitionId() << 32)
         block, at, codes, docs = next(numbers), 0, {}, []
         for b in batches:
             for part in arrow.slices(b, 1):
                 rows = []
                 for key_, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    n, digest, pairs = _document(aligner, value or "")
+                    n, digest, pairs = _document(own_aligner, value or "")
                     own = [codes.setdefault(p, len(codes)) for p in pairs]
                     docs += [0] * (len(codes) - len(docs))
                     for c in own:

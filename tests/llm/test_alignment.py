@@ -80,3 +80,23 @@ def test_very_long_texts(spark):
     a = Tokenizer.from_file(public_tokenizers.path(A))
     assert [got[k].n_a for k in range(4)] == [len(a.encode(" " + t, add_special_tokens=False).ids) for t in texts]
     assert all(got[k].n_links >= max(got[k].n_a, got[k].n_b) for k in range(4))
+
+
+def test_short_cuts_walk_once(monkeypatch):
+    """Groups and links of short cuts are those of the general way, which they do not go any more."""
+    import random
+
+    from tessel.llm import alignment
+
+    made = alignment.Aligner("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")
+    rng = random.Random(7)
+    cuts = {" " + "".join(rng.choice(["a", "th", "ing", "é", "ß", "日本", "7", "'s", "--", "qz", "😀", "Zur", " "]) for _ in range(rng.randrange(1, 12))) for _ in range(3000)}
+    listed = [(c, made.model.encode(c[1:])) for c in sorted(cuts) if len(c) <= alignment.REMEMBERED_CHARS]
+    with monkeypatch.context() as patch:
+        patch.setattr(alignment, "REMEMBERED_CHARS", 0)
+        general = [made.aligned(c, b) for c, b in listed]
+    assert sum(x is not None and x[2] < min(x[:2]) for x in general) > 100
+    with monkeypatch.context() as patch:
+        patch.setattr(alignment, "groups", None)
+        short = [made.aligned(c, b) for c, b in listed]
+    assert [x and (*x[:4], list(x[4])) for x in short] == [x and (*x[:4], list(x[4])) for x in general]

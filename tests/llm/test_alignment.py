@@ -100,3 +100,41 @@ def test_short_cuts_walk_once(monkeypatch):
         patch.setattr(alignment, "groups", None)
         short = [made.aligned(c, b) for c, b in listed]
     assert [x and (*x[:4], list(x[4])) for x in short] == [x and (*x[:4], list(x[4])) for x in general]
+
+
+@pytest.mark.parametrize("window,remembered", [(1 << 22, 1 << 19), (64, 1 << 19), (64, 40)])
+def test_cuts_are_aligned_side_by_side(monkeypatch, window, remembered):
+    """Texts taken together, in windows, and after cuts were forgotten; plain cuts are not aligned one by one any more."""
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    parts = ["the", "Zurich", "qzxv", "日本語", "naïve", "é", "à", "x y", " ", "　", "ﬁ", "12", "--", "don't", "😀", "\u0085", " ", "\n", "", "</s>", "\U0003fc3f"]
+    texts = [" ".join(rng.choice(parts) for _ in range(rng.randrange(1, 40))) or "a" for _ in range(400)]
+    expected = [(*(m[:4] if m[0] else (0,) * 4), m[6]) for m in plain(texts)]
+    made = alignment.Aligner(A, RANKS, B)
+    monkeypatch.setattr(alignment, "WINDOW_BYTES", window)
+    monkeypatch.setattr(alignment, "REMEMBERED", remembered)
+    monkeypatch.setattr(alignment, "LEARNED_AT_ONCE", 50)
+    asked, general = [], made.aligned
+    monkeypatch.setattr(made, "aligned", lambda cut, *rest: asked.append(cut) or general(cut, *rest))
+    long = [alignment._long_document(made, alignment._with_blanks(pa.array([t]))[0]) for t in texts]
+    assert [(*n, digest) for n, digest, _ in long] == expected
+    for i in range(0, len(texts), 100):
+        made.trim()
+        data, edges = alignment._with_blanks(pa.array(texts[i : i + 100]))
+        got = alignment._Window(made, data, edges, alignment._merged(edges[:-1], alignment.cut_starts(data, 0, len(data))))
+        assert [(*n, got.digest(k)) for k, n in enumerate(got.numbers.tolist())] == expected[i : i + 100]
+        for k, (a, z) in enumerate(zip(got.offsets, got.offsets[1:])):
+            assert dict(zip(made.pairs[got.pairs[a:z]].tolist(), got.times[a:z].tolist())) == dict(long[i + k][2])
+    assert asked and not {" the", " Zurich", " qzxv", " 日本語", " naïve"} & {*asked}
+
+
+def test_cuts_lie_where_the_pattern_has_them():
+    import numpy as np
+
+    rng = random.Random(13)
+    letters = ["a", " ", " ", "é", "\x85", "\xa0", " ", " ", " ", "​", " ", " ", "　", "、", "Å", "х", "…", "\x1c", "\t", "日", "😀"]
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(1, 14)))
+        places = [len(text[: m.start()].encode()) for m in re.finditer(r"(?<=\S) (?=\S)", text)]
+        assert alignment.cut_starts(np.frombuffer(text.encode(), np.uint8), 0, len(text.encode())).tolist() == places

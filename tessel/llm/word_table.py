@@ -1,12 +1,12 @@
 """BPE encoding and decoding through a table of distinct words.
 
 Texts are split into words (pre-tokens) block by block. A block is what one task reads, up to ``BLOCK_WORDS`` distinct words; it
-keeps its texts as codes of its own words. Its words are dealt out by word, so that each distinct word of the corpus is encoded
-once, however many blocks hold it; their ids go back to the blocks and replace the codes by position. The ids that a block holds are
-joined with the table of pieces, and the pieces, put in place of the ids, are the decoded text.
+keeps its texts as codes of its own words. Its words are dealt out by a hash of the word, those of one part packed in one row, so that
+each distinct word of the corpus is encoded once, however many blocks hold it; their ids go back to the blocks and replace the codes by
+position. The ids that a block holds are joined with the table of pieces, and the pieces, put in place of the ids, are the decoded text.
 
-Between the jobs lies one written table of packed codes and words. No text travels, and a task holds one block's words at a time.
-A very frequent word costs one row a block. A text of any length is a run of records that are read in order.
+The codes lie in a table in buckets by block and are read there, so no text travels, and a task holds one block at a time.
+A very frequent word costs one word a block. A text of any length is a run of records that are read in order.
 
 Words are what the tokenizer file's own splitter makes of a text: added tokens first, as the library finds them, then the pattern.
 ``regex`` knows newer characters than the tokenizers library does; a text with a character that Python's own table does not list
@@ -25,7 +25,7 @@ import itertools
 import re
 import sys
 import unicodedata
-from collections import defaultdict
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,17 +36,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tessel.llm import arrow
 from tessel.llm.bpe import LONG_PIECE, encoder, parts, pre_tokens
 from tessel.llm.packed import pack, unpack
-from tessel.plans.stages import written
+from tessel.plans.stages import bucketed, written
 
 #: Distinct words, and bytes of them, at which a block ends.
-BLOCK_WORDS, BLOCK_BYTES = 1 << 18, 1 << 24
+BLOCK_WORDS, BLOCK_BYTES = 1 << 19, 1 << 24
+#: Words of texts, and 32 for each text, at which a block ends.
+BLOCK_TOTAL = 1 << 23
 #: Words in a record of codes, about.
 RECORD_WORDS = 1 << 16
-#: Rows of (word, block) that an encoding task gathers before it packs them by block.
-GATHERED_ROWS = 1 << 18
+#: Words in a record of a block's words, and words of all blocks that one part takes, about.
+LISTED_WORDS, PART_WORDS = 1 << 18, 1 << 18
 
 _SPLIT = "block long, at long, keys array<long>, counts array<int>, goes_on boolean, content binary"
-_BLOCKED = "block long, kind int, at long, keys array<long>, counts array<int>, goes_on boolean, content binary"
 
 
 @functools.cache
@@ -110,7 +111,7 @@ class _Block:
     """The words of a block and the record that is being filled."""
 
     def __init__(self, number: int) -> None:
-        self.number, self.codes, self.size, self.at = number, {}, 0, 0
+        self.number, self.codes, self.size, self.total, self.at = number, {}, 0, 0, 0
         self.fresh()
 
     def fresh(self) -> None:
@@ -130,11 +131,11 @@ class _Block:
         return row
 
     def dictionary(self) -> list[tuple]:
-        """The words as rows of packed UTF-8 with their lengths before; ``keys`` is null there and ``at`` the first code."""
+        """The words as rows of packed UTF-8 with their lengths before; ``keys`` is null there, ``at`` the first code, ``counts`` their number."""
         rows, listed = [], list(self.codes)
-        for i in range(0, len(listed), RECORD_WORDS):
-            content = [w.encode() for w in listed[i : i + RECORD_WORDS]]
-            rows.append((self.number, i, None, None, None, _pack_texts(content)))
+        for i in range(0, len(listed), LISTED_WORDS):
+            content = [w.encode() for w in listed[i : i + LISTED_WORDS]]
+            rows.append((self.number, i, None, [len(content)], None, _pack_texts(content)))
         return rows
 
 
@@ -178,9 +179,10 @@ def split(df: DataFrame, key: str, text: str, file: str, block_words: int = BLOC
                         if len(block.words) >= 2 * record_words:
                             yield _rows([block.record(goes_on=True)], _SPLIT)
                             block.keys, block.counts = [k], [0]
+                    block.total += 32 + block.counts[-1]
                     if len(block.words) >= record_words or len(block.keys) >= record_words:
                         yield _rows([block.record(goes_on=False)], _SPLIT)
-                    if len(block.codes) >= block_words or block.size >= BLOCK_BYTES:
+                    if len(block.codes) >= block_words or block.size >= BLOCK_BYTES or block.total >= BLOCK_TOTAL:
                         if block.keys:
                             yield _rows([block.record(goes_on=False)], _SPLIT)
                         yield from (_rows([x], _SPLIT) for x in block.dictionary())
@@ -222,43 +224,42 @@ def word_encoder(file: str, ranks: str | None) -> Callable[[list[str]], Iterator
     return lambda listed: map(ids, listed)
 
 
-def encoded_words(named: DataFrame, file: str, ranks: str | None = None) -> DataFrame:
-    """block, codes with their ids (packed), and the distinct ids among them: each distinct word is encoded once."""
+def dealt_words(blocks: DataFrame, parts: int) -> DataFrame:
+    """part, block, codes, words: the words of each block, those of one part (by hash of the word) packed together."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for block, first, content in zip(*(c.to_pylist() for c in b.columns)):
+                listed = [w.encode() for w in _unpack_texts(content)]
+                part = np.fromiter(map(zlib.crc32, listed), np.int64, len(listed)) % parts
+                order = np.argsort(part, kind="stable")
+                edges = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(order)]
+                rows = [(int(part[own[0]]), block, pack(np.diff(own + first, prepend=0)), _pack_texts([listed[k] for k in own.tolist()])) for own in (order[i:j] for i, j in itertools.pairwise(edges))]
+                yield _rows(rows, "part int, block long, codes binary, words binary")
+
+    return blocks.filter("keys is null").select("block", "at", "content").mapInArrow(work, "part int, block long, codes binary, words binary")
+
 
-    def packed(rows: list[tuple[pa.RecordBatch, list[list[int]]]]) -> pa.RecordBatch:
-        by_block = defaultdict(lambda: ([], [], []))
-        for b, ids in rows:
-            for block, code, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), ids):
-                codes, lengths, flat = by_block[block]
-                codes.append(code)
-                lengths.append(len(own))
-                flat += own
-        made = [(block, _pack_many(*lists), sorted({*lists[2]})) for block, lists in by_block.items()]
-        return _rows(made, "block long, content binary, ids array<int>")
+def encoded_words(blocks: DataFrame, file: str, ranks: str | None = None) -> DataFrame:
+    """block, codes with their ids (packed), and the distinct ids among them: each distinct word is encoded once."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last, gathered, n = word_encoder(file, ranks), (None, []), [], 0
+        encode, known = word_encoder(file, ranks), {}
         for b in batches:
-            listed = b.column(0).to_pylist()
-            new = [w for w, before in zip(listed, [last[0], *listed]) if w != before]
-            ids = iter(encode(new))
-            out = []
-            for w in listed:
-                if w != last[0]:
-                    last = (w, next(ids))
-                out.append(last[1])
-            gathered.append((b.select(["word", "block", "code"]), out))
-            n += len(b)
-            if n >= GATHERED_ROWS:
-                yield packed(gathered)
-                gathered, n = [], 0
-        if gathered:
-            yield packed(gathered)
-
-    return named.repartition("word").sortWithinPartitions("word").mapInArrow(work, "block long, content binary, ids array<int>")
-
-
-def _pack_many(*lists: list[int]) -> bytes:
+            for block, codes, words_ in zip(*(b.column(c) for c in ("block", "codes", "words"))):
+                listed = _unpack_texts(words_.as_py())
+                new = [w for w in listed if w not in known]
+                known.update(zip(new, (np.array(x, np.int32) for x in encode(new))))
+                ids = [known[w] for w in listed]
+                flat = np.concatenate(ids)
+                yield _rows([(block.as_py(), _pack_many(unpack(codes.as_py()), list(map(len, ids)), flat), np.unique(flat))], "block long, content binary, ids array<int>")
+
+    n = blocks.filter("keys is null").agg(F.sum(F.col("counts")[0])).first()[0] or 0
+    parts = max(blocks.sparkSession.sparkContext.defaultParallelism, -(-n // PART_WORDS))
+    return dealt_words(blocks, parts).repartition("part").mapInArrow(work, "block long, content binary, ids array<int>")
+
+
+def _pack_many(*lists: list[int] | np.ndarray) -> bytes:
     made = [pack(np.array(x, np.int64)) for x in lists]
     return b"".join(len(x).to_bytes(4, "little") + x for x in made)
 
@@ -298,7 +299,7 @@ class _Words:
     def add(self, content: bytes) -> None:
         codes, lengths, flat = _unpack_many(content)
         ends, flat = np.cumsum(lengths).tolist(), flat.tolist()
-        self.ids |= {c: flat[a:b] for c, a, b in zip(codes.tolist(), [0, *ends], ends)}
+        self.ids |= {c: flat[a:b] for c, a, b in zip(np.cumsum(codes).tolist(), [0, *ends], ends)}
 
     def close(self) -> None:
         n, piece = len(self.ids), self.piece
@@ -343,51 +344,40 @@ class _Whole:
         return self.ids, b"".join(self.content).decode(errors="replace")
 
 
-def _assembled(blocked: DataFrame, kind: Callable[[], _Digest | _Whole]) -> DataFrame:
-    """Texts put together from the rows of their block, which come as pieces, words, records of codes."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, own, closed, text = None, _Words(), False, None
-        for b in batches:
-            rows = []
-            for row in b.to_pylist():
-                if row["block"] != current:
-                    current, own, closed, text = row["block"], _Words(), False, None
-                if row["kind"] == 0:
-                    own.piece[row["at"]] = row["content"]
-                elif row["kind"] == 1:
-                    own.add(row["content"])
-                else:
-                    if not closed:
-                        own.close()
-                        closed = True
-                    codes, at = unpack(row["content"]).tolist(), 0
-                    for i, (key, n) in enumerate(zip(row["keys"], row["counts"])):
-                        text = text or kind()
-                        text.add(own, codes[at : at + n])
-                        at += n
-                        if not row["goes_on"] or i + 1 < len(row["keys"]):
-                            rows.append((key, *text.row()))
-                            text = None
-                    if len(rows) >= 1000 or kind is _Whole:
-                        yield _rows(rows, kind.schema)
-                        rows = []
-            yield _rows(rows, kind.schema)
-
-    return blocked.repartition("block").sortWithinPartitions("block", "kind", "at").mapInArrow(work, kind.schema)
+def _assembled(texts: DataFrame, given: DataFrame, kind: type[_Digest | _Whole]) -> DataFrame:
+    """Texts put together block by block, from their records of codes, the ids of the words and the pieces of these ids."""
+
+    def work(texts: pa.Table, given: pa.Table) -> pa.Table:
+        own, text, rows = _Words(), None, []
+        for piece, at, content in zip(*(given.column(c) for c in ("is_piece", "at", "content"))):
+            if piece.as_py():
+                own.piece[at.as_py()] = content.as_py()
+            else:
+                own.add(content.as_py())
+        own.close()
+        for i in np.argsort(texts.column("at").to_numpy()).tolist():
+            keys, counts, goes_on, content = (texts.column(c)[i].as_py() for c in ("keys", "counts", "goes_on", "content"))
+            codes, at = unpack(content).tolist(), 0
+            for k, (key, n) in enumerate(zip(keys, counts)):
+                text = text or kind()
+                text.add(own, codes[at : at + n])
+                at += n
+                if not goes_on or k + 1 < len(keys):
+                    rows.append((key, *text.row()))
+                    text = None
+        return pa.Table.from_batches([_rows(rows, kind.schema)])
+
+    return texts.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(work, kind.schema)
 
 
 def _through(df: DataFrame, key: str, text: str, file: str, ranks: str | None, kind: type, **limits: int) -> DataFrame:
-    blocks = written(split(df, key, text, file, **limits), "split")
-    found = written(encoded_words(words_by_block(blocks), file, ranks), "words")
+    blocks = bucketed(split(df, key, text, file, **limits), "block", "split")
+    found = written(encoded_words(blocks, file, ranks), "words")
     # a block's list is bounded by its words, whatever the number of tasks that encoded them
     ids = found.groupBy("block").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids")).select("block", F.explode("ids").alias("id"))
-    nothing = {"keys": "array<long>", "counts": "array<int>", "goes_on": "boolean"}
-    empty = [F.lit(None).cast(t).alias(n) for n, t in nothing.items()]
-    own = ids.join(F.broadcast(pieces(df.sparkSession, file)), "id").select("block", F.lit(0).alias("kind"), F.col("id").cast("long").alias("at"), *empty, F.col("piece").alias("content"))
-    named = found.select("block", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("at"), *empty, "content")
-    texts = blocks.filter("keys is not null").select("block", F.lit(2).alias("kind"), "at", *nothing, "content")
-    return _assembled(own.unionByName(named).unionByName(texts), kind)
+    own = ids.join(F.broadcast(pieces(df.sparkSession, file)), "id").select("block", F.lit(True).alias("is_piece"), F.col("id").cast("long").alias("at"), F.col("piece").alias("content"))
+    named = found.select("block", F.lit(False).alias("is_piece"), F.lit(0).cast("long").alias("at"), "content")
+    return _assembled(blocks.filter("keys is not null"), own.unionByName(named), kind)
 
 
 def encoded(df: DataFrame, key: str, text: str, file: str, ranks: str | None = None, **limits: int) -> DataFrame:

@@ -64,6 +64,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+    """As ``written``, in buckets by ``key``: what groups these rows by it reads the files and needs no exchange of them."""
+    spark, name = df.sparkSession, f"tessel_{label}_{uuid.uuid4().hex}"
+    where = f"{shared_folder(spark)}/{name}"
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    with _shuffles_dropped(spark):
+        df.write.format("parquet").bucketBy(parts, key).option("path", where).saveAsTable(name)
+    _remove(spark, where, at_exit=True)
+    out = spark.table(name)
+    out.schema  # resolved now; the catalog keeps no entry, and the files stay, as the table is an external one
+    spark.sql(f"DROP TABLE {name}")
+    out._tessel_files = where
+    return out
+
+
 def forgotten(tables: Iterable[DataFrame]) -> None:
     """Delete the files of tables that ``written`` made, once nothing reads them any more."""
     for df in tables:

@@ -109,3 +109,21 @@ def test_each_distinct_word_is_encoded_once(spark):
     named = word_table.words_by_block(blocks)
     assert named.count() > 6 and named.select("word").distinct().count() == 6
     assert named.groupBy("word").agg(F.count_distinct("block").alias("n")).filter("n > 1").count() == 6
+
+
+def test_texts_do_not_travel(spark, library):
+    """Codes of texts are read in the buckets they were written to; words travel packed, each to one part, with its code."""
+    texts = ["some words of a text", "words again", "", None, "of other words " * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    plan = word_table.digests(df, "doc_id", "text", FILE, RANKS)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Exchange" not in plan[plan.index(":- Sort") : plan.index("+- Sort", plan.index(":- Sort"))]
+    blocks = word_table.written(word_table.split(df, "doc_id", "text", FILE), "test")
+    where = {}
+    for r in word_table.dealt_words(blocks, 4).collect():
+        listed = word_table._unpack_texts(bytes(r.words))
+        assert all(where.setdefault(w, r.part) == r.part for w in listed)
+        codes = np.cumsum(unpack(bytes(r.codes))).tolist()
+        named = {(x.block, x.code): x.word for x in word_table.words_by_block(blocks).collect()}
+        assert listed == [named[r.block, c] for c in codes]
+    assert {*where} == {w for t in texts for some in word_table.words(FILE, t or "") for w in some}
+    assert not any("tessel_split" in t.name for t in spark.catalog.listTables())
